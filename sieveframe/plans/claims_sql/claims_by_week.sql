@@ -1,0 +1,19 @@
+-- Claims and cost per week from Monday; first and last day show partial weeks.
+WITH groups AS (
+  SELECT CAST(date_trunc('week', incident_date) AS DATE)     AS week_start,
+         CAST(min(incident_date) AS DATE)                    AS first_day,
+         CAST(max(incident_date) AS DATE)                    AS last_day,
+         count(*)                                            AS claims,
+         sum(CAST(rint(total_claim_amount * 100) AS BIGINT)) AS cents,
+         count(total_claim_amount)                           AS priced
+  FROM claims
+  GROUP BY 1
+)
+SELECT week_start,
+       first_day,
+       last_day,
+       claims,
+       CAST(rint(cents / 100D) AS BIGINT)      AS total_amount,
+       round(try_divide(cents / 100D, priced)) AS avg_amount
+FROM groups
+ORDER BY week_start NULLS LAST
