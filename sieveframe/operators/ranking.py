@@ -22,26 +22,27 @@ def top(df: DataFrame, value: str, *keys: str, n: int = 1) -> DataFrame:
     return ordered(df, value, *keys).limit(n)
 
 
-def key_at_max(value: Column, key: Column) -> Column:
-    """Aggregate: the key of the row with the largest value, smallest on ties.
+def key_at_max(value: Column, key: Column, kept: Column | None = None) -> Column:
+    """Aggregate: the key (or ``kept``) of the row with the largest value.
 
-    Nulls never win, so the result is null only if every value is.
+    The smallest key wins ties. Rows whose value is null never win.
     """
-    return F.min_by(key, F.struct(-value, key)).alias("key")
+    return _first_by(-value, key, kept)
 
 
-def key_at_min(value: Column, key: Column) -> Column:
-    """Aggregate: the key of the row with the smallest value, smallest on ties."""
-    return F.min_by(key, F.struct(value, key)).alias("key")
+def key_at_min(value: Column, key: Column, kept: Column | None = None) -> Column:
+    """The same for the smallest value."""
+    return _first_by(value, key, kept)
+
+
+def _first_by(value: Column, key: Column, kept: Column | None) -> Column:
+    place = F.when(value.isNotNull(), F.struct(value, key))
+    return F.min_by(key if kept is None else kept, place)
 
 
 def with_top_flag(df: DataFrame, label: str, value: str) -> DataFrame:
     """Rows from smallest to largest value, the single largest one flagged."""
-    best = (
-        df.filter(F.col(value).isNotNull())
-        .agg(key_at_max(F.col(value), F.col(label)))
-        .scalar()
-    )
+    best = df.agg(key_at_max(F.col(value), F.col(label))).scalar()
     flagged = df.withColumn("is_top", F.col(label).eqNullSafe(best))
     return flagged.orderBy(F.col(value).asc_nulls_first(), F.col(label).desc_nulls_first())
 

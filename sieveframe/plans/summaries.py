@@ -22,7 +22,7 @@ from sieveframe.operators.filters import OTHER
 from sieveframe.operators.groups import with_group_size
 from sieveframe.operators.quantiles import group_quantiles
 from sieveframe.operators.ranking import ordered
-from sieveframe.operators.rules import ERROR, raise_on_errors, validate
+from sieveframe.operators.rules import ERROR
 from sieveframe.plans.claims import (
     AMOUNTS,
     CLAIMS,
@@ -85,7 +85,7 @@ def merge_small(
     """Rows of groups below the limit get OTHER as the second key's value.
 
     So do rows with a missing key. The merged group may itself stay small;
-    ``check_publishable`` looks at that.
+    ``publish_report`` looks at that.
     """
     size = "_group_size"
     sized = with_group_size(df, list(keys), size, **options)
@@ -174,24 +174,45 @@ def fraud_split(by_type: DataFrame) -> DataFrame:
     )
 
 
-def check_publishable(
-    tables: dict[str, DataFrame], min_group: int = MIN_GROUP
+def publish_report(
+    tables: dict[str, DataFrame], rows: int, min_group: int = MIN_GROUP
 ) -> DataFrame:
-    """The gate before publishing: no sensitive column, no small group, no loss.
+    """Checks on summary tables that are about to be published.
 
-    Works on summary tables only. The floor holds for state x type; the finer
-    tables are allowed smaller cells. Raises, or returns the report.
+    No sensitive column in any table, no state x type group below the limit,
+    and as many claims as there are ``rows`` behind them. The finer tables may
+    hold smaller cells.
     """
-    for name, df in tables.items():
-        found = CLAIMS.sensitive & {c.lower() for c in df.columns}
-        if found:
-            raise ValueError(f"{name} holds sensitive columns: {sorted(found)}")
-    groups = tables["by_state_type"].withColumn("_row", F.monotonically_increasing_id())
-    report = validate(
-        groups, {"group size": (ERROR, F.col("claims") < min_group)}, id_col="_row"
+    groups = tables["by_state_type"]
+    leaks = sum(
+        len(CLAIMS.sensitive & {c.lower() for c in df.columns})
+        for df in tables.values()
+    )
+    facts = groups.agg(
+        F.count_if(F.col("claims") < min_group).alias("small"),
+        F.coalesce(F.sum("claims"), F.lit(0)).alias("total"),
+    )
+    lost = F.abs(F.lit(rows) - F.col("total"))
+    checks = {
+        "no sensitive columns": F.lit(leaks),
+        "groups large enough": F.col("small"),
+        "all claims counted": lost,
+    }
+    return facts.select(
+        F.inline(
+            F.array(
+                *(
+                    F.struct(
+                        F.lit(name).alias("check"),
+                        F.lit(ERROR).alias("severity"),
+                        failed.cast("bigint").alias("failed_rows"),
+                        F.array().cast("array<bigint>").alias("failed_index"),
+                    )
+                    for name, failed in checks.items()
+                )
+            )
+        )
     )
-    raise_on_errors(report)
-    return report
 
 
 def _grouped(claims: DataFrame, name: str) -> DataFrame:
