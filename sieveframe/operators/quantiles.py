@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sieveframe.sources.scratch import settle
+
 # Slices of the value range; each holds about 1/SLICES of the distinct values.
 SLICES = 64
 
@@ -31,18 +33,22 @@ def group_quantiles(
     3. the sizes of the slices tell which of them hold the wanted ranks;
     4. only those are sorted, one task per (key, slice).
 
-    Null keys and null values are left out.
+    The counts are written once and every later step reads them, so the rows
+    are scanned a single time. Only the cuts go through the driver, and their
+    number is fixed. Null keys and null values are left out.
     """
-    counted = (
+    counted = settle(
         df.select(F.col(key), F.col(value).cast("double").alias("_v"))
         .filter(F.col(key).isNotNull() & F.col("_v").isNotNull())
         .groupBy(key, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
     )
     steps = [i / slices for i in range(1, slices)]
-    cuts = counted.agg(F.percentile_approx("_v", steps, slices * 100)).scalar()
+    cuts = counted.agg(F.percentile_approx("_v", steps, slices * 100)).first()[0]
+    place = F.array(*(F.lit(cut) for cut in cuts or [0.0]))
     sliced = counted.withColumn(
-        "_slice", F.size(F.filter(cuts, lambda cut: cut <= F.col("_v")))
+        "_slice", F.size(F.filter(place, lambda cut: cut <= F.col("_v")))
     )
 
     # At most `slices` rows per key from here on.

@@ -28,9 +28,11 @@ class Domain:
         """Generic cleaning, then value fixes (which may leave new copies)."""
         return cleaning.replace_values(cleaning.clean(df, self.fills), self.fixes)
 
-    def load_clean(self, spark: SparkSession, path: str) -> DataFrame:
+    def load_clean(
+        self, spark: SparkSession, path: str, multi_line: bool = False
+    ) -> DataFrame:
         """The same straight from a CSV file, with one look at it."""
-        df = csv_files.load_clean(spark, path, self.fills)
+        df = csv_files.load_clean(spark, path, self.fills, multi_line)
         return cleaning.replace_values(df, self.fixes)
 
     def validate(self, df: DataFrame) -> DataFrame:

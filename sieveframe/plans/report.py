@@ -25,7 +25,7 @@ def report_facts(results: dict[str, DataFrame], validation: DataFrame) -> DataFr
     kind = results["fraud_by_incident_type"]
     state, week = results["claims_by_state"], results["claims_by_week"]
     leading = top(state, "total_amount", STATE, n=TOP_STATES).agg(
-        F.arraysentence(
+        F.array_join(
             F.transform(
                 F.array_sort(
                     F.collect_list(F.struct(-F.col("total_amount"), F.col(STATE)))

@@ -42,6 +42,7 @@ class ClaimsRun:
     out: str
     database: str | None = None
     domain: Domain = CLAIMS
+    multi_line: bool = False
     results: dict[str, DataFrame] = field(default_factory=dict)
     report: DataFrame | None = None
 
@@ -59,7 +60,7 @@ class ClaimsRun:
         return run_steps(self.steps())
 
     def clean(self) -> None:
-        df = self.domain.load_clean(self.spark, self.source)
+        df = self.domain.load_clean(self.spark, self.source, self.multi_line)
         save_snapshot(df, self.domain.table, self._folder("processed"))
 
     def validate(self) -> None:

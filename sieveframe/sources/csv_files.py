@@ -8,6 +8,7 @@ know the types pass ``types`` and skip that look.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from decimal import Decimal
 from pathlib import PurePosixPath
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -26,7 +27,7 @@ FALSE_WORDS = ("False", "FALSE", "false")
 # A cast to double also takes '12d' or 'NaN'; these must stay text.
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
-_MAX_UNSIGNED = 2**64 - 1
+_MAX_UNSIGNED = Decimal(2**64 - 1)
 _BROKEN = "broken line"
 
 
@@ -147,7 +148,7 @@ def _type_profile(names: list[str]) -> list[Column]:
             counts["number"] = F.count_if(other & cell.rlike(_NUMBER))
             counts["over"] = F.count_if(other & cell.rlike(_WHOLE))
             counts["unsigned"] = F.count_if(
-                other & cell.rlike(_WHOLE) & huge.between(0, _MAX_UNSIGNED)
+                other & cell.rlike(_WHOLE) & huge.between(0, F.lit(_MAX_UNSIGNED))
             )
             counts["minus"] = F.count_if(whole & (cell.try_cast("bigint") < 0))
         out += [count.alias(f"{key}:{i}") for key, count in counts.items()]

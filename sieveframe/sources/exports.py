@@ -20,14 +20,21 @@ def export_csvs(
     tables: Mapping[str, DataFrame], folder: str, prefix: str = ""
 ) -> list[str]:
     """Write each table as <folder>/<prefix><name>.csv, replacing it."""
+    options = {
+        "header": True,
+        "escape": '"',
+        "emptyValue": "",
+        "dateFormat": _DAY,
+        "timestampFormat": _DAY,
+        "timestampNTZFormat": _DAY,
+        # The writer would trim text otherwise.
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     paths = []
     for name, df in tables.items():
         path = f"{folder.rstrip('/')}/{prefix}{name}.csv"
-        _as_cells(df).write.mode("overwrite").option("header", True).option(
-            "dateFormat", _DAY
-        ).option("timestampNTZFormat", _DAY).option("timestampFormat", _DAY).option(
-            "escape", '"'
-        ).option("emptyValue", "").csv(path)
+        _as_cells(df).write.mode("overwrite").options(**options).csv(path)
         paths.append(path)
     return paths
 
