@@ -155,7 +155,8 @@ def fine_claims(spark, folder):
 
 def _merged_query(name):
     def run(spark, folder):
-        table = summaries.summarize_merged(fine_claims(spark, folder))[name]
+        rows = fine_claims(spark, folder)
+        table = summaries.summarize_at_once(rows, min_group=10)[name]
         return doubles(table, *(c for c in AMOUNTS if c in table.columns))
 
     return run

@@ -23,6 +23,7 @@ from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.claims import DATE, FRAUD as FLAG
 from sieveframe.plans.claims import SEVERITY, STATE, TOTAL, TYPE
 from sieveframe.operators.filters import full_weeks
+from sieveframe.sources.scratch import settle_all
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -186,7 +187,7 @@ UNION ALL {CAVEAT_TEXTS}"""
 
 @query("insights_text", INSIGHTS_SQL)
 def insights_text(spark, folder):
-    return findings.insights(summaries.summarize(claims(spark, folder)))
+    return findings.insights(summaries.summarize_at_once(claims(spark, folder)))
 
 
 RESULTS = ", ".join(
@@ -238,7 +239,7 @@ REPORT = f"{CLAIMS}, {RESULTS}, {STATE_RESULT}, {REPORT_FACTS}"
 
 def _report_facts(spark, folder):
     rows = claims(spark, folder)
-    results = run_queries(spark, DOMAIN.queries, {"claims": rows})
+    results = settle_all(run_queries(spark, DOMAIN.queries, {"claims": rows}))
     found = report.report_facts(results, DOMAIN.validate(rows))
     return found.withColumn("top_states_pct", F.round("top_states_pct", 6))
 

@@ -26,7 +26,9 @@ def strip_blank(col: Column) -> Column:
 
 
 def is_yes_no(col: Column) -> Column:
-    return F.upper(col).isin(*YES_WORDS, *NO_WORDS)
+    """Whether a cell is such a word; longer cells are not even upper-cased."""
+    short = F.octet_length(col) <= 12  # three characters in UTF-8
+    return short & F.upper(col).isin(*YES_WORDS, *NO_WORDS)
 
 
 def yes_no(col: Column) -> Column:

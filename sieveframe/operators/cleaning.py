@@ -10,13 +10,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sieveframe.functions.text import is_yes_no, snake_name, strip_blank, yes_no
 
 
+# What a cell can show about its column; the bits of all cells are or-ed.
+FILLED, OTHER = 1, 2
+
+
 @dataclass(frozen=True)
 class Verdict:
     """What one look at the whole table settled."""
@@ -109,22 +113,28 @@ def finish(df: DataFrame, verdict: Verdict) -> DataFrame:
 def examine(df: DataFrame, flags: bool = True) -> Verdict:
     """One pass: which columns are empty, which hold only yes/no words."""
     text = _text_columns(df) if flags else []
-    row = df.agg(F.lit(0), *examination(df.columns, text, _col)).first()
-    return verdict_from(row, df.columns, text)
+    looks = [look(_col(c), c in text).alias(f"_{i}") for i, c in enumerate(df.columns)]
+    bits = seen(df.select(F.lit(0).alias("_none"), *looks))
+    return verdict(dict(zip(df.columns, bits[1:])), text)
+
+
+def look(cell: Column, text: bool) -> Column:
+    """What one cell shows about its column, as bits."""
+    word = F.when(is_yes_no(cell), FILLED) if text else F.when(F.lit(True), FILLED)
+    return F.when(cell.isNull(), 0).otherwise(word.otherwise(FILLED | OTHER))
 
 
-def examination(names: list[str], text: Iterable[str], col) -> list[Column]:
-    """The aggregates ``verdict_from`` reads; ``col`` maps a name to its column."""
-    return [F.count(col(c)).alias(f"n:{c}") for c in names] + [
-        F.count_if(~is_yes_no(col(c))).alias(f"other:{c}") for c in text
-    ]
+def seen(looks: DataFrame) -> list[int]:
+    """The bits that occur in each column: one small aggregate per column."""
+    return list(looks.agg(*(F.bit_or(c).alias(c) for c in looks.columns)).first())
 
 
-def verdict_from(row: Row, names: list[str], text: Iterable[str]) -> Verdict:
-    filled = {c for c in names if row[f"n:{c}"]}
+def verdict(bits: Mapping[str, int | None], text: Iterable[str]) -> Verdict:
+    """The decisions; a table without rows has only empty columns."""
+    filled = {c for c, found in bits.items() if (found or 0) & FILLED}
     return Verdict(
-        empty=frozenset(names) - filled,
-        flags=frozenset(c for c in text if c in filled and not row[f"other:{c}"]),
+        empty=frozenset(bits) - filled,
+        flags=frozenset(c for c in text if c in filled and not bits[c] & OTHER),
     )
 
 

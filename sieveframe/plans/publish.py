@@ -13,7 +13,7 @@ from sieveframe.plans.summaries import (
     STATE,
     amount_stats,
     publish_report,
-    summarize_merged,
+    summarize_at_once,
 )
 from sieveframe.sources.exports import export_csvs
 from sieveframe.sources.scratch import settle
@@ -52,11 +52,10 @@ def publish_summaries(
     The summaries are computed once, checked, and only then written as CSV. If
     a group is still too small after merging, nothing is written.
     """
-    tables = {
-        **summarize_merged(claims, min_group),
-        "claim_amount_stats": amount_stats(claims),
+    ready = {
+        **summarize_at_once(claims, min_group),
+        "claim_amount_stats": settle(amount_stats(claims), "amount-stats"),
     }
-    ready = {name: settle(df, name) for name, df in tables.items()}
     counted = row_count(claims.filter(claims[STATE].isNotNull()))
     raise_on_errors(publish_report({**ready, **results}, counted, min_group))
     return export_csvs({**ready, **results}, folder)

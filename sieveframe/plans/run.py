@@ -14,7 +14,7 @@ from sieveframe.plans.domain import Domain
 from sieveframe.plans.publish import export_all
 from sieveframe.plans.report import headlines, report_facts, section_tables
 from sieveframe.sources.exports import export_csvs, save_report, save_results
-from sieveframe.sources.scratch import settle
+from sieveframe.sources.scratch import settle_all
 from sieveframe.sources.tables import read_snapshot, save_snapshot, store_tables
 
 Step = tuple[str, Callable[[], object]]
@@ -81,7 +81,7 @@ class ClaimsRun:
     def analyze(self) -> None:
         rows = self._table(self.domain.table)
         lazy = run_queries(self.spark, self.domain.queries, {self.domain.table: rows})
-        self.results = {name: settle(df, name) for name, df in lazy.items()}
+        self.results = settle_all(lazy)
         save_results(self.results, self._folder("reports"))
 
     def write_report(self) -> None:

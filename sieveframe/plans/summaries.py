@@ -35,6 +35,7 @@ from sieveframe.plans.claims import (
     TOTAL,
     TYPE,
 )
+from sieveframe.sources.scratch import settle
 
 MIN_GROUP = 10
 KEYS = (STATE, TYPE)
@@ -48,31 +49,46 @@ BOX = {"p5": 0.05, "q1": 0.25, "median": 0.5, "q3": 0.75, "p95": 0.95}
 
 
 def summarize(claims: DataFrame) -> dict[str, DataFrame]:
-    """The three summary tables, each one aggregate over the columns it needs."""
+    """The three summary tables, each a lazy aggregate over its own columns.
+
+    Right for one table. ``summarize_at_once`` serves all of them.
+    """
     return {name: _complete(_grouped(claims, name), name) for name in GRAINS}
 
 
-def summarize_merged(
-    claims: DataFrame, min_group: int = MIN_GROUP
+def summarize_at_once(
+    claims: DataFrame, min_group: int | None = None
 ) -> dict[str, DataFrame]:
-    """Equal to ``summarize(merge_small(claims))``, without touching rows twice.
-
-    The rows are aggregated first. Group sizes are then sums over the summary,
-    whose (state, type) groups hold at most one row per severity or day, and
-    the relabelled groups are added up again.
+    """The three summary tables from one pass over the claims, written once.
+
+    The pass groups by severity and by day side by side, so the claims (and the
+    joins that make them) are read a single time; the tables then read a small
+    settled table. With ``min_group`` the result equals the summaries of
+    ``merge_small(claims)``, without touching the rows again: group sizes are
+    sums over the settled table, whose (state, type) groups hold at most one
+    row per severity or day, and the relabelled groups are added up.
     """
+    fine = [(*KEYS, SEVERITY), (*KEYS, "_day")]
+    rows = claims.withColumn("_day", day(F.col(DATE)))
+    base = settle(
+        rows.groupingSets(fine, *KEYS, SEVERITY, "_day").agg(
+            F.grouping(SEVERITY).alias("_by_day"), *_measures(claims)
+        ),
+        "summary-base",
+    )
+    measures = ["claims", "fraud_claims", *AMOUNTS]
     out = {}
     for name, keys in GRAINS.items():
-        base = _grouped(claims, name)
-        size = F.sum("claims").over(Window.partitionBy(*KEYS))
-        label = _merged_label(size, min_group)
-        measures = [c for c in base.columns if c not in keys]
-        merged = (
-            base.withColumn("_label", label)
-            .groupBy(*(F.col("_label").alias(k) if k == TYPE else k for k in keys))
-            .agg(*(F.sum(c).alias(c) for c in measures))
-        )
-        out[name] = _complete(merged, name)
+        by_day = name == "by_state_type_day"
+        part = base.filter(F.col("_by_day") == int(by_day))
+        part = part.withColumn(DATE, F.col("_day")) if by_day else part
+        if min_group is not None:
+            size = F.sum("claims").over(Window.partitionBy(*KEYS))
+            part = part.withColumn("_label", _merged_label(size, min_group))
+            part = part.withColumn(TYPE, F.col("_label"))
+        kept = [c for c in measures if c in _measure_names(name)]
+        table = part.groupBy(*keys).agg(*(F.sum(c).alias(c) for c in kept))
+        out[name] = _complete(table, name)
     return out
 
 
@@ -217,15 +233,25 @@ def publish_report(
 
 def _grouped(claims: DataFrame, name: str) -> DataFrame:
     keys = [day(F.col(DATE)).alias(DATE) if k == DATE else k for k in GRAINS[name]]
-    measures = [F.count(F.lit(1)).alias("claims")]
-    if name != "by_state_type_day":
-        measures.append(F.count_if(F.col(FRAUD)).alias("fraud_claims"))
-    if name == "by_state_type":
+    table = claims.groupBy(*keys).agg(*_measures(claims))
+    return table.select(*GRAINS[name], *_measure_names(name))
+
+
+def _measures(claims: DataFrame) -> list[Column]:
+    return [
+        F.count(F.lit(1)).alias("claims"),
+        F.count_if(F.col(FRAUD)).alias("fraud_claims"),
         # A sum over nothing but missing amounts is 0.
-        measures += [
-            F.coalesce(exact_sum(claims, c), F.lit(0)).alias(c) for c in AMOUNTS
-        ]
-    return claims.groupBy(*keys).agg(*measures)
+        *(F.coalesce(exact_sum(claims, c), F.lit(0)).alias(c) for c in AMOUNTS),
+    ]
+
+
+def _measure_names(name: str) -> tuple[str, ...]:
+    return {
+        "by_state_type": ("claims", "fraud_claims", *AMOUNTS),
+        "by_state_type_severity": ("claims", "fraud_claims"),
+        "by_state_type_day": ("claims",),
+    }[name]
 
 
 def _complete(table: DataFrame, name: str) -> DataFrame:

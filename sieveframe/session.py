@@ -8,9 +8,10 @@ from pyspark.sql import SparkSession
 def build_session(name: str = "sieveframe", **config: str) -> SparkSession:
     """A session with the settings this library is designed for.
 
-    AQE decides join sides and partition counts from measured sizes, and splits
-    skewed join partitions. The initial partition count is set high because AQE
-    merges small partitions after a shuffle but never splits an aggregate's.
+    AQE decides join sides from measured sizes, splits skewed join partitions
+    and merges small shuffle partitions. It never splits a partition of an
+    aggregate, so on a cluster pass ``spark.sql.shuffle.partitions`` as shuffled
+    bytes / 128 MB or more and let AQE merge what is too many.
     """
     defaults = {
         "spark.ui.enabled": "false",

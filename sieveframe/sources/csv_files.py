@@ -8,10 +8,11 @@ know the types pass ``types`` and skip that look.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import PurePosixPath
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sieveframe.functions.dates import has_zone, parse_iso
@@ -24,12 +25,22 @@ MISSING = ("?", "")
 TRUE_WORDS = ("True", "TRUE", "true")
 FALSE_WORDS = ("False", "FALSE", "false")
 
-# A cast to double also takes '12d' or 'NaN'; these must stay text.
+# Fixed patterns: what counts as a number. '12d' or 'NaN' stay text.
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _MAX_UNSIGNED = Decimal(2**64 - 1)
 _BROKEN = "broken line"
 
+# What a cell can show about the type of its column. A look gives one of these
+# bits, and the bits of all cells are or-ed: one small aggregate per column.
+_NULL, _FLAG, _INT, _NEGATIVE, _UNSIGNED, _OVER, _FLOAT, _TEXT = (
+    1 << i for i in range(8)
+)
+_DATE, _NO_DATE, _ZONED = _INT, _TEXT, _OVER
+# What a line can show about the file.
+_OPEN_QUOTE, _LONG = 1, 2
+LOOKS_AT_ONCE = 8
+
 
 def load_csv(
     spark: SparkSession,
@@ -45,15 +56,17 @@ def load_csv(
     """
     raw = read_text_cells(spark, path, multi_line)
     if types is None:
-        cells = raw.drop(_BROKEN)
-        row = raw.agg(*_type_profile(cells.columns), *_line_profile(cells)).first()
-        _check_lines(row, path)
-        types = _decide_types(row, cells.columns)
+        names = raw.drop(_BROKEN).columns
+        types = _types_of(names, _seen(raw, path, _type_looks(names)))
     return _typed(raw, types)
 
 
 def load_inbox(spark: SparkSession, folder: str, **options) -> dict[str, DataFrame]:
-    """Every *.csv file of a folder by file name, in name order."""
+    """Every *.csv file of a folder by file name, in name order.
+
+    Each file is a table of its own and needs its own look at the data; the
+    looks run side by side.
+    """
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.csv")
@@ -61,9 +74,9 @@ def load_inbox(spark: SparkSession, folder: str, **options) -> dict[str, DataFra
         .select("path")
     )
     paths = sorted(row.path for row in listing.collect())
-    return {
-        PurePosixPath(path).stem: load_csv(spark, path, **options) for path in paths
-    }
+    with ThreadPoolExecutor(LOOKS_AT_ONCE) as pool:
+        loaded = pool.map(lambda path: load_csv(spark, path, **options), paths)
+        return {PurePosixPath(p).stem: df for p, df in zip(paths, loaded)}
 
 
 def load_clean(
@@ -79,26 +92,26 @@ def load_clean(
     """
     fills = fills or {}
     raw = read_text_cells(spark, path, multi_line)
-    cells = raw.drop(_BROKEN)
-    names = cells.columns
+    names = raw.drop(_BROKEN).columns
 
     def prepared(name: str) -> Column:
         cell = strip_blank(F.col(_quoted(name)))
         fill = fills.get(snake_name(name))
         return cell if fill is None else F.coalesce(cell, F.lit(str(fill)))
 
-    row = raw.agg(
-        *_type_profile(names),
-        *_line_profile(cells),
-        *cleaning.examination(names, names, prepared),
-    ).first()
-    _check_lines(row, path)
-    types = _decide_types(row, names)
+    # Two selects, so that each cell is prepared once for its look.
+    ready = {f"ready:{i}": prepared(name) for i, name in enumerate(names)}
+    bits = _seen(
+        raw.withColumns(ready),
+        path,
+        _type_looks(names) + [cleaning.look(F.col(c), True) for c in ready],
+    )
+    types = _types_of(names, bits[: len(names)])
     text = [c for c in names if types[c] == "string"]
-    seen = cleaning.verdict_from(row, names, text)
+    found = cleaning.verdict(dict(zip(names, bits[len(names) :])), text)
     verdict = cleaning.Verdict(
-        empty=frozenset(map(snake_name, seen.empty)),
-        flags=frozenset(map(snake_name, seen.flags)),
+        empty=frozenset(map(snake_name, found.empty)),
+        flags=frozenset(map(snake_name, found.flags)),
     )
     return cleaning.finish(cleaning.prepare(_typed(raw, types), fills), verdict)
 
@@ -130,61 +143,92 @@ def is_date_name(name: str) -> bool:
     return "date" in name.lower()
 
 
-def _type_profile(names: list[str]) -> list[Column]:
-    out = []
-    for i, name in enumerate(names):
-        cell = F.col(_quoted(name))
-        counts = {"present": F.count(cell)}
-        if is_date_name(name):
-            counts["no_date"] = F.count_if(cell.isNotNull() & parse_iso(cell).isNull())
-            counts["zoned"] = F.count_if(has_zone(cell))
-        else:
-            whole = cell.try_cast("bigint").isNotNull()
-            # Patterns run only on cells that cast to a double and not to a long.
-            other = ~whole & cell.try_cast("double").isNotNull()
-            huge = cell.try_cast("decimal(38,0)")
-            counts["flag"] = F.count_if(cell.isin(*TRUE_WORDS, *FALSE_WORDS))
-            counts["whole"] = F.count_if(whole)
-            counts["number"] = F.count_if(other & cell.rlike(_NUMBER))
-            counts["over"] = F.count_if(other & cell.rlike(_WHOLE))
-            counts["unsigned"] = F.count_if(
-                other & cell.rlike(_WHOLE) & huge.between(0, F.lit(_MAX_UNSIGNED))
-            )
-            counts["minus"] = F.count_if(whole & (cell.try_cast("bigint") < 0))
-        out += [count.alias(f"{key}:{i}") for key, count in counts.items()]
-    return [F.count(F.lit(1)).alias("rows"), *out]
-
-
-def _decide_types(row: Row, names: list[str]) -> dict[str, str]:
-    types = {}
-    for i, name in enumerate(names):
-        n = row[f"present:{i}"]
-        if is_date_name(name):
-            _check_dates(name, row[f"no_date:{i}"], row[f"zoned:{i}"])
-            types[name] = "timestamp_ntz"
-        else:
-            seen = {
-                key: row[f"{key}:{i}"]
-                for key in ("flag", "whole", "number", "over", "unsigned", "minus")
-            }
-            types[name] = _decide(n, row["rows"], **seen)
-    return types
-
-
-def _decide(
-    n: int, rows: int, flag: int, whole: int, number: int, over: int,
-    unsigned: int, minus: int,
-) -> str:
-    if n == 0:
+def _type_looks(names: list[str]) -> list[Column]:
+    return [
+        _date_look(cell) if is_date_name(name) else _type_look(cell)
+        for name, cell in ((n, F.col(_quoted(n))) for n in names)
+    ]
+
+
+def _type_look(cell: Column) -> Column:
+    # Patterns come first: a cast that fails raises and catches an error for
+    # every cell of text, which costs a hundred times more than a pattern.
+    whole = cell.try_cast("bigint")
+    huge = cell.try_cast("decimal(38,0)")
+    number = (
+        F.when(whole >= 0, _INT)
+        .when(whole < 0, _INT | _NEGATIVE)
+        .when(huge.between(0, F.lit(_MAX_UNSIGNED)), _UNSIGNED)
+        .otherwise(_OVER)
+    )
+    return (
+        F.when(cell.isNull(), _NULL)
+        .when(cell.rlike(_WHOLE), number)
+        .when(cell.rlike(_NUMBER), _FLOAT)
+        .when(cell.isin(*TRUE_WORDS, *FALSE_WORDS), _FLAG)
+        .otherwise(_TEXT)
+    )
+
+
+def _date_look(cell: Column) -> Column:
+    return (
+        F.when(cell.isNull(), _NULL)
+        .when(parse_iso(cell).isNull(), _NO_DATE)
+        .when(has_zone(cell), _ZONED)
+        .otherwise(_DATE)
+    )
+
+
+def _line_look(last_name: str) -> Column:
+    line, last = F.col(_quoted(_BROKEN)), F.col(_quoted(last_name))
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    return (
+        F.when(line.isNull(), 0)
+        .when(quotes % 2 == 1, _OPEN_QUOTE)
+        .when(last.isNotNull(), _LONG)
+        .otherwise(0)
+    )
+
+
+def _seen(raw: DataFrame, path: str, looks: list[Column]) -> list[int | None]:
+    """The bits of each look over all lines; broken lines raise."""
+    last = raw.columns[raw.columns.index(_BROKEN) - 1]
+    named = [_line_look(last).alias("_lines")]
+    named += [one.alias(f"_{i}") for i, one in enumerate(looks)]
+    lines, *bits = cleaning.seen(raw.select(*named))
+    if (lines or 0) & _OPEN_QUOTE:
+        raise ValueError(f"{path}: lines end inside quotes; use multi_line=True")
+    if (lines or 0) & _LONG:
+        raise ValueError(f"{path}: lines have more cells than the header")
+    return bits
+
+
+def _types_of(names: list[str], bits: list[int | None]) -> dict[str, str]:
+    return {
+        name: _date_type(name, found or 0) if is_date_name(name) else _type(found or 0)
+        for name, found in zip(names, bits)
+    }
+
+
+def _type(bits: int) -> str:
+    values = bits & ~_NULL
+    if values == 0:
         return "string"
-    if flag == rows:
+    if bits == _FLAG:
         return "boolean"
-    if whole == n:
+    if values & ~(_INT | _NEGATIVE) == 0:
         return "bigint"
-    if over:
-        fits = whole + unsigned == n and not minus
-        return "decimal(20,0)" if fits else "string"
-    return "double" if whole + number == n else "string"
+    if values & ~(_INT | _UNSIGNED) == 0:
+        return "decimal(20,0)"
+    return "double" if values & ~(_INT | _NEGATIVE | _FLOAT) == 0 else "string"
+
+
+def _date_type(name: str, bits: int) -> str:
+    if bits & _NO_DATE:
+        raise ValueError(f"{name}: some values are not ISO 8601 dates")
+    if bits & _ZONED:
+        raise ValueError(f"{name}: some times carry a zone, which would be lost")
+    return "timestamp_ntz"
 
 
 def _typed(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
@@ -210,34 +254,5 @@ def _typed(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return raw.select(*out)
 
 
-def _line_profile(cells: DataFrame) -> list[Column]:
-    line = F.col(_quoted(_BROKEN))
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
-    last = F.col(_quoted(cells.columns[-1]))
-    return [
-        F.count_if(quotes % 2 == 1).alias("open_quotes"),
-        F.count_if(line.isNotNull() & last.isNotNull()).alias("long_lines"),
-    ]
-
-
-def _check_lines(row: Row, path: str) -> None:
-    if row["open_quotes"]:
-        raise ValueError(
-            f"{path}: {row['open_quotes']} lines end inside quotes; "
-            "read it with multi_line=True"
-        )
-    if row["long_lines"]:
-        raise ValueError(
-            f"{path}: {row['long_lines']} lines have more cells than the header"
-        )
-
-
-def _check_dates(name: str, wrong: int, zoned: int) -> None:
-    if wrong:
-        raise ValueError(f"{name}: {wrong} values are not ISO 8601 dates")
-    if zoned:
-        raise ValueError(f"{name}: {zoned} times carry a zone, which would be lost")
-
-
 def _quoted(name: str) -> str:
     return f"`{name.replace('`', '``')}`"

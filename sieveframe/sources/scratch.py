@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +34,8 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each table written once, under its own name."""
+    return {name: settle(df, name) for name, df in tables.items()}
