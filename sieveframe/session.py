@@ -21,6 +21,9 @@ def build_session(name: str = "sieveframe", **config: str) -> SparkSession:
         "spark.sql.ansi.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.timestampType": "TIMESTAMP_NTZ",
+        # The JVM does not compile longer methods; looking at every column of a
+        # wide file would run interpreted in one generated method.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
     }
     builder = SparkSession.builder.appName(name)
     for key, value in {**defaults, **config}.items():
