@@ -301,7 +301,7 @@ def _load_summaries(stored):
         if stored:
             tables.store_tables(spark, {"claims": rows}, name)
         else:
-            publish.publish_summaries(rows, {}, out)
+            publish.publish_summaries(rows, {}, out, min_group=1)
         found, kept = tables.load_summaries(
             spark, f"{name}.claims", summaries.summarize, out, publish.PUBLISHED
         )
