@@ -7,6 +7,7 @@ from sieveframe.bindings import claims, read
 from sieveframe.operators import rules
 from sieveframe.operators.groups import with_group_size
 from sieveframe.plans.claims import CLAIMS as DOMAIN
+from sieveframe.sources.scratch import settle
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -25,7 +26,7 @@ WITH lines AS (
 )"""
 
 
-def lines(spark, folder):
+def lines(spark, folder, with_order=True):
     price, off = F.col("l_extendedprice"), F.col("l_discount")
     items = read(spark, folder, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("line_id"),
@@ -39,6 +40,8 @@ def lines(spark, folder):
         (price * (1 - off)).alias("paid"),
         (price + F.when(F.col("l_linenumber") == 1, 1.0).otherwise(0.0)).alias("total"),
     )
+    if not with_order:
+        return items
     orders = read(spark, folder, "orders").select("o_orderkey", "o_orderdate")
     joined = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
     return joined.drop("o_orderkey")
@@ -86,7 +89,7 @@ SELECT line_id, l_partkey FROM lines
 WHERE line_id IN (SELECT line_id FROM lines GROUP BY line_id HAVING count(*) > 1)""",
 )
 def rule_unique(spark, folder):
-    df = lines(spark, folder).select("line_id", "l_partkey")
+    df = lines(spark, folder, with_order=False).select("line_id", "l_partkey")
     return rules.bad_rows(df, rules.unique("line_id"))
 
 
@@ -145,7 +148,8 @@ LINE_RULES = {
     ),
 )
 def validation_report(spark, folder):
-    return rules.validate(lines(spark, folder), LINE_RULES, "line_id")
+    # Like the run does: join once, then check the snapshot.
+    return rules.validate(settle(lines(spark, folder)), LINE_RULES, "line_id")
 
 
 CLAIM_BAD = [
@@ -185,7 +189,7 @@ CLAIM_BAD = [
 
 @query("claims_rules", CLAIMS + _report_sql("claims", CLAIM_BAD, "policy_number"))
 def claims_rules(spark, folder):
-    return DOMAIN.validate(claims(spark, folder))
+    return DOMAIN.validate(settle(claims(spark, folder)))
 
 
 @query(
@@ -195,7 +199,7 @@ SELECT "check", failed_rows FROM ({_report_sql("claims", CLAIM_BAD, "policy_numb
 WHERE severity = 'warn' AND failed_rows > 0""",
 )
 def failing_warnings(spark, folder):
-    report = DOMAIN.validate(claims(spark, folder))
+    report = DOMAIN.validate(settle(claims(spark, folder)))
     return rules.failing_warnings(report).select("check", "failed_rows")
 
 
@@ -209,7 +213,7 @@ HAVING (SELECT count(*) FROM lines WHERE {BAD["between"]}) > 0""",
 )
 def gate(spark, folder):
     """The gate closes on errors and stays open on warnings."""
-    df = lines(spark, folder)
+    df = lines(spark, folder, with_order=False)
     warnings = {"quantity": LINE_RULES["quantity"]}
     rules.raise_on_errors(rules.validate(df, warnings, "line_id"))
     one = {"line_id unique": LINE_RULES["line_id unique"]}

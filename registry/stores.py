@@ -155,6 +155,18 @@ def store_replace(spark, folder):
     return spark.table(f"{name}.claims")
 
 
+@query("store_snapshot", f"{CLAIMS} SELECT {TYPED} FROM claims WHERE fraud_reported")
+def store_snapshot(spark, folder):
+    """A table over snapshot files, replaced by one over a later snapshot."""
+    name, out = _database(spark), scratch_folder(spark, "processed")
+    df = _typed_claims(spark, folder)
+    first = tables.save_snapshot(df, "first", out)
+    second = tables.save_snapshot(df.filter("fraud_reported"), "second", out)
+    tables.store_snapshot(spark, "claims", first, name)
+    tables.store_snapshot(spark, "claims", second, name)
+    return spark.table(f"{name}.claims")
+
+
 @query(
     "stored_report",
     """
@@ -391,7 +403,7 @@ def run_stops(spark, folder):
     except ValueError:
         pass
     errors = run.report.filter("severity = 'error' AND failed_rows > 0").count()
-    saved = tables.read_snapshot(spark, f"{out}/processed/claims.parquet")
+    saved = tables.read_snapshot(spark, run.snapshot)
     return saved.agg(
         F.count(F.lit(1)).alias("claims"),
         F.round(F.sum("total_claim_amount"), 2).alias("total"),

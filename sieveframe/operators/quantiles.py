@@ -46,10 +46,7 @@ def group_quantiles(
     )
     steps = [i / slices for i in range(1, slices)]
     cuts = counted.agg(F.percentile_approx("_v", steps, slices * 100)).first()[0]
-    place = F.array(*(F.lit(cut) for cut in cuts or [0.0]))
-    sliced = counted.withColumn(
-        "_slice", F.size(F.filter(place, lambda cut: cut <= F.col("_v")))
-    )
+    sliced = counted.withColumn("_slice", _slice_of(F.col("_v"), sorted(cuts or [])))
 
     # At most `slices` rows per key from here on.
     by_key = Window.partitionBy(key)
@@ -100,6 +97,16 @@ def group_quantiles(
     )
 
 
+def _slice_of(value: Column, cuts: list[float], first: int = 0) -> Column:
+    """Number of cuts at or below the value, by halving the list of cuts."""
+    if not cuts:
+        return F.lit(first)
+    middle = len(cuts) // 2
+    below = _slice_of(value, cuts[:middle], first)
+    above = _slice_of(value, cuts[middle + 1 :], first + middle + 1)
+    return F.when(value < F.lit(cuts[middle]), below).otherwise(above)
+
+
 def _ranks(p: float, total: Column) -> tuple[Column, Column]:
     """The two neighbouring positions (from 0) of quantile p."""
     place = F.lit(p) * (total - 1)

@@ -12,15 +12,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sieveframe.functions.dates import days_spanned, long_day, short_day
+from sieveframe.functions.dates import day, days_spanned, long_day, short_day
 from sieveframe.functions.numbers import (
     as_percent,
     dollars,
-    exact_mean,
     exact_sum,
     fixed,
     grouped,
-    rate,
     ratio,
     signed,
 )
@@ -34,6 +32,7 @@ from sieveframe.operators.series import (
     halves,
 )
 from sieveframe.plans.claims import DATE, FRAUD, SEVERITY, STATE, TOTAL, TYPE
+from sieveframe.sources.scratch import settle
 
 MIN_CLAIMS = 20
 KEY, TRENDS, WATCH, CAVEATS = (
@@ -46,105 +45,76 @@ KEY, TRENDS, WATCH, CAVEATS = (
 
 def facts(claims: DataFrame) -> DataFrame:
     """Counts, fraud rate and the period of a selection, formatted."""
-    days = days_spanned(F.min(DATE), F.max(DATE))
-    return claims.agg(
-        grouped(F.count(F.lit(1))).alias("claims"),
-        grouped(F.count_if(FRAUD)).alias("fraud_claims"),
-        as_percent(rate(F.col(FRAUD)), 1).alias("fraud_rate"),
-        short_day(F.min(DATE)).alias("first_date"),
-        long_day(F.max(DATE)).alias("last_date"),
-        days.alias("days"),
-        fixed(days / F.lit(30.0), 1).alias("months"),
-    )
+    return _facts(_measure(claims))
 
 
 def top_severity(claims: DataFrame) -> DataFrame:
     """The severity with the highest fraud rate."""
-    groups = claims.groupBy(SEVERITY).agg(
-        rate(F.col(FRAUD)).alias("rate"),
-        F.count_if(FRAUD).alias("fraud_claims"),
-        F.count(F.lit(1)).alias("claims"),
-    )
-    return top(groups, "rate", SEVERITY).select(
-        SEVERITY, as_percent(F.col("rate"), 1).alias("fraud_rate"),
-        "fraud_claims", "claims",
-    )
+    return _top_severity(_measure(claims, SEVERITY))
 
 
 def top_type(claims: DataFrame) -> DataFrame:
     """The type with the highest mean amount, and its share of all cost."""
-    groups = claims.groupBy(TYPE).agg(
-        exact_mean(claims, TOTAL).alias("mean"),
-        exact_sum(claims, TOTAL).alias("cost"),
-    )
-    groups = groups.withColumn("share", share_of_total(groups, "cost"))
-    return top(groups, "mean", TYPE).select(
-        TYPE,
-        dollars(F.round("mean")).alias("avg_claim"),
-        as_percent(F.col("share"), 0).alias("cost_share"),
-    )
+    return _top_type(_measure(claims, TYPE))
 
 
 def top_state(claims: DataFrame) -> DataFrame:
     """The costliest state, its share of all cost and its fraud rate."""
-    groups = claims.groupBy(STATE).agg(
-        exact_sum(claims, TOTAL).alias("cost"), rate(F.col(FRAUD)).alias("rate")
-    )
-    groups = groups.withColumn("share", share_of_total(groups, "cost"))
-    return top(groups, "cost", STATE).select(
-        STATE,
-        as_percent(F.col("share"), 0).alias("cost_share"),
-        as_percent(F.col("rate"), 1).alias("fraud_rate"),
-    )
+    return _top_state(_measure(claims, STATE))
 
 
 def trend(claims: DataFrame) -> DataFrame:
     """Claims per day in the two halves of the period and the change."""
-    both = halves(fill_days(count_by_day(claims, DATE)))
-    change = F.col("second_half") - F.col("first_half")
-    return both.select(
-        "days",
-        fixed(F.col("first_half"), 1).alias("first_half"),
-        fixed(F.col("second_half"), 1).alias("second_half"),
-        (F.col("second_half") >= F.col("first_half")).alias("rose"),
-        fixed(F.abs(change), 1).alias("change"),
-    )
+    return _trend(count_by_day(claims, DATE))
 
 
 def watch(claims: DataFrame, min_claims: int = MIN_CLAIMS) -> DataFrame:
     """The type and severity with the highest fraud rate among large groups."""
-    groups = claims.groupBy(TYPE, SEVERITY).agg(
-        F.count(F.lit(1)).alias("claims"), rate(F.col(FRAUD)).alias("rate")
-    )
-    return top(at_least(groups, "claims", min_claims), "rate", TYPE, SEVERITY).select(
-        TYPE, SEVERITY, "claims", as_percent(F.col("rate"), 0).alias("fraud_rate")
-    )
+    return _watch(_measure(claims, TYPE, SEVERITY), min_claims)
 
 
 def page_sentences(claims: DataFrame) -> DataFrame:
-    """The findings page as rows: the six tables above put into sentences."""
-    seen = facts(claims)
+    """The findings page as rows: the six tables above put into sentences.
+
+    One pass groups the claims by state, by type and severity, and by day side
+    by side; the six tables add up what they need from the settled groups.
+    """
+    rows = claims.withColumn("_day", day(F.col(DATE)))
+    grains = [(STATE,), (TYPE, SEVERITY), ("_day",)]
+    base = settle(
+        rows.groupingSets(grains, STATE, TYPE, SEVERITY, "_day").agg(
+            F.grouping(STATE).alias("_no_state"),
+            F.grouping("_day").alias("_no_day"),
+            *_measures(claims),
+        ),
+        "page-base",
+    )
+    states = base.filter("_no_state = 0")
+    days = base.filter("_no_day = 0")
+    pairs = base.filter("_no_state = 1 AND _no_day = 1")
+
+    seen = _facts(_regroup(pairs))
     overall = seen.select("fraud_rate").scalar()
     count = seen.select("claims").scalar()
     severity = _say(
-        top_severity(claims), KEY, 1,
+        _top_severity(_regroup(pairs, SEVERITY)), KEY, 1,
         F.col(SEVERITY), " claims have the highest fraud rate at ",
         F.col("fraud_rate"), " (", F.col("fraud_claims"), " of ", F.col("claims"),
         "), versus ", overall, " across all ", count, " selected claims.",
     )
     kind = _say(
-        top_type(claims), KEY, 2,
+        _top_type(_regroup(pairs, TYPE)), KEY, 2,
         F.col(TYPE), " claims cost the most on average (", F.col("avg_claim"),
         ") and make up ", F.col("cost_share"), " of total claim cost.",
     )
     state = _say(
-        top_state(claims), KEY, 3,
+        _top_state(states), KEY, 3,
         F.col(STATE), " accounts for the largest share of claim cost (",
         F.col("cost_share"), "), with a fraud rate of ", F.col("fraud_rate"), ".",
     )
     direction = F.when(F.col("rose"), "a rise").otherwise("a drop")
     change = _say(
-        trend(claims), TRENDS, 1,
+        _trend(count_by_day(days, "_day", n=F.col("claims"))), TRENDS, 1,
         F.when(F.col("days") < ROLLING_DAYS, _too_short(F.col("days"))).otherwise(
             sentence(
                 "Claims averaged ", F.col("first_half"),
@@ -158,11 +128,105 @@ def page_sentences(claims: DataFrame) -> DataFrame:
         F.col(TYPE), " claims with ", F.col(SEVERITY), ": ", F.col("fraud_rate"),
         " of ", F.col("claims"),
     )
-    singled_out = _watch_sentence(watch(claims), single, " has 20+ claims, so none")
+    best = _watch(pairs, MIN_CLAIMS)
+    singled_out = _watch_sentence(best, single, " has 20+ claims, so none")
     caveats = _caveats(seen, F.col("claims"), F.col("fraud_claims"))
     return _stack(severity, kind, state, change, singled_out, *caveats)
 
 
+def _measures(claims: DataFrame) -> list[Column]:
+    """Counts and sums that add up over groups, for the columns there are."""
+    out = [F.count(F.lit(1)).alias("claims")]
+    if FRAUD in claims.columns:
+        out += [
+            F.count_if(FRAUD).alias("fraud_claims"), F.count(FRAUD).alias("labelled"),
+        ]
+    if TOTAL in claims.columns:
+        out += [exact_sum(claims, TOTAL).alias("cost"), F.count(TOTAL).alias("priced")]
+    if DATE in claims.columns:
+        out += [F.min(DATE).alias("first"), F.max(DATE).alias("last")]
+    return out
+
+
+def _measure(claims: DataFrame, *keys: str) -> DataFrame:
+    return claims.groupBy(*keys).agg(*_measures(claims))
+
+
+def _regroup(groups: DataFrame, *keys: str) -> DataFrame:
+    """The same measures for coarser groups."""
+    added = ("claims", "fraud_claims", "labelled", "cost", "priced")
+    return groups.groupBy(*keys).agg(
+        *(F.sum(c).alias(c) for c in added),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+    )
+
+
+def _rate() -> Column:
+    return ratio(F.col("fraud_claims"), F.col("labelled"))
+
+
+def _facts(total: DataFrame) -> DataFrame:
+    days = days_spanned(F.col("first"), F.col("last"))
+    return total.select(
+        grouped(F.col("claims")).alias("claims"),
+        grouped(F.col("fraud_claims")).alias("fraud_claims"),
+        as_percent(_rate(), 1).alias("fraud_rate"),
+        short_day(F.col("first")).alias("first_date"),
+        long_day(F.col("last")).alias("last_date"),
+        days.alias("days"),
+        fixed(days / F.lit(30.0), 1).alias("months"),
+    )
+
+
+def _top_severity(groups: DataFrame) -> DataFrame:
+    return top(groups.withColumn("rate", _rate()), "rate", SEVERITY).select(
+        SEVERITY, as_percent(F.col("rate"), 1).alias("fraud_rate"),
+        "fraud_claims", "claims",
+    )
+
+
+def _top_type(groups: DataFrame) -> DataFrame:
+    groups = groups.select(
+        TYPE, "cost", ratio(F.col("cost"), F.col("priced")).alias("mean")
+    )
+    groups = groups.withColumn("share", share_of_total(groups, "cost"))
+    return top(groups, "mean", TYPE).select(
+        TYPE,
+        dollars(F.round("mean")).alias("avg_claim"),
+        as_percent(F.col("share"), 0).alias("cost_share"),
+    )
+
+
+def _top_state(groups: DataFrame) -> DataFrame:
+    groups = groups.select(STATE, "cost", _rate().alias("rate"))
+    groups = groups.withColumn("share", share_of_total(groups, "cost"))
+    return top(groups, "cost", STATE).select(
+        STATE,
+        as_percent(F.col("share"), 0).alias("cost_share"),
+        as_percent(F.col("rate"), 1).alias("fraud_rate"),
+    )
+
+
+def _trend(counts: DataFrame) -> DataFrame:
+    both = halves(fill_days(counts))
+    change = F.col("second_half") - F.col("first_half")
+    return both.select(
+        "days",
+        fixed(F.col("first_half"), 1).alias("first_half"),
+        fixed(F.col("second_half"), 1).alias("second_half"),
+        (F.col("second_half") >= F.col("first_half")).alias("rose"),
+        fixed(F.abs(change), 1).alias("change"),
+    )
+
+
+def _watch(groups: DataFrame, min_claims: int) -> DataFrame:
+    large = at_least(groups.withColumn("rate", _rate()), "claims", min_claims)
+    return top(large, "rate", TYPE, SEVERITY).select(
+        TYPE, SEVERITY, "claims", as_percent(F.col("rate"), 0).alias("fraud_rate")
+    )
+
+
 def insights(tables: dict[str, DataFrame]) -> DataFrame:
     """Findings from the (filtered) summary tables as rows.
 

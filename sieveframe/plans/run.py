@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
@@ -15,7 +16,12 @@ from sieveframe.plans.publish import export_all
 from sieveframe.plans.report import headlines, report_facts, section_tables
 from sieveframe.sources.exports import export_csvs, save_report, save_results
 from sieveframe.sources.scratch import settle_all
-from sieveframe.sources.tables import read_snapshot, save_snapshot, store_tables
+from sieveframe.sources.tables import (
+    read_snapshot,
+    save_snapshot,
+    store_snapshot,
+    store_tables,
+)
 
 Step = tuple[str, Callable[[], object]]
 
@@ -33,8 +39,10 @@ def run_steps(steps: Iterable[Step]) -> list[str]:
 class ClaimsRun:
     """Clean, validate, store, analyze, report, export.
 
-    The file is read into a snapshot once. Every later step reads the snapshot
-    or the stored table, and the queries run once for report and export.
+    The file is read into a snapshot once, in a folder of its own per run. When
+    it has passed the rules, the table is pointed at these files; the rows are
+    not written again. The queries run once for report and export. A step that
+    runs alone in a later session is given the ``run_id`` of the first.
     """
 
     spark: SparkSession
@@ -43,6 +51,7 @@ class ClaimsRun:
     database: str | None = None
     domain: Domain = CLAIMS
     multi_line: bool = False
+    run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
     results: dict[str, DataFrame] = field(default_factory=dict)
     report: DataFrame | None = None
 
@@ -61,7 +70,7 @@ class ClaimsRun:
 
     def clean(self) -> None:
         df = self.domain.load_clean(self.spark, self.source, self.multi_line)
-        save_snapshot(df, self.domain.table, self._folder("processed"))
+        save_snapshot(df, self.domain.table, self._folder(f"processed/{self.run_id}"))
 
     def validate(self) -> None:
         self.report = self.domain.validate(self._snapshot())
@@ -72,11 +81,8 @@ class ClaimsRun:
         if self.report is None:
             self.report = self.domain.validate(self._snapshot())
         raise_on_errors(self.report)
-        store_tables(
-            self.spark,
-            {self.domain.table: self._snapshot(), "validation_report": self.report},
-            self.database,
-        )
+        store_snapshot(self.spark, self.domain.table, self.snapshot, self.database)
+        store_tables(self.spark, {"validation_report": self.report}, self.database)
 
     def analyze(self) -> None:
         rows = self._table(self.domain.table)
@@ -101,9 +107,12 @@ class ClaimsRun:
     def _folder(self, name: str) -> str:
         return f"{self.out.rstrip('/')}/{name}"
 
+    @property
+    def snapshot(self) -> str:
+        return f"{self._folder('processed')}/{self.run_id}/{self.domain.table}.parquet"
+
     def _snapshot(self) -> DataFrame:
-        path = f"{self._folder('processed')}/{self.domain.table}.parquet"
-        return read_snapshot(self.spark, path)
+        return read_snapshot(self.spark, self.snapshot)
 
     def _table(self, name: str) -> DataFrame:
         full = f"`{self.database}`.`{name}`" if self.database else f"`{name}`"

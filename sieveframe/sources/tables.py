@@ -39,6 +39,21 @@ def store_tables(
     return stored
 
 
+def store_snapshot(
+    spark: SparkSession, name: str, path: str, database: str | None = None
+) -> str:
+    """Create or replace a table over files that are already written.
+
+    Nothing is copied. The files of the table it replaces stay where they are,
+    so give each snapshot a path of its own.
+    """
+    full = f"`{database}`.`{name}`" if database else f"`{name}`"
+    schema = spark.read.parquet(path).schema
+    spark.sql(f"DROP TABLE IF EXISTS {full}")
+    spark.catalog.createTable(full, path, source="parquet", schema=schema)
+    return full
+
+
 def load_summaries(
     spark: SparkSession,
     table: str,

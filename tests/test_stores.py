@@ -52,6 +52,14 @@ def test_store_replaces(spark, database):
     assert not spark.catalog.tableExists(f"{database}.claims__incoming")
 
 
+def test_a_table_over_a_snapshot(spark, database, tmp_path):
+    paths = [tables.save_snapshot(spark.range(n), f"s{n}", str(tmp_path)) for n in (3, 2)]
+    for path, rows in zip(paths, (3, 2)):
+        tables.store_snapshot(spark, "claims", path, database)
+        assert spark.table(f"{database}.claims").count() == rows
+    assert spark.read.parquet(paths[0]).count() == 3  # the old files stay
+
+
 def test_a_failed_store_leaves_the_old_table(spark, database):
     tables.store_tables(spark, {"claims": spark.range(3)}, database)
     broken = spark.range(3).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
@@ -210,6 +218,7 @@ def test_the_whole_run(spark, make_claims, tmp_path, database):
     run = ClaimsRun(spark, source, str(tmp_path / "out"), database)
     assert run.run() == ["clean", "validate", "store", "analyze", "report", "export"]
     stored = spark.table(f"{database}.claims")
+    assert all(run.run_id in path for path in stored.inputFiles())  # not copied
     row = stored.first()
     assert stored.count() == 60 and "c39" not in stored.columns
     assert (row.auto_make, row.collision_type) == ("Subaru", "Not Applicable")
