@@ -4,10 +4,12 @@ from pyspark.sql import functions as F
 
 from registry.common import CLAIMS, COUNT, RATE, Registry, money, with_summaries
 from sieveframe.bindings import claims, read
+from sieveframe.functions.numbers import exact_sum
 from sieveframe.operators import filters, ranking
 from sieveframe.plans import pages, summaries
 from sieveframe.plans.analysis import run_query
 from sieveframe.plans.claims import SEVERITY, STATE, TOTAL, TYPE
+from sieveframe.sources.scratch import settle
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -253,8 +255,6 @@ def share_of_total(spark, folder):
 
 
 def read_state_cost(spark, folder):
-    from sieveframe.functions.numbers import exact_sum
-
     df = claims(spark, folder, STATE, TOTAL)
     return df.groupBy(STATE).agg(exact_sum(df, TOTAL).alias("cost"))
 
@@ -284,7 +284,7 @@ SELECT format('{{:,}}', part.n) AS total_claims,
 FROM part, whole""",
 )
 def kpi_compare(spark, folder):
-    table = summaries.summarize(claims(spark, folder))["by_state_type"]
+    table = settle(summaries.summarize(claims(spark, folder))["by_state_type"])
     chosen = pages.select_claims(table, STATES, TYPES)
     return pages.compare_kpis(chosen, table, filtered=True)
 
@@ -302,5 +302,21 @@ SELECT format('{{:,}}', sum(claims)) AS total_claims,
 FROM by_state_type""",
 )
 def kpi_all(spark, folder):
-    table = summaries.summarize(claims(spark, folder))["by_state_type"]
+    table = settle(summaries.summarize(claims(spark, folder))["by_state_type"])
     return pages.compare_kpis(table, table, filtered=False)
+
+
+@query(
+    "kpi_caption",
+    f"""{CLAIMS}
+SELECT 'Incidents from ' || strftime(min(incident_date), '%b %-d, %Y') || ' to '
+  || strftime(max(incident_date), '%b %-d, %Y') || ' ' || chr(183) || ' '
+  || format('{{:,}}', count(*)) || ' of '
+  || format('{{:,}}', (SELECT count(*) FROM claims)) || ' claims' AS caption
+FROM claims WHERE {CHOSEN}""",
+)
+def kpi_caption(spark, folder):
+    tables = summaries.summarize_at_once(claims(spark, folder))
+    whole, days = tables["by_state_type"], tables["by_state_type_day"]
+    chosen = [pages.select_claims(t, STATES, TYPES) for t in (whole, days)]
+    return pages.caption(chosen[0], whole, chosen[1])

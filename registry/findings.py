@@ -23,7 +23,7 @@ from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.claims import DATE, FRAUD as FLAG
 from sieveframe.plans.claims import SEVERITY, STATE, TOTAL, TYPE
 from sieveframe.operators.filters import full_weeks
-from sieveframe.sources.scratch import settle_all
+from sieveframe.sources.scratch import settle, settle_all
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -238,7 +238,7 @@ REPORT = f"{CLAIMS}, {RESULTS}, {STATE_RESULT}, {REPORT_FACTS}"
 
 
 def _report_facts(spark, folder):
-    rows = claims(spark, folder)
+    rows = settle(claims(spark, folder))
     results = settle_all(run_queries(spark, DOMAIN.queries, {"claims": rows}))
     found = report.report_facts(results, DOMAIN.validate(rows))
     return found.withColumn("top_states_pct", F.round("top_states_pct", 6))

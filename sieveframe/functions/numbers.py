@@ -29,11 +29,17 @@ def exact_sum(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Column:
     kind = df.schema[name].dataType
     if not isinstance(kind, (T.DoubleType, T.FloatType)):
         return F.sum(name)
-    units = F.rint(F.col(name) * F.lit(float(10**scale))).cast("bigint")
+    amount = nan_to_null(F.col(name))
+    units = F.rint(amount * F.lit(float(10**scale))).cast("bigint")
     total = F.sum(units).cast("decimal(20,0)")
     return total * F.lit(Decimal(1).scaleb(-scale))
 
 
+def nan_to_null(col: Column) -> Column:
+    """NaN stands for a missing number, too."""
+    return F.nullif(col, F.lit(float("nan")))
+
+
 def exact_mean(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Column:
     """Exact sum over the number of present values, as a double."""
     return ratio(exact_sum(df, name, scale), F.count(name))
@@ -99,6 +105,20 @@ def big_dollars(col: Column) -> Column:
     return F.when(col >= F.lit(1e6), millions).otherwise(dollars(col))
 
 
+def plain(col: Column) -> Column:
+    """A double as text the way Python prints it: 14773770.0, 1e+16, 1e-05.
+
+    Spark's own text has an exponent from ten million on.
+    """
+    text, size = col.cast("string"), F.abs(col)
+    long = F.regexp_replace(col.cast("decimal(38,20)").cast("string"), "0+$", "")
+    whole = F.when(long.endswith("."), F.concat(long, F.lit("0"))).otherwise(long)
+    short = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "E+$1")
+    exponent = F.lower(F.regexp_replace(short, r"([+-])(\d)$", r"$1\0$2"))
+    middle = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
+    return F.when(middle, whole).when(text.contains("E"), exponent).otherwise(text)
+
+
 def _format(col: Column, pattern: str) -> Column:
     # The Python wrapper of format_number takes only a digit count.
     return F.call_function("format_number", col, F.lit(pattern))

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from sieveframe.functions.numbers import nan_to_null
 from sieveframe.sources.scratch import settle
 
-# Slices of the value range; each holds about 1/SLICES of the distinct values.
+# One task sorts at most about this many distinct values of a group.
+MAX_SORTED = 2_000_000
+# Slices per narrowing round.
 SLICES = 64
 
 
@@ -19,82 +22,109 @@ def group_quantiles(
     key: str,
     value: str,
     points: dict[str, float],
+    max_sorted: int = MAX_SORTED,
     slices: int = SLICES,
 ) -> DataFrame:
     """One row per key with linearly interpolated quantiles as doubles.
 
     ``percentile`` keeps every distinct value of a group in one buffer. Here
+    equal values are counted first, with partial aggregates, so a hot group or
+    a hot value shrinks before the shuffle. The counts are written once; the
+    rows are scanned a single time. As long as a group holds more distinct
+    values than one task should sort, the values are cut into slices and only
+    the slices around the wanted ranks are kept. What is left is sorted.
 
-    1. equal values are counted, with partial aggregates, so a hot group or a
-       hot value is reduced before the shuffle;
-    2. the value range is cut into slices at approximate quantiles of the
-       distinct values (the cuts only balance the work: every value falls into
-       exactly one slice, so the result does not depend on their accuracy);
-    3. the sizes of the slices tell which of them hold the wanted ranks;
-    4. only those are sorted, one task per (key, slice).
-
-    The counts are written once and every later step reads them, so the rows
-    are scanned a single time. Only the cuts go through the driver, and their
-    number is fixed. Null keys and null values are left out.
+    Null keys are left out; a key with nothing but null values gets null.
     """
     counted = settle(
-        df.select(F.col(key), F.col(value).cast("double").alias("_v"))
-        .filter(F.col(key).isNotNull() & F.col("_v").isNotNull())
+        df.select(F.col(key), nan_to_null(F.col(value).cast("double")).alias("_v"))
+        .filter(F.col(key).isNotNull())
         .groupBy(key, "_v")
         .agg(F.count(F.lit(1)).alias("_n")),
         "value-counts",
     )
-    steps = [i / slices for i in range(1, slices)]
-    cuts = counted.agg(F.percentile_approx("_v", steps, slices * 100)).first()[0]
-    sliced = counted.withColumn("_slice", _slice_of(F.col("_v"), sorted(cuts or [])))
-
-    # At most `slices` rows per key from here on.
-    by_key = Window.partitionBy(key)
-    upto = by_key.orderBy("_slice").rowsBetween(Window.unboundedPreceding, 0)
-    sizes = (
-        sliced.groupBy(key, "_slice")
-        .agg(F.sum("_n").alias("_size"))
-        .withColumn("_total", F.sum("_size").over(by_key))
-        .withColumn("_base", F.sum("_size").over(upto) - F.col("_size"))
-    )
-    end = F.col("_base") + F.col("_size")
-    wanted = _any(
-        (rank >= F.col("_base")) & (rank < end)
-        for p in points.values()
-        for rank in _ranks(p, F.col("_total"))
+    totals = settle(
+        counted.groupBy(F.col(key).alias("_key")).agg(
+            F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_n"))), F.lit(0))
+            .alias("_total")
+        ),
+        "value-totals",
     )
-    needed = sizes.filter(wanted).select(
-        F.col(key).alias("_key"),
-        F.col("_slice").alias("_own"),
-        F.col("_total"),
-        F.col("_base"),
+    # A segment is a run of neighbouring values: (key, position of its first row).
+    values = (
+        counted.filter(F.col("_v").isNotNull())
+        .join(totals, F.col(key) == F.col("_key"))
+        .select(key, "_v", "_n", "_total", F.lit(0).cast("bigint").alias("_base"))
     )
-
-    inside = Window.partitionBy(key, "_slice").orderBy("_v").rowsBetween(
+    size = counted.count()
+    while size > max_sorted and _largest_segment(values, key) > max_sorted:
+        values = settle(_narrowed(values, key, points, slices), "value-slices")
+        before, size = size, values.count()
+        if size == before:
+            break
+
+    inside = Window.partitionBy(key, "_base").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
     )
-    placed = (
-        sliced.join(
-            needed,
-            (F.col(key) == F.col("_key")) & (F.col("_slice") == F.col("_own")),
-        )
-        .withColumn("_end", F.col("_base") + F.sum("_n").over(inside))
-        .withColumn("_begin", F.col("_end") - F.col("_n"))
+    end = F.col("_base") + F.sum("_n").over(inside)
+    placed = values.withColumn("_end", end).withColumn(
+        "_begin", F.col("_end") - F.col("_n")
     )
-
     picked = []
     for i, p in enumerate(points.values()):
-        for side, rank in zip("ab", _ranks(p, F.col("_total"))):
+        for side, rank in zip("ab", _ranks(p)):
             here = (rank >= F.col("_begin")) & (rank < F.col("_end"))
             picked.append(F.max(F.when(here, F.col("_v"))).alias(f"_{side}{i}"))
     found = placed.groupBy(key).agg(F.max("_total").alias("_total"), *picked)
+    valueless = totals.filter("_total = 0").select(
+        "_key", *(F.lit(None).cast("double").alias(name) for name in points)
+    )
     return found.select(
         key,
         *(
             _between(F.col(f"_a{i}"), F.col(f"_b{i}"), p).alias(name)
             for i, (name, p) in enumerate(points.items())
         ),
+    ).unionAll(valueless)
+
+
+def _largest_segment(values: DataFrame, key: str) -> int:
+    """The most distinct values that a task would have to sort."""
+    segments = values.groupBy(key, "_base").count()
+    return segments.agg(F.max("count")).first()[0] or 0
+
+
+def _narrowed(
+    values: DataFrame, key: str, points: dict[str, float], slices: int
+) -> DataFrame:
+    """The values of those slices of each segment that hold a wanted rank.
+
+    The cuts between slices are approximate quantiles of the distinct values.
+    They only balance the work: each value falls into exactly one slice and the
+    slices are counted exactly, so the result does not depend on the cuts. Their
+    number is fixed, and so is what passes through the driver.
+    """
+    steps = [i / slices for i in range(1, slices)]
+    cuts = values.agg(F.percentile_approx("_v", steps, slices * 100)).first()[0]
+    sliced = values.withColumn("_slice", _slice_of(F.col("_v"), sorted(set(cuts))))
+
+    # At most `slices` rows per segment.
+    along = Window.partitionBy(key, "_base").orderBy("_slice")
+    before = F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    sizes = (
+        sliced.groupBy(key, "_base", "_slice")
+        .agg(F.sum("_n").alias("_size"), F.max("_total").alias("_total"))
+        .withColumn("_first", F.col("_base") + before - F.col("_size"))
+    )
+    end = F.col("_first") + F.col("_size")
+    wanted = _any(
+        (rank >= F.col("_first")) & (rank < end)
+        for p in points.values()
+        for rank in _ranks(p)
     )
+    needed = sizes.filter(wanted).select(key, "_base", "_slice", "_first")
+    kept = sliced.join(needed, [key, "_base", "_slice"])
+    return kept.select(key, "_v", "_n", "_total", F.col("_first").alias("_base"))
 
 
 def _slice_of(value: Column, cuts: list[float], first: int = 0) -> Column:
@@ -107,9 +137,9 @@ def _slice_of(value: Column, cuts: list[float], first: int = 0) -> Column:
     return F.when(value < F.lit(cuts[middle]), below).otherwise(above)
 
 
-def _ranks(p: float, total: Column) -> tuple[Column, Column]:
+def _ranks(p: float) -> tuple[Column, Column]:
     """The two neighbouring positions (from 0) of quantile p."""
-    place = F.lit(p) * (total - 1)
+    place = F.lit(p) * (F.col("_total") - 1)
     return F.floor(place), F.ceil(place)
 
 
@@ -118,7 +148,7 @@ def _between(low: Column, high: Column, p: float) -> Column:
     return low + (high - low) * (place - F.floor(place))
 
 
-def _any(conditions: Sequence[Column]) -> Column:
+def _any(conditions: Iterable[Column]) -> Column:
     out = F.lit(False)
     for condition in conditions:
         out = out | condition

@@ -23,6 +23,7 @@ from sieveframe.functions.numbers import (
     ratio,
     signed,
 )
+from sieveframe.functions.text import sentence
 from sieveframe.operators.filters import select_rows
 from sieveframe.operators.ranking import (
     category_order,
@@ -118,6 +119,24 @@ def compare_kpis(selected: DataFrame, everything: DataFrame, filtered: bool) ->
     )
 
 
+def caption(
+    selected: DataFrame, everything: DataFrame, selected_days: DataFrame
+) -> DataFrame:
+    """'Incidents from Jan 1, 2015 to Mar 1, 2015 · 12 of 1,000 claims'.
+
+    Takes (state, type) summaries and the day summary of the selection.
+    """
+    total = everything.agg(F.sum("claims")).scalar()
+    ends = selected_days.agg(F.min(DATE).alias("first"), F.max(DATE).alias("last"))
+    return selected.agg(F.sum("claims").alias("claims")).select(
+        sentence(
+            "Incidents from ", long_day(ends.select("first").scalar()),
+            " to ", long_day(ends.select("last").scalar()), " \u00b7 ",
+            grouped(F.col("claims")), " of ", grouped(total), " claims",
+        ).alias("caption")
+    )
+
+
 def daily_claims(claims: DataFrame) -> DataFrame:
     """Claims per day with the two-week mean, days without claims as 0."""
     return daily(count_by_day(claims, DATE)).orderBy("day")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
@@ -14,6 +15,7 @@ from sieveframe.plans.claims import CLAIMS
 from sieveframe.plans.domain import Domain
 from sieveframe.plans.publish import export_all
 from sieveframe.plans.report import headlines, report_facts, section_tables
+from sieveframe.session import build_session
 from sieveframe.sources.exports import export_csvs, save_report, save_results
 from sieveframe.sources.scratch import settle_all
 from sieveframe.sources.tables import (
@@ -117,3 +119,15 @@ class ClaimsRun:
     def _table(self, name: str) -> DataFrame:
         full = f"`{self.database}`.`{name}`" if self.database else f"`{name}`"
         return self.spark.table(full)
+
+
+def main(source: str, out: str, database: str | None = None) -> None:
+    """python -m sieveframe.plans.run <claims file> <output folder> [database]"""
+    run = ClaimsRun(build_session("claims"), source, out, database)
+    for name, step in run.steps():
+        print(f"== {name}")
+        step()
+
+
+if __name__ == "__main__":
+    main(*sys.argv[1:])

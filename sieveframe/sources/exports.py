@@ -1,4 +1,4 @@
-"""CSV exports: ISO dates, True/False, empty cells for missing values.
+"""CSV exports: ISO dates, True/False, plain numbers, nothing for missing values.
 
 Spark writes each table as a folder <name>.csv of part files with a header.
 Nothing is gathered into one file: the parts of a large table are written by
@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveframe.functions.numbers import plain
+
 _DAY = "yyyy-MM-dd"
 
 
@@ -57,6 +59,8 @@ def _cell(field: T.StructField) -> Column:
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BooleanType):
         return F.when(col, "True").when(~col, "False")
+    if isinstance(field.dataType, T.DoubleType):
+        return plain(col)
     if isinstance(field.dataType, T.ArrayType):
         items = F.array_join(col.cast("array<string>"), ", ", "null")
         return F.when(

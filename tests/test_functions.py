@@ -158,3 +158,17 @@ def test_has_zone(spark):
     df = spark.createDataFrame([(c,) for c in cells], "c string")
     got = [r[0] for r in df.select(dates.has_zone(F.col("c"))).collect()]
     assert got == [True, True, False, False]
+
+
+def test_plain_numbers_read_like_python(spark):
+    cells = [0.0, -0.0, 1.0, 56388.0, 9999999.0, 1e7, 14773770.0, 12345678.25, -2.5e9,
+             9007199254740993.0, 9.99e15, 1e16, 1.5e300, 0.001, 0.00025, -1e-4, 1e-5, 2.5e-12,
+             0.1, 123.456]
+    df = spark.createDataFrame([(c,) for c in cells], "x double")
+    got = [r[0] for r in df.select(numbers.plain(F.col("x"))).collect()]
+    assert got == [repr(c) for c in cells]
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(float("nan"),), (1.5,)], "x double")
+    assert tuple(df.agg(numbers.exact_sum(df, "x").cast("double")).first()) == (1.5,)

@@ -41,8 +41,10 @@ def brute(pdf, points):
     }
 
 
-@pytest.mark.parametrize("slices", [2, 7, 64])
-def test_group_quantiles_equal_brute_force(spark, slices):
+@pytest.mark.parametrize(
+    "max_sorted, slices", [(10**6, 64), (500, 64), (40, 8), (1, 4), (1, 2)]
+)
+def test_group_quantiles_equal_brute_force(spark, max_sorted, slices):
     """Hot groups, hot values, ties, outliers, tiny groups and nulls."""
     key = (
         F.when(F.col("id") % 3 == 0, "hot")
@@ -60,7 +62,7 @@ def test_group_quantiles_equal_brute_force(spark, slices):
     points = {"p0": 0.0, "p5": 0.05, "q1": 0.25, "median": 0.5, "p999": 0.999, "p100": 1.0}
     got = {
         r["k"]: [r[n] for n in points]
-        for r in group_quantiles(df, "k", "v", points, slices).collect()
+        for r in group_quantiles(df, "k", "v", points, max_sorted, slices).collect()
     }
     want = brute(df.toPandas(), points)
     assert got.keys() == want.keys()
@@ -77,3 +79,10 @@ def test_quantiles_of_whole_numbers(spark):
     df = spark.range(101).select(F.lit("x").alias("k"), F.col("id").alias("v"))
     [row] = group_quantiles(df, "k", "v", {"p5": 0.05, "m": 0.5, "p95": 0.95}).collect()
     assert tuple(row) == ("x", 5.0, 50.0, 95.0)
+
+
+def test_a_group_without_values_stays(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", None), ("a", nan), ("b", 2.0), ("b", nan)], "k string, v double")
+    found = {r.k: r.m for r in group_quantiles(df, "k", "v", {"m": 0.5}).collect()}
+    assert found == {"a": None, "b": 2.0}
