@@ -7,7 +7,8 @@ know the types pass ``types`` and skip that look.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import itertools
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 from pathlib import PurePosixPath
@@ -29,7 +30,7 @@ FALSE_WORDS = ("False", "FALSE", "false")
 _NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity))\s*$"
 _WHOLE = r"^\s*[+-]?\d+\s*$"
 _MAX_UNSIGNED = Decimal(2**64 - 1)
-_BROKEN = "broken line"
+_BROKEN = "broken_line"
 
 # What a cell can show about the type of its column. A look gives one of these
 # bits, and the bits of all cells are or-ed: one small aggregate per column.
@@ -54,11 +55,10 @@ def load_csv(
     cell that does not fit its declared type raises when read. ``multi_line``
     allows line breaks inside quotes, at the price that a file is one task.
     """
-    raw = read_text_cells(spark, path, multi_line)
+    names, raw = read_text_cells(spark, path, multi_line)
     if types is None:
-        names = raw.drop(_BROKEN).columns
         types = _types_of(names, _seen(raw, path, _type_looks(names)))
-    return _typed(raw, types)
+    return _typed(raw, names, types)
 
 
 def load_inbox(spark: SparkSession, folder: str, **options) -> dict[str, DataFrame]:
@@ -91,16 +91,15 @@ def load_clean(
     file is parsed twice (look, use) and not three times.
     """
     fills = fills or {}
-    raw = read_text_cells(spark, path, multi_line)
-    names = raw.drop(_BROKEN).columns
+    names, raw = read_text_cells(spark, path, multi_line)
 
-    def prepared(name: str) -> Column:
-        cell = strip_blank(F.col(_quoted(name)))
+    def prepared(cell: Column, name: str) -> Column:
         fill = fills.get(snake_name(name))
-        return cell if fill is None else F.coalesce(cell, F.lit(str(fill)))
+        bare = strip_blank(cell)
+        return bare if fill is None else F.coalesce(bare, F.lit(str(fill)))
 
     # Two selects, so that each cell is prepared once for its look.
-    ready = {f"ready:{i}": prepared(name) for i, name in enumerate(names)}
+    ready = {f"ready{i}": prepared(_cell(i), name) for i, name in enumerate(names)}
     bits = _seen(
         raw.withColumns(ready),
         path,
@@ -113,30 +112,41 @@ def load_clean(
         empty=frozenset(map(snake_name, found.empty)),
         flags=frozenset(map(snake_name, found.flags)),
     )
-    return cleaning.finish(cleaning.prepare(_typed(raw, types), fills), verdict)
+    table = cleaning.prepare(_typed(raw, names, types), fills)
+    return cleaning.finish(table, verdict)
 
 
 def read_text_cells(
     spark: SparkSession, path: str, multi_line: bool = False
-) -> DataFrame:
-    """All cells as text with the missing ones null, plus the broken lines."""
-    options = {
-        "header": True,
-        "escape": '"',
-        "multiLine": multi_line,
-        "columnNameOfCorruptRecord": _BROKEN,
-    }
-    reader = spark.read.options(**options)
-    header = reader.csv(path).columns
-    schema = ", ".join(f"{_quoted(c)} string" for c in [*header, _BROKEN])
-    raw = reader.schema(schema).csv(path)
-    return raw.select(
-        *(
-            F.when(~F.col(_quoted(c)).isin(*MISSING), F.col(_quoted(c))).alias(c)
-            for c in header
-        ),
-        F.col(_quoted(_BROKEN)),
+) -> tuple[list[str], DataFrame]:
+    """The column names, and all cells as text with the missing ones null.
+
+    The cells are in columns cell0, cell1, ..., since names in a header may be
+    missing or repeat. A further column holds the lines with too few or too
+    many cells.
+    """
+    reader = spark.read.options(
+        escape='"', multiLine=multi_line, columnNameOfCorruptRecord=_BROKEN
     )
+    first = reader.csv(path).first()
+    if first is None:
+        raise ValueError(f"{path}: no header")
+    names = _unique_names(first)
+    columns = [f"cell{i}" for i in range(len(names))]
+    schema = ", ".join(f"`{c}` string" for c in [*columns, _BROKEN])
+    raw = reader.schema(schema).csv(path, header=True)
+    present = (F.when(~F.col(c).isin(*MISSING), F.col(c)).alias(c) for c in columns)
+    return names, raw.select(*present, F.col(_BROKEN))
+
+
+def _unique_names(header: Iterable[str | None]) -> list[str]:
+    """A missing name says its place; a repeated one gets a number."""
+    names: list[str] = []
+    for i, name in enumerate(header):
+        base = (name or f"Unnamed: {i}").removeprefix("\ufeff")
+        copies = (f"{base}.{n}" if n else base for n in itertools.count())
+        names.append(next(c for c in copies if c not in names))
+    return names
 
 
 def is_date_name(name: str) -> bool:
@@ -145,8 +155,8 @@ def is_date_name(name: str) -> bool:
 
 def _type_looks(names: list[str]) -> list[Column]:
     return [
-        _date_look(cell) if is_date_name(name) else _type_look(cell)
-        for name, cell in ((n, F.col(_quoted(n))) for n in names)
+        _date_look(_cell(i)) if is_date_name(name) else _type_look(_cell(i))
+        for i, name in enumerate(names)
     ]
 
 
@@ -179,8 +189,8 @@ def _date_look(cell: Column) -> Column:
     )
 
 
-def _line_look(last_name: str) -> Column:
-    line, last = F.col(_quoted(_BROKEN)), F.col(_quoted(last_name))
+def _line_look(last: Column) -> Column:
+    line = F.col(_BROKEN)
     quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
     return (
         F.when(line.isNull(), 0)
@@ -192,8 +202,8 @@ def _line_look(last_name: str) -> Column:
 
 def _seen(raw: DataFrame, path: str, looks: list[Column]) -> list[int | None]:
     """The bits of each look over all lines; broken lines raise."""
-    last = raw.columns[raw.columns.index(_BROKEN) - 1]
-    named = [_line_look(last).alias("_lines")]
+    last = raw.columns.index(_BROKEN) - 1
+    named = [_line_look(_cell(last)).alias("_lines")]
     named += [one.alias(f"_{i}") for i, one in enumerate(looks)]
     lines, *bits = cleaning.seen(raw.select(*named))
     if (lines or 0) & _OPEN_QUOTE:
@@ -231,12 +241,10 @@ def _date_type(name: str, bits: int) -> str:
     return "timestamp_ntz"
 
 
-def _typed(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
+def _typed(raw: DataFrame, names: list[str], types: Mapping[str, str]) -> DataFrame:
     out = []
-    for name in raw.columns:
-        if name == _BROKEN:
-            continue
-        cell = F.col(_quoted(name))
+    for i, name in enumerate(names):
+        cell = _cell(i)
         kind = types.get(name, "string")
         if kind == "timestamp_ntz":
             parsed = parse_iso(cell)
@@ -254,5 +262,5 @@ def _typed(raw: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return raw.select(*out)
 
 
-def _quoted(name: str) -> str:
-    return f"`{name.replace('`', '``')}`"
+def _cell(i: int) -> Column:
+    return F.col(f"cell{i}")

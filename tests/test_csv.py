@@ -104,6 +104,11 @@ def test_header_only(spark, write):
     assert df.columns == ["a", "b"] and df.isEmpty()
 
 
+def test_an_empty_file_raises(spark, write):
+    with pytest.raises(ValueError, match="no header"):
+        load_csv(spark, write(""))
+
+
 def test_inbox_reads_every_csv(spark, write, tmp_path):
     write("x\n1\n", "b.csv")
     write("y\n2.5\n3\n", "a.csv")
@@ -129,8 +134,20 @@ def test_load_clean_equals_the_two_steps(spark, write):
 
 
 def test_the_look_is_one_small_aggregate(spark, write):
-    raw = csv_files.read_text_cells(spark, write("a,b\n1,2\n"))
-    looks = csv_files._type_looks(["a", "b"])
+    names, raw = csv_files.read_text_cells(spark, write("a,b\n1,2\n"))
+    looks = csv_files._type_looks(names)
     plan = raw.select(*(x.alias(str(i)) for i, x in enumerate(looks)))
     plan = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
+
+
+def test_missing_and_repeated_names(spark, write):
+    df = load_csv(spark, write("\ufeffid,,a,A,a,a.1\n1,2,3,4,5,6\n"))
+    assert df.columns == ["id", "Unnamed: 1", "a", "A", "a.1", "a.1.1"]
+    assert rows(df) == [(1, 2, 3, 4, 5, 6)]
+
+
+def test_names_with_dots_and_backticks(spark, write):
+    df = load_csv(spark, write("a.b,c`d,date.x\n1,x,2015-01-01\n"))
+    assert df.columns == ["a.b", "c`d", "date.x"]
+    assert cleaning.clean(df).columns == ["a_b", "c_d", "date_x"]
