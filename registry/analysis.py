@@ -17,12 +17,13 @@ from registry.common import (
 from registry.filters import MERGED_EVENTS, merged_events
 from sieveframe.bindings import claims
 from sieveframe.plans import pages, summaries
-from sieveframe.plans.analysis import run_queries
+from sieveframe.plans.analysis import run_queries, run_query
 from sieveframe.plans.claims import AMOUNTS, DATE, FRAUD as FLAG
 from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.claims import PARTS, SEVERITY, STATE, TOTAL, TYPE
 from sieveframe.operators.ranking import ordered
 from sieveframe.operators.quantiles import group_quantiles
+from sieveframe.sources.scratch import settle
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -68,8 +69,6 @@ def analysis_query(name):
         """One of the SQL files; the view holds only the columns it needs."""
         rows = claims(spark, folder, *NEEDED[name])
         rows.createOrReplaceTempView("claims")
-        from sieveframe.plans.analysis import run_query
-
         text = (DOMAIN.queries / f"{name}.sql").read_text(encoding="utf-8")
         return run_query(spark, text)
 
@@ -96,7 +95,8 @@ parts AS (
 )
 def sql_folder(spark, folder):
     """The whole folder in one go: every file's name, row count and claims."""
-    results = run_queries(spark, DOMAIN.queries, {"claims": claims(spark, folder)})
+    rows = settle(claims(spark, folder))
+    results = run_queries(spark, DOMAIN.queries, {"claims": rows})
     out = None
     for name, df in results.items():
         part = df.agg(
@@ -130,8 +130,7 @@ def merge_small(spark, folder):
     return merged_events(spark, folder).select("event_id", "user_id", "event_type")
 
 
-# Claims whose types are so fine that merging has work to do: one per state
-# and week day of the incident hour.
+# Claims whose types are so fine that merging has work to do: one per hour.
 FINE = f"""{CLAIMS},
 fine AS (
   SELECT * REPLACE (incident_type || ' ' || incident_hour_of_the_day AS incident_type)

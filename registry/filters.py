@@ -238,7 +238,7 @@ SELECT incident_state, cost,
 FROM states ORDER BY cost, incident_state DESC""",
 )
 def ranked_top(spark, folder):
-    return ranking.with_top_flag(_state_cost(spark, folder), STATE, "cost")
+    return ranking.with_top_flag(settle(_state_cost(spark, folder)), STATE, "cost")
 
 
 @query(
@@ -249,16 +249,12 @@ SELECT incident_state,
 FROM states""",
 )
 def share_of_total(spark, folder):
-    groups = read_state_cost(spark, folder)
+    df = claims(spark, folder, STATE, TOTAL)
+    groups = settle(df.groupBy(STATE).agg(exact_sum(df, TOTAL).alias("cost")))
     share = ranking.share_of_total(groups, "cost")
     return groups.select(STATE, share.alias("share"))
 
 
-def read_state_cost(spark, folder):
-    df = claims(spark, folder, STATE, TOTAL)
-    return df.groupBy(STATE).agg(exact_sum(df, TOTAL).alias("cost"))
-
-
 @query(
     "kpi_compare",
     f"""{with_summaries("by_state_type")},

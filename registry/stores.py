@@ -1,5 +1,7 @@
 """Sources, sinks, stores and the whole run."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from registry.analysis import ANALYSIS_SQL, FINE, fine_claims
@@ -7,13 +9,14 @@ from registry.cleaning import CLEAN
 from registry.common import CLAIMS, SUMMARIES, Registry, messy, money
 from registry.filters import merged_events
 from sieveframe.bindings import claims, read
+from sieveframe.operators import rules
 from sieveframe.plans import publish, summaries
 from sieveframe.plans.analysis import run_queries
 from sieveframe.plans.claims import AMOUNTS
 from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.run import ClaimsRun
 from sieveframe.sources import csv_files, exports, tables
-from sieveframe.sources.scratch import scratch_folder
+from sieveframe.sources.scratch import scratch_folder, settle
 
 REGISTRY = Registry()
 query = REGISTRY.query
@@ -177,8 +180,6 @@ FROM events WHERE user_id IN
 )
 def stored_report(spark, folder):
     """A report with its list of ids through the store."""
-    from sieveframe.operators import rules
-
     events = read(spark, folder, "events")
     checks = {"event unique": (rules.WARN, rules.unique("user_id"))}
     report = rules.validate(events, checks, "event_id")
@@ -241,8 +242,6 @@ SELECT 'value in range,warn,' || count(*) || ',"['
 FROM events WHERE NOT coalesce(value BETWEEN 5 AND 50, false)""",
 )
 def save_report_text(spark, folder):
-    from sieveframe.operators import rules
-
     checks = {"value in range": (rules.WARN, rules.between("value", 5, 50))}
     report = rules.validate(read(spark, folder, "events"), checks, "event_id")
     path = exports.save_report(report, "events", scratch_folder(spark, "reports"))
@@ -254,7 +253,7 @@ def _published(name):
 
     def run(spark, folder):
         """Written as CSV behind the checks, and read back with fixed types."""
-        rows = fine_claims(spark, folder)
+        rows = settle(fine_claims(spark, folder))
         out = scratch_folder(spark, "published")
         publish.publish_summaries(rows, {}, out, min_group=10)
         return tables.read_published(spark, out, publish.PUBLISHED)[name]
@@ -268,7 +267,7 @@ _published("by_state_type_day")
 
 @query(
     "publish_check",
-    f"""{FINE.replace("n >= 10", "n >= 10")},
+    f"""{FINE},
 groups AS (
   SELECT incident_state, incident_type, count(*) AS n FROM merged GROUP BY ALL
 )
@@ -278,7 +277,7 @@ UNION ALL SELECT 'all claims counted', 0""",
 )
 def publish_check(spark, folder):
     """The report behind the gate, with a limit that some groups miss."""
-    rows = fine_claims(spark, folder)
+    rows = settle(fine_claims(spark, folder))
     merged = summaries.summarize_at_once(rows, min_group=10)
     report = summaries.publish_report(merged, rows.count(), min_group=25)
     return report.select("check", "failed_rows")
@@ -308,7 +307,7 @@ def publish_refused(spark, folder):
 def _load_summaries(stored):
     def run(spark, folder):
         """From the stored table, or else from the published files."""
-        rows = claims(spark, folder)
+        rows = settle(claims(spark, folder))
         name, out = _database(spark), scratch_folder(spark, "published")
         if stored:
             tables.store_tables(spark, {"claims": rows}, name)
@@ -337,12 +336,6 @@ REGISTRY.add(
 )
 
 
-def _exported_text(cell):
-    return f"""
-SELECT concat_ws(',', incident_state, claims, total_amount, {cell}) AS line
-FROM ({ANALYSIS_SQL["claims_by_state"]})"""
-
-
 @query(
     "export_all",
     f"""{CLAIMS}
@@ -355,7 +348,7 @@ UNION ALL SELECT 'fraud_by_severity', count(DISTINCT incident_severity) FROM cla
 )
 def export_all(spark, folder):
     """Lines per exported file, headers left out."""
-    rows = claims(spark, folder)
+    rows = settle(claims(spark, folder))
     results = run_queries(spark, DOMAIN.queries, {"claims": rows})
     paths = publish.export_all(rows, results, scratch_folder(spark, "export"))
     out = None
@@ -413,7 +406,5 @@ def run_stops(spark, folder):
 
 
 def _only_parts():
-    from dataclasses import replace
-
     check = "claim parts sum to total"
     return replace(DOMAIN, rules={check: DOMAIN.rules[check]})

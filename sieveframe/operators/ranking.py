@@ -41,17 +41,20 @@ def _first_by(value: Column, key: Column, kept: Column | None) -> Column:
 
 
 def with_top_flag(df: DataFrame, label: str, value: str) -> DataFrame:
-    """Rows from smallest to largest value, the single largest one flagged."""
+    """Rows from smallest to largest value, the single largest one flagged.
+
+    The table is read twice, so settle it first.
+    """
     best = df.agg(key_at_max(F.col(value), F.col(label))).scalar()
     flagged = df.withColumn("is_top", F.col(label).eqNullSafe(best))
     return flagged.orderBy(F.col(value).asc_nulls_first(), F.col(label).desc_nulls_first())
 
 
 def share_of_total(df: DataFrame, value: str) -> Column:
-    """Each row's part of the column's sum over the (already grouped) table.
+    """Each row's part of the column's sum over an already grouped table.
 
-    The total is a scalar subquery on the same groups, whose shuffle Spark
-    reuses; a window without keys would move all groups into one task.
+    The total is a scalar subquery; a window without keys would move all groups
+    into one task. The table is read twice, so settle it first.
     """
     return ratio(F.col(value), df.agg(F.sum(value)).scalar())
 

@@ -31,24 +31,13 @@ def count_by_day(
     )
 
 
-def calendar(counts: DataFrame) -> DataFrame:
-    """Every day from the first to the last one of a series without keys."""
-    ends = counts.agg(F.min("day").alias("first"), F.max("day").alias("last"))
-    return ends.filter(F.col("first").isNotNull()).select(
-        F.explode(F.sequence("first", "last", F.expr("interval 1 day"))).alias("day")
-    )
-
-
 def fill_days(counts: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """One row per day from first to last (per key); absent days count 0.
 
-    Without keys the calendar is joined to the counts. With keys each day is
-    stretched to the next one instead: that needs one shuffle by key, which
-    later windows over the same key go on using, and no join.
+    Gives what a calendar left-joined to the counts gives, but each day is
+    stretched to the next one instead. So the counts are needed once, there is
+    no join, and later windows over the same keys go on using the one shuffle.
     """
-    if not keys:
-        filled = calendar(counts).join(counts, "day", "left")
-        return filled.select("day", F.coalesce("claims", F.lit(0)).alias("claims"))
     following = F.lead("day").over(Window.partitionBy(*keys).orderBy("day"))
     until = F.coalesce(F.date_sub(F.col("_next"), 1), F.col("day"))
     days = F.explode(F.sequence("day", until, F.expr("interval 1 day")))

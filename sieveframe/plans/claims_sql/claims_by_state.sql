@@ -1,5 +1,5 @@
 -- Claims and cost per incident state, with the state's share of all cost.
--- Amounts are summed as whole cents. The total is a scalar over the same groups.
+-- Amounts are summed as whole cents. The window sees one row per state.
 WITH groups AS (
   SELECT incident_state,
          count(*)                                            AS claims,
@@ -12,7 +12,6 @@ SELECT incident_state,
        claims,
        CAST(rint(cents / 100D) AS BIGINT)                        AS total_amount,
        round(try_divide(cents / 100D, priced))                   AS avg_amount,
-       round(try_divide(100D * cents, (SELECT sum(cents) FROM groups)), 1)
-                                                                 AS pct_of_total_amount
+       round(try_divide(100D * cents, sum(cents) OVER ()), 1)    AS pct_of_total_amount
 FROM groups
 ORDER BY total_amount DESC NULLS LAST, incident_state NULLS LAST

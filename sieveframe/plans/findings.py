@@ -55,12 +55,12 @@ def top_severity(claims: DataFrame) -> DataFrame:
 
 def top_type(claims: DataFrame) -> DataFrame:
     """The type with the highest mean amount, and its share of all cost."""
-    return _top_type(_measure(claims, TYPE))
+    return _top_type(settle(_measure(claims, TYPE), "types"))
 
 
 def top_state(claims: DataFrame) -> DataFrame:
     """The costliest state, its share of all cost and its fraud rate."""
-    return _top_state(_measure(claims, STATE))
+    return _top_state(settle(_measure(claims, STATE), "states"))
 
 
 def trend(claims: DataFrame) -> DataFrame:

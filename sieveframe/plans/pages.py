@@ -43,6 +43,7 @@ from sieveframe.plans.claims import (
     TOTAL,
     TYPE,
 )
+from sieveframe.sources.scratch import settle
 
 
 def select_claims(
@@ -206,11 +207,14 @@ def type_by_severity(
 
 def by_state(claims: DataFrame) -> DataFrame:
     """Claims, cost, share of cost, mean claim and fraud rate per state."""
-    groups = claims.groupBy(STATE).agg(
-        _claims(),
-        exact_sum(claims, TOTAL).cast("double").alias("claim_cost"),
-        exact_mean(claims, TOTAL).alias("avg_claim"),
-        _fraud_rate(),
+    groups = settle(
+        claims.groupBy(STATE).agg(
+            _claims(),
+            exact_sum(claims, TOTAL).cast("double").alias("claim_cost"),
+            exact_mean(claims, TOTAL).alias("avg_claim"),
+            _fraud_rate(),
+        ),
+        "states",
     )
     share = share_of_total(groups, "claim_cost").alias("cost_share")
     out = groups.select(
