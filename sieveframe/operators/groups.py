@@ -20,10 +20,13 @@ def with_group_size(
     df: DataFrame,
     keys: list[str],
     name: str = "group_size",
+    at_least: int = 1,
     broadcast_groups: int = BROADCAST_GROUPS,
 ) -> DataFrame:
     """Each row with the number of rows that share its keys; nulls are a value.
 
+    Rows of groups with fewer than ``at_least`` rows are left out.
+
     The rows are counted with partial aggregates and then joined to the counts;
     a window over the rows would pull a whole group into one task. The counts
     are measured before the join: a small table is broadcast, so no row moves.
@@ -31,12 +34,12 @@ def with_group_size(
     those few groups, and only the others are shuffled.
     """
     named = {k: f"_{name}_{i}" for i, k in enumerate(keys)}
-    sizes = settle(
-        df.groupBy(*(F.col(k).alias(named[k]) for k in keys)).agg(
-            F.count(F.lit(1)).alias(name)
-        ),
-        "group-sizes",
+    sizes = df.groupBy(*(F.col(k).alias(named[k]) for k in keys)).agg(
+        F.count(F.lit(1)).alias(name)
     )
+    if at_least > 1:
+        sizes = sizes.filter(F.col(name) >= at_least)
+    sizes = settle(sizes, "group-sizes")
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(named[k])) for k in keys))
     columns = [*df.columns, name]
     if sizes.count() <= broadcast_groups:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -19,11 +20,15 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="sieveframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/sieveframe/{label}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="sieveframe-")
+
+
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write a table once and go on from the files.
 

@@ -19,8 +19,6 @@ def spark(tmp_path_factory):
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    if session.conf.get("spark.checkpoint.dir", None) is None:
-        session.conf.set("spark.checkpoint.dir", str(base / "scratch"))
     yield session
     session.stop()
 

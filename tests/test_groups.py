@@ -26,6 +26,14 @@ def test_group_size(skewed, limit):
     assert sizes.tolist() == want.tolist()
 
 
+@pytest.mark.parametrize("limit", [100_000, 0], ids=["broadcast", "split"])
+def test_only_larger_groups(skewed, limit):
+    got = with_group_size(skewed, ["a", "b"], "n", 3, broadcast_groups=limit)
+    pdf = skewed.toPandas()
+    size = pdf.groupby(["a", "b"], dropna=False)["id"].transform("size")
+    assert sorted(r.id for r in got.collect()) == sorted(pdf.id[size >= 3])
+
+
 def test_the_split_path_shuffles_no_hot_rows(skewed):
     df = with_group_size(skewed, ["a"], "n", broadcast_groups=0)
     df.collect()

@@ -177,11 +177,29 @@ def test_load_summaries_without_the_table(spark, make_claims, tmp_path, database
 
 
 def test_settle_reads_its_own_files(spark):
-    folder = spark.conf.get("spark.checkpoint.dir")
     df = settle(spark.range(5), "five")
     assert df.count() == 5
-    assert all(folder in f for f in df.inputFiles())
-    assert scratch_folder(spark, "x") != scratch_folder(spark, "x")
+    assert all("/sieveframe/five-" in f for f in df.inputFiles())
+
+
+@pytest.mark.parametrize(
+    "master, setting, start",
+    [("yarn", "hdfs://shared/", "hdfs://shared/sieveframe/x-"),
+     ("local[4]", "/given", "/given/sieveframe/x-"), ("local[4]", None, "/"), ("yarn", None, None)],
+)
+def test_the_scratch_folder(master, setting, start):
+    from types import SimpleNamespace as Fake
+
+    session = Fake(
+        conf=Fake(get=lambda key, default: setting), sparkContext=Fake(master=master)
+    )
+    if start is None:
+        with pytest.raises(RuntimeError, match="shared folder"):
+            scratch_folder(session, "x")
+        return
+    one, two = scratch_folder(session, "x"), scratch_folder(session, "x")
+    assert one.startswith(start) and one != two
+    assert one.rsplit("-", 1)[0] == two.rsplit("-", 1)[0]
 
 
 def test_steps_stop_at_the_first_failure():
