@@ -4,7 +4,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from registry.analysis import ANALYSIS_SQL, FINE, fine_claims
+from registry.analysis import ANALYSIS_SQL, FINE, _quantiles, fine_claims
 from registry.cleaning import CLEAN
 from registry.common import CLAIMS, SUMMARIES, Registry, messy, money
 from registry.filters import merged_events
@@ -248,9 +248,7 @@ def save_report_text(spark, folder):
     return _lines(spark, path, ",".join(report.columns))
 
 
-def _published(name):
-    sql = SUMMARIES[name].replace("FROM claims", "FROM merged")
-
+def _published(name, sql):
     def run(spark, folder):
         """Written as CSV behind the checks, and read back with fixed types."""
         rows = settle(fine_claims(spark, folder))
@@ -261,8 +259,12 @@ def _published(name):
     REGISTRY.add(f"published_{name}", run, FINE + sql)
 
 
-_published("by_state_type")
-_published("by_state_type_day")
+for _name, _sql in SUMMARIES.items():
+    _published(_name, _sql.replace("FROM claims", "FROM merged"))
+_published(
+    "claim_amount_stats",
+    f"SELECT incident_type, {_quantiles(summaries.BOX)} FROM fine GROUP BY 1",
+)
 
 
 @query(
