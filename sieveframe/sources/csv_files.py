@@ -39,7 +39,7 @@ _NULL, _FLAG, _INT, _NEGATIVE, _UNSIGNED, _OVER, _FLOAT, _TEXT = (
 )
 _DATE, _NO_DATE, _ZONED = _INT, _TEXT, _OVER
 # Patterns come first: a cast that fails raises and catches an error for every
-# cell of text, which costs a hundred times more than a pattern.
+# cell of text, which costs about ten times as much as a pattern.
 _TYPE_LOOK = f"""
 CASE WHEN cell IS NULL THEN {_NULL}
      WHEN cell RLIKE r'{_WHOLE}' THEN
