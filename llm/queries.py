@@ -5,8 +5,21 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from llm import quality, substring_dedup, suffix_dedup
+import corpus_pipeline
+from llm import (
+    decontamination,
+    language_model,
+    minhash,
+    pieces,
+    pii,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+    toxicity,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,6 +47,45 @@ WITH words AS (
   FROM (SELECT doc_id, regexp_extract_all(text, '{SPACES}') AS ws FROM documents)
 )"""
 
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP1_SQL = f"""
+WITH RECURSIVE words AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all({_SMALL}, '{SPACES}') AS ws FROM documents
+),
+shingles AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, unnest(CASE
+      WHEN len(ws) = 1 THEN ws
+      ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s
+    FROM words WHERE len(ws) > 0)
+),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+),
+links AS MATERIALIZED (
+  SELECT a, b FROM pairs JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * shared >= {minhash.SIMILARITY} * (p.n + q.n - shared)
+),
+ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents
+  UNION
+  SELECT reach.a, ways.b FROM reach JOIN ways ON reach.b = ways.a
+)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+LEFT JOIN sizes USING (doc_id)"""
+
+
+@query("op1_minhash_dedup", OP1_SQL)
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose 2-word shingles are 80 percent alike."""
+    return minhash.near_duplicates(documents(spark, folder), width=2)
+
+
 OP2_SQL = f"""{_WORDS},
 windows AS (
   SELECT doc_id, i, md5(string_agg(word, ' ') OVER w) AS h, count(*) OVER w AS n
@@ -68,6 +120,47 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+_W, _M = decontamination.WINDOW, decontamination.MATCH
+OP3_SQL = f"""
+WITH own AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
+  FROM (SELECT doc_id, regexp_extract_all(lower(text), '{SPACES}') AS ws FROM documents)
+),
+items AS (
+  SELECT item_id, regexp_extract_all(lower(text), '{SPACES}') AS ws FROM benchmark
+),
+theirs AS (
+  SELECT item_id, len(ws) AS n, generate_subscripts(ws, 1) AS j, unnest(ws) AS word
+  FROM items WHERE len(ws) >= {decontamination.SHORTEST}
+),
+same AS (
+  SELECT doc_id, item_id, n, i - j AS shift, j FROM own JOIN theirs USING (word)
+),
+counted AS (
+  SELECT doc_id, item_id, n, count(*) OVER (
+    PARTITION BY doc_id, item_id, shift ORDER BY j
+    RANGE BETWEEN CURRENT ROW AND {_W - 1} FOLLOWING) AS equal
+  FROM same
+),
+found AS (
+  SELECT DISTINCT doc_id, item_id FROM counted
+  WHERE 100 * equal >= {_M} * least(n, {_W})
+),
+figures AS (
+  SELECT doc_id, count(*) AS n_items, min(item_id) AS first_item FROM found GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_items, 0) AS n_items, first_item,
+       n_items IS NOT NULL AS contaminated
+FROM documents LEFT JOIN figures USING (doc_id)"""
+
+
+@query("op3_decontaminate", OP3_SQL)
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold passages of the benchmark, up to substituted words."""
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    return decontamination.contaminated(documents(spark, folder), benchmark)
+
+
 OP4_SQL = f"""
 WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS t FROM documents),
 windows AS (
@@ -114,6 +207,44 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of personal data: the base rules' and those that the trees add."""
+    out = pii.detect(documents(spark, folder))
+    return out.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.joined(F.col("base")), 256).alias("base_sha256"),
+        pii.joined(F.col("spans")).alias("spans"),
+    )
+
+
+@query("op6_sentencepiece")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every text, their digest, and whether they decode to it."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return pieces.encode(docs, pieces.load_vocabulary(), keep=False)
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of all documents, learnt from labels that are not held out."""
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    return toxicity.classify(documents(spark, folder), labels)
+
+
+@query("op8_language_model")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Kneser-Ney log probabilities of all documents."""
+    return language_model.score_documents(documents(spark, folder))
+
+
+@query("op9_sharding")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    """The slot and shard of every document."""
+    docs = documents(spark, folder).select("doc_id", "text")
+    return sharding.place(docs).select("doc_id", "slot", "shard")
+
+
 def _op10_sql() -> str:
     lengths = list(quality.NGRAM_LIMITS)
     flags = ",\n".join(
@@ -193,3 +324,9 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         "base_failed", "kept",
     )
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """All stages, one after the other."""
+    return corpus_pipeline.run(spark, folder)
