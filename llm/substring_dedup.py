@@ -17,12 +17,14 @@ WINDOW = 35
 MER = 5
 # A run of MER words is hot if it is there once in so many rows, or more often.
 HOT = 100
+_NONE = np.zeros(0, np.int64)
 
 
 def _mers(w: T.Words) -> tuple[np.ndarray, np.ndarray]:
     """Places and hashes of the runs of MER words that stay in their row."""
     hashes = T.Rolling(w.hash, T.WORD_BASES[1]).fixed(MER)
-    places = np.flatnonzero(w.row[: len(hashes)] == w.row[MER - 1 :]) if len(hashes) else np.zeros(0, np.int64)
+    inside = w.row[: len(hashes)] == w.row[MER - 1 :] if len(hashes) else _NONE
+    places = np.flatnonzero(inside)
     return places, hashes[places]
 
 
@@ -36,7 +38,7 @@ def hot_mers(docs: DataFrame) -> np.ndarray:
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in T.slices(batches, limit=T.SLICE):
+        for part in T.slices(batches, limit=4 * T.SLICE):
             w = T.words(part.data, part.offsets)
             places, hashes = _mers(w)
             # Once a row: the first of equal (row, hash) counts.
@@ -101,13 +103,21 @@ def recurring(p: S.Packed) -> tuple[np.ndarray, np.ndarray]:
     """Sorts a bucket's windows, each as two 64-bit hashes, and counts equal ones."""
     offsets = np.zeros(len(p.lengths) + 1, np.int64)
     np.cumsum(p.lengths, out=offsets[1:])
-    w = T.words(p.data, offsets)
-    one = T.Rolling(w.hash, T.WORD_BASES[0]).fixed(WINDOW)
-    two = T.Rolling(w.hash, T.WORD_BASES[1]).fixed(WINDOW)
-    at = np.flatnonzero(w.row[: len(one)] == w.row[WINDOW - 1 :]) if len(one) else np.zeros(0, np.int64)
-    hit = at[counted(one[at], two[at], p.weight[w.row[at]])]
-    first = np.searchsorted(w.row, np.arange(len(p.lengths)), "left")
-    return w.row[hit], hit - first[w.row[hit]]
+    held, i = [], 0
+    while i < len(p.lengths):
+        j = int(np.searchsorted(offsets, offsets[i] + T.SLICE, "right")) - 1
+        j = max(i + 1, min(j, len(p.lengths)))
+        w = T.words(p.data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+        one = T.Rolling(w.hash, T.WORD_BASES[0]).fixed(WINDOW)
+        two = T.Rolling(w.hash, T.WORD_BASES[1]).fixed(WINDOW)
+        at = np.flatnonzero(w.row[: len(one)] == w.row[WINDOW - 1 :]) if len(one) else _NONE
+        row = w.row[at]
+        first = np.searchsorted(w.row, np.arange(j - i), "left")
+        held.append((one[at], two[at], row + i, at - first[row]))
+        i = j
+    one, two, string, place = (np.concatenate(x) for x in zip(*held))
+    hit = counted(one, two, p.weight[string])
+    return string[hit], place[hit]
 
 
 def counted(one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> np.ndarray:

@@ -305,7 +305,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with a key, and (owner, key, a, b) of bytes a to b that recur."""
     keyed = S.with_row_key(docs)
     tasks = S.tasks_of(docs)
-    packed = S.pack(keyed, find, WIDTH, tasks * S.BUCKETS_A_TASK)
+    packed = S.pack(keyed, find, WIDTH, tasks * S.BUCKETS_A_TASK, with_minimiser=True)
     return keyed, S.spans(packed, recurring, WIDTH, tasks)
 
 

@@ -13,13 +13,16 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
 
-PACKED = 24 << 20  # bytes of text whose super-k-mers are packed together
+PACKED = 12 << 20  # bytes of text whose super-k-mers are packed together
 BUCKETS_A_TASK = 8
+# What a better compression costs is little beside finding the strings.
+_CODEC = pa.Codec("zstd", compression_level=6)
 ROW_KEY = "row_key"
 
 
@@ -105,12 +108,12 @@ def _freeze(p: Packed) -> bytes:
     head = np.array([len(p.lengths), len(p.data)], np.int64)
     parts = [head, *(np.asarray(x, t) for x, t in zip(p[1:], _FIELDS))]
     raw = b"".join([*(x.tobytes() for x in parts), bytes(p.data)])
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
 
 
 def _thaw(blob: bytes) -> Packed:
     size = int.from_bytes(blob[:8], "little")
-    raw = pa.decompress(blob[8:], size, "zstd", asbytes=True)
+    raw = _CODEC.decompress(blob[8:], size, asbytes=True)
     n, body = np.frombuffer(raw, np.int64, 2)
     at, columns = 16, []
     for kind in _FIELDS:
@@ -139,6 +142,7 @@ def pack(
     find: Callable[[np.ndarray, np.ndarray], Found],
     width: int,
     buckets: int,
+    with_minimiser: bool = False,
 ) -> DataFrame:
     """Strings by bucket, and at once the spans of strings that recur in their batch.
 
@@ -164,12 +168,14 @@ def pack(
                 r = got.runs
                 strings.append((text, got, owner[at:to][r.row], key[at:to][r.row]))
                 at = to
-            yield from _deal(strings, width, buckets)
+            yield from _deal(strings, width, buckets, with_minimiser)
 
     return docs.mapInArrow(work, PACKED_SCHEMA)
 
 
-def _deal(strings: list, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _deal(
+    strings: list, width: int, buckets: int, with_minimiser: bool
+) -> Iterator[pa.RecordBatch]:
     text = [t for part in strings for t in part[0]]
     if not text:
         return
@@ -188,7 +194,7 @@ def _deal(strings: list, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
     if many.any():
         yield _spans(
             owner[many], key[many], start[many], start[many] + windows[many] + width,
-            bucket=(T.mix(key[many].view(np.uint64)) % np.uint64(buckets)).astype(np.int32),
+            bucket=_dealt(owner[many], key[many], buckets),
         )
     lead = np.zeros(len(order), bool)
     lead[order[new]] = True
@@ -206,7 +212,7 @@ def _deal(strings: list, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
             Packed(
                 np.frombuffer(b"".join(mine), np.uint8),
                 np.fromiter(map(len, mine), np.int64, len(mine)),
-                minimiser[of],
+                minimiser[of] if with_minimiser else np.zeros(len(of), np.uint64),
                 1 + many[of],
                 np.where(many[of], -1, owner[of]),
                 key[of],
@@ -223,6 +229,12 @@ def _deal(strings: list, width: int, buckets: int) -> Iterator[pa.RecordBatch]:
         yield _blobs(names, blobs)
 
 
+def _dealt(owner: np.ndarray, key: np.ndarray, buckets: int) -> np.ndarray:
+    """A bucket for each row; copies of a text share the key, so the owner counts too."""
+    both = T.mix(owner.view(np.uint64)) ^ key.view(np.uint64)
+    return (T.mix(both) % np.uint64(buckets)).astype(np.int32)
+
+
 def _blobs(buckets: list, blobs: list) -> pa.RecordBatch:
     none = pa.nulls(len(blobs), pa.int64())
     return pa.RecordBatch.from_arrays(
@@ -260,9 +272,9 @@ def spans(
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
         for batch in batches:
-            known = pa.compute.is_null(batch.column("packed"))
+            known = pc.is_null(batch.column("packed"))
             yield batch.filter(known).select(["owner", "key", "a", "b"])
-            rest = batch.filter(pa.compute.invert(known))
+            rest = batch.filter(pc.invert(known))
             for b, blob in zip(
                 rest.column("bucket").to_pylist(), rest.column("packed").to_pylist()
             ):
@@ -289,11 +301,11 @@ def spans(
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a hash that tells rows of one doc_id apart."""
+    """doc_id, text and a 32-bit hash that tells rows of one doc_id apart."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "text",
-        F.xxhash64(F.col("text"), F.col("doc_id").isNull()).alias(ROW_KEY),
+        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long")).alias(ROW_KEY),
     )
 
 
@@ -311,7 +323,7 @@ def with_spans(keyed: DataFrame, found: DataFrame) -> DataFrame:
 def removed(spans_: pa.ListArray, offsets: np.ndarray) -> np.ndarray:
     """Flags over the positions of all rows; row r has offsets[r] to offsets[r + 1]."""
     step = np.zeros(offsets[-1] + 1, np.int32)
-    sizes = pa.compute.fill_null(pa.compute.list_value_length(spans_), 0)
+    sizes = pc.fill_null(pc.list_value_length(spans_), 0)
     flat = spans_.flatten()
     if len(flat):
         base = np.repeat(offsets[:-1], np.asarray(sizes, np.int64))

@@ -8,7 +8,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-SLICE = 4 << 20  # bytes of text that are looked at together
+SLICE = 1 << 20  # bytes of text that are looked at together
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
