@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -289,7 +290,7 @@ def encode(
 
 def _pieces_of(batch: pa.RecordBatch, column: str, limit: int = 8 << 20):
     """Row ranges of about ``limit`` bytes of text."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
     at, held = 0, 0
     for i, n in enumerate(sizes.to_pylist()):
         if held and held + n > limit:
