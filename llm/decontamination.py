@@ -20,8 +20,9 @@ MASKS = {
     5: ((0, 1, 2), (0, 1, 3)),
 }
 SPAN = 1 + max(p for masks in MASKS.values() for mask in masks for p in mask)
-# Words of items that are broadcast at once: at most 2 seeds and 1 hash of 8 bytes each.
-BLOCK = 1_000_000
+# Words of items that are broadcast at once: at most 2 seeds each, with the words around
+# them, in less than 1 KB.
+BLOCK = 200_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -31,6 +32,10 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
+def _used(masks: list) -> list[int]:
+    return sorted({p for _, mask in masks for p in mask})
+
+
 def _seeds(row: Column, masks: list) -> Column:
     """The seed of each mask (with its number) at one place; null past the end."""
     out = []
@@ -40,20 +45,31 @@ def _seeds(row: Column, masks: list) -> Column:
     return F.array(*out)
 
 
-def _places(hashes: Column) -> Column:
-    """At each place its hash and those after it, up to SPAN in all."""
-    shifted = [
-        (hashes if p == 0 else F.slice(hashes, p + 1, F.greatest(F.size(hashes) - p, F.lit(0)))).alias(f"h{p}")
-        for p in range(SPAN)
-    ]
+def _places(hashes: Column, masks: list) -> Column:
+    """At each place its hash and those after it that a mask looks at."""
+    shifted = []
+    for p in _used(masks):
+        rest = F.slice(hashes, p + 1, F.greatest(F.size(hashes) - p, F.lit(0)))
+        shifted.append((rest if p else hashes).alias(f"h{p}"))
     return F.arrays_zip(*shifted)
 
 
 def _all_seeds(df: DataFrame, masks: list, *keep: str) -> DataFrame:
-    """(keep..., place, seed) of every mask at every place."""
-    at = df.select(*keep, F.posexplode(_places(F.col("hashes"))).alias("place", "row"))
-    at = at.select(*keep, "place", F.explode(_seeds(F.col("row"), masks)).alias("seed"))
-    return at.filter(F.col("seed").isNotNull())
+    """(keep..., hashes, place, seed) of every mask at every place."""
+    zipped = _places(F.col("hashes"), masks)
+    at = df.select(*keep, "hashes", F.posexplode(zipped).alias("place", "row"))
+    seeds = F.explode(_seeds(F.col("row"), masks)).alias("seed")
+    return at.select(*keep, "hashes", "place", seeds).filter(F.col("seed").isNotNull())
+
+
+def _around(hashes: Column, place: Column) -> Column:
+    """The words that a passage with the seed at this place can hold, and the seed's
+    place among them; WINDOW bounds how many that are."""
+    back = F.least(place, F.lit(WINDOW - 1))
+    return F.struct(
+        F.slice(hashes, place - back + 1, back + SPAN + WINDOW).alias("words"),
+        back.alias("place"),
+    )
 
 
 def items_of(benchmark: DataFrame) -> DataFrame:
@@ -66,15 +82,14 @@ def items_of(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _shared(own: Column, item: Column, place: Column, start: Column, width: Column) -> Column:
-    """The most equal words in one passage of the item that holds the seed at start.
+def _shared(own: Column, item: Column, width: Column) -> Column:
+    """The most equal words in one passage of ``width`` words; both seeds side by side.
 
-    The words around the seed are laid side by side, a passage to each side; places
-    outside the document or the item differ.
+    Places outside the document or the item differ.
     """
-    back = F.least(place, start, width - 1)
-    a = F.slice(own, place - back + 1, back + SPAN + width)
-    b = F.slice(item, start - back + 1, back + SPAN + width)
+    back = F.least(own["place"], item["place"])
+    a = F.slice(own["words"], own["place"] - back + 1, SPAN + 2 * WINDOW)
+    b = F.slice(item["words"], item["place"] - back + 1, SPAN + 2 * WINDOW)
     same = F.zip_with(a, b, lambda x, y: F.coalesce((x == y).cast("int"), F.lit(0)))
     sums = F.transform(
         F.sequence(F.lit(1), F.greatest(F.size(same) - width + 1, F.lit(1))),
@@ -87,38 +102,44 @@ def hits(docs: DataFrame, benchmark: DataFrame, keys: list[str]) -> DataFrame:
     """(keys..., item) of the documents that hold a passage of an item.
 
     Seeds of the items are broadcast, at most BLOCK words of items at a time; a larger
-    benchmark is searched for in several passes. A seed that meets one of an item is
-    checked at once on the words around it, so no text is shuffled.
+    benchmark is searched for in several passes. Places of documents whose seed no
+    item has stop there. The others go on with the few words around them, dealt by
+    place so that no document or common seed is one task's work, and are compared with
+    each item that has the seed.
     """
     items = settle(items_of(benchmark), "items")
     size = items.agg(F.sum(F.size("hashes")).alias("n"), F.min("width").alias("low")).first()
     if not size["n"]:
         return docs.select(*keys, F.lit(None).cast("long").alias("item")).limit(0)
-    lengths = [n for n in MASKS if n <= WINDOW and (n == WINDOW or size["low"] < _above(n))]
-    masks = [(i, m) for i, m in enumerate(m for n in MASKS for m in MASKS[n])]
+    lengths = [n for n in MASKS if n == WINDOW or size["low"] < _above(n)]
+    masks = list(enumerate(m for n in MASKS for m in MASKS[n]))
     of = {n: [(i, m) for i, m in masks if m in MASKS[n]] for n in MASKS}
     used = [x for n in lengths for x in of[n]]
     blocks = -(-size["n"] // BLOCK)
-    hashed = docs.select(*keys, word_hashes(F.col("text")).alias("own"))
-    placed = hashed.select(*keys, "own", F.posexplode(_places(F.col("own"))).alias("place", "row"))
-    seeded = placed.select(
-        *keys, "own", "place", F.explode(_seeds(F.col("row"), used)).alias("seed")
-    ).filter(F.col("seed").isNotNull())
+    hashed = docs.select(*keys, word_hashes(F.col("text")).alias("hashes"))
+    seeded = _all_seeds(hashed, used, *keys)
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = None
     for block in range(blocks):
         part = items.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block)
         their = None
         for n in lengths:
             mine = part.filter((F.col("width") >= n) & (F.col("width") < _above(n)))
-            some = _all_seeds(mine, of[n], "item", "hashes", "width", "need")
-            some = some.select(
-                "item", "hashes", "width", "need", F.col("place").alias("start"),
-                F.col("seed").alias("theirs"),
+            some = _all_seeds(mine, of[n], "item", "width", "need").select(
+                "item", "width", "need", F.col("seed").alias("theirs"),
+                _around(F.col("hashes"), F.col("place")).alias("passage"),
             )
             their = some if their is None else their.unionAll(some)
-        shared = _shared(F.col("own"), F.col("hashes"), F.col("place"), F.col("start"), F.col("width"))
+        their = settle(their, "seeds")
+        known = F.broadcast(their.select("theirs").distinct())
+        near = (
+            seeded.join(known, F.col("seed") == F.col("theirs"), "left_semi")
+            .select(*keys, "place", "seed", _around(F.col("hashes"), F.col("place")).alias("own"))
+            .repartition(tasks, *keys, "place")
+        )
+        shared = _shared(F.col("own"), F.col("passage"), F.col("width"))
         hit = (
-            seeded.join(F.broadcast(their), F.col("seed") == F.col("theirs"))
+            near.join(F.broadcast(their), F.col("seed") == F.col("theirs"))
             .filter(shared >= F.col("need"))
             .select(*keys, "item")
         )
