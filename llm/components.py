@@ -40,7 +40,7 @@ def components(links: DataFrame) -> DataFrame:
 def _star(edges: DataFrame, which, own: bool = False) -> DataFrame:
     """Links of each node's chosen neighbours, and with ``own`` its own, to the least."""
     least = edges.groupBy(F.col("u").alias("w")).agg(
-        F.least(F.min("v"), F.first("u")).alias("least")
+        F.least(F.min("v"), F.min("u")).alias("least")
     )
     near = edges.filter(which).join(least, F.col("u") == F.col("w"))
     out = near.select(F.col("v").alias("u"), F.col("least").alias("v"))

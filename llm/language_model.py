@@ -391,7 +391,7 @@ class Lookup:
         base = np.log10((known + 1) / (m.train_tokens + m.train_words + 1))
         # The lowest order: in how many bigrams a word is second, over all bigrams.
         d = m.word_discounts[np.minimum(before, 3).astype(np.int64)]
-        low = m.word_mass / (m.train_words + 1)
+        low = np.full(len(words), m.word_mass / (m.train_words + 1))
         if m.types:
             low = low + (before - d) / m.types
         d1, d2, d3 = m.bigram_discounts[1:]

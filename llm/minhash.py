@@ -217,6 +217,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     first = settle(verified(low, sets), "checked")
     linked = first.filter("linked").select("a", "b")
 
+    linked = linked.unionAll(_same_id(usable, nodes))
     found = components(linked)
     split = settle(_split(shared, found), "split")
     second = settle(verified(with_end(split, "high"), sets).filter("linked"), "checked")
@@ -273,6 +274,16 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     )
 
 
+def _same_id(usable: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links between the sets of one doc_id, if it has rows of several."""
+    held = usable.select("doc_id", "f", "g").join(nodes, ["f", "g"]).select("doc_id", "rep")
+    ends = held.groupBy(F.col("doc_id").alias("id")).agg(
+        F.min("rep").alias("low"), F.max("rep").alias("high")
+    )
+    several = held.join(ends.filter("low < high"), F.col("doc_id") == F.col("id"))
+    return several.filter("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
+
+
 def _split(shared: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the buckets that hold more than one component, with theirs."""
     named = shared.join(found, F.col("rep") == F.col("node"), "left").select(

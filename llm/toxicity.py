@@ -19,7 +19,7 @@ MIN_ROWS = 5
 THRESHOLD = 0.7
 PREFIXES = (4, 5, 6)
 STRENGTH = 1e-4  # of the squared weights
-FAIRNESS = 1.0  # of the squared change of a score when identity terms are swapped
+FAIRNESS = 1.0  # of the squared change of log odds when identity terms are swapped
 STEPS = 400
 
 # Terms for groups of people; those of one line stand for each other.
@@ -110,9 +110,10 @@ def fit(texts: DataFrame) -> Model:
 
     Features are words and word starts that are there in MIN_ROWS rows at least: the
     FEATURES whose rows' labels differ most from the others', by a z-score of the log
-    odds. Then a logistic loss is made least, plus the squared change of the score
-    when each identity term in a row is swapped for another of its kind. Only
-    features, and which of them a row has, come to the driver.
+    odds. Then a logistic loss is made least, plus the squared change of the score's
+    log odds when the identity terms in a row are swapped: once for others of their
+    kind, once for a word that names no group. Only features, and which of them a row
+    has, come to the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,14 +189,17 @@ def _solve(
     rows = len(label)
     row = np.repeat(np.arange(rows), [len(f) for f in features])
     column = np.concatenate(features) if features else np.zeros(0, np.int64)
-    # The change of a row when its terms are swapped: new ones in, old ones out.
-    d_row, d_column, d_sign = [], [], []
-    for i, f in enumerate(features):
+    # The changes of a row when its terms are swapped: new ones in, old ones out.
+    d_row, d_column, d_sign, changes = [], [], [], 0
+    for f in features:
         old = [c for c in f.tolist() if c in swap]
-        for c in old:
-            d_row += [i, i]
-            d_column += [swap[c], c]
-            d_sign += [1.0, -1.0]
+        if not old:
+            continue
+        for new in ([swap[c] for c in old], []):
+            d_row += [changes] * len(old + new)
+            d_column += old + new
+            d_sign += [-1.0] * len(old) + [1.0] * len(new)
+            changes += 1
     d_row, d_column = np.array(d_row, np.int64), np.array(d_column, np.int64)
     d_sign = np.array(d_sign)
 
@@ -207,19 +211,17 @@ def _solve(
         error = (s - label) / rows
         grad = np.append(np.bincount(column, error[row], len(keys)), error.sum())
         grad[:-1] += 2 * STRENGTH * x[:-1]
-        if len(d_row):
-            change = np.bincount(d_row, d_sign * x[d_column], rows)
-            t = _sigmoid(linear(x) + change)
-            gap = 2 * FAIRNESS * (t - s) / rows
-            by = gap * t * (1 - t)
-            pull = by - gap * s * (1 - s)
-            grad[:-1] += np.bincount(column, pull[row], len(keys))
-            grad[:-1] += np.bincount(d_column, (by[d_row] * d_sign), len(keys))
-            grad[-1] += pull.sum()
+        if changes:
+            change = np.bincount(d_row, d_sign * x[d_column], changes)
+            pull = 2 * FAIRNESS * change[d_row] * d_sign / rows
+            grad[:-1] += np.bincount(d_column, pull, len(keys))
         return grad
 
     # Each feature has a step of its own size: rare ones would hardly move otherwise.
     scale = np.append(np.bincount(column, minlength=len(keys)) / rows, 1.0)
+    if changes:
+        bend = 8 * FAIRNESS * np.bincount(d_column, minlength=len(keys)) / rows
+        scale[:-1] += bend
     scale = 1 / (scale + 0.01)
     x, v = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
     share = label.mean()
