@@ -15,7 +15,8 @@ from registry.common import (
     with_summaries,
 )
 from registry.filters import MERGED_EVENTS, merged_events
-from sieveframe.bindings import claims
+from sieveframe.bindings import claims, read
+from sieveframe.functions.numbers import exact_mean, exact_sum, plain
 from sieveframe.plans import pages, summaries
 from sieveframe.plans.analysis import run_queries, run_query
 from sieveframe.plans.claims import AMOUNTS, DATE, FRAUD as FLAG
@@ -35,6 +36,8 @@ NEEDED = {
     "claims_by_state": (STATE, TOTAL),
     "claims_by_week": (DATE, TOTAL),
 }
+# What all four read together.
+QUERIED = (STATE, TYPE, SEVERITY, DATE, FLAG, TOTAL)
 AVG = f"round({mean_money('total_claim_amount')}) AS avg_amount"
 COST = f"CAST({money('total_claim_amount')} AS BIGINT) AS total_amount"
 
@@ -66,11 +69,10 @@ FROM claims GROUP BY 1""",
 
 def analysis_query(name):
     def run(spark, folder):
-        """One of the SQL files; the view holds only the columns it needs."""
+        """One of the SQL files over only the columns it needs."""
         rows = claims(spark, folder, *NEEDED[name])
-        rows.createOrReplaceTempView("claims")
         text = (DOMAIN.queries / f"{name}.sql").read_text(encoding="utf-8")
-        return run_query(spark, text)
+        return run_query(spark, text, {"claims": rows})
 
     return run
 
@@ -79,35 +81,68 @@ for _name, _sql in ANALYSIS_SQL.items():
     REGISTRY.add(_name, analysis_query(_name), _sql)
 
 
-@query(
-    "sql_folder",
-    f"""{CLAIMS},
-parts AS (
-  SELECT 'claims_by_state' AS query, count(DISTINCT incident_state) AS result_rows,
-         count(*) AS claims FROM claims
-  UNION ALL SELECT 'claims_by_week',
-         count(DISTINCT date_trunc('week', incident_date)), count(*) FROM claims
-  UNION ALL SELECT 'fraud_by_incident_type', count(DISTINCT incident_type), count(*)
-  FROM claims
-  UNION ALL SELECT 'fraud_by_severity', count(DISTINCT incident_severity), count(*)
-  FROM claims
-) SELECT * FROM parts""",
-)
-def sql_folder(spark, folder):
-    """The whole folder in one go: every file's name, row count and claims."""
-    rows = settle(claims(spark, folder))
-    results = run_queries(spark, DOMAIN.queries, {"claims": rows})
+def as_lines(name, columns):
+    """Every cell of a result as one line of text, in SQL."""
+    cells = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '-')" for c in columns)
+    return f"SELECT '{name}' AS query, concat_ws('|', {cells}) AS line"
+
+
+SHOWN = {
+    "fraud_by_severity": ("incident_severity", "claims", "fraud_claims", "fraud_pct", "avg_amount"),
+    "fraud_by_incident_type": ("incident_type", "claims", "fraud_claims", "fraud_pct", "avg_amount"),
+    "claims_by_state": ("incident_state", "claims", "total_amount", "avg_amount", "pct_of_total_amount"),
+    "claims_by_week": ("week_start", "first_day", "last_day", "claims", "total_amount", "avg_amount"),
+}
+
+
+def lines_of(results):
+    """The same in Spark, from result tables by name."""
     out = None
     for name, df in results.items():
-        part = df.agg(
-            F.lit(name).alias("query"),
-            F.count(F.lit(1)).alias("result_rows"),
-            F.sum("claims").alias("claims"),
-        )
+        cells = []
+        for c in SHOWN[name]:
+            double = dict(df.dtypes)[c] == "double"
+            text = plain(F.col(c)) if double else F.col(c).cast("string")
+            cells.append(F.coalesce(text, F.lit("-")))
+        part = df.select(F.lit(name).alias("query"), F.concat_ws("|", *cells).alias("line"))
         out = part if out is None else out.unionAll(part)
     return out
 
 
+FOLDER_LINES = " UNION ALL ".join(
+    f"({as_lines(name, SHOWN[name])} FROM ({sql.removeprefix(CLAIMS)}))"
+    if name != "claims_by_state"
+    else f"({as_lines(name, SHOWN[name])} FROM (WITH {sql.removeprefix(CLAIMS).lstrip(', ')}))"
+    for name, sql in ANALYSIS_SQL.items()
+)
+
+
+@query("sql_folder", f"{CLAIMS} {FOLDER_LINES}")
+def sql_folder(spark, folder):
+    """The whole folder in one go: every cell of every result."""
+    rows = settle(claims(spark, folder, *QUERIED))
+    return lines_of(run_queries(spark, DOMAIN.queries, {"claims": rows}))
+
+
+FINE_SUM = """
+SELECT l_returnflag, round(CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4)))
+         AS DOUBLE), 4) AS discounts,
+       round(CAST(sum(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4))) AS DOUBLE)
+         / count(*), 4) AS mean_discount
+FROM lineitem GROUP BY l_returnflag"""
+
+
+@query("fine_sums", FINE_SUM)
+def fine_sums(spark, folder):
+    """Sums of amounts with four decimals, which no step rounds to cents."""
+    amount = F.col("l_extendedprice") * F.col("l_discount")
+    df = read(spark, folder, "lineitem").select("l_returnflag", amount.alias("amount"))
+    return df.groupBy("l_returnflag").agg(
+        F.round(exact_sum(df, "amount").cast("double"), 4).alias("discounts"),
+        F.round(exact_mean(df, "amount"), 4).alias("mean_discount"),
+    )
+
+
 def _summary_query(name):
     def run(spark, folder):
         table = summaries.summarize(claims(spark, folder))[name]
@@ -147,9 +182,11 @@ merged AS (
 
 
 def fine_claims(spark, folder):
-    df = claims(spark, folder)
+    df = claims(
+        spark, folder, STATE, TYPE, SEVERITY, DATE, FLAG, *AMOUNTS, "incident_hour_of_the_day"
+    )
     fine = F.concat_ws(" ", TYPE, F.col("incident_hour_of_the_day").cast("string"))
-    return df.withColumn(TYPE, fine)
+    return df.withColumn(TYPE, fine).drop("incident_hour_of_the_day")
 
 
 def _merged_query(name):

@@ -55,7 +55,7 @@ FROM claims WHERE {CHOSEN} GROUP BY ALL""",
 def filtered_view(spark, folder):
     """A query over another query by name."""
     df = claims(spark, folder, STATE, TYPE, "fraud_reported")
-    pages.select_claims(df, STATES, TYPES).createOrReplaceTempView("filtered")
+    chosen = pages.select_claims(df, STATES, TYPES)
     return run_query(
         spark,
         """
@@ -63,6 +63,7 @@ def filtered_view(spark, folder):
                avg(CAST(fraud_reported AS INT)) AS fraud_rate
         FROM filtered GROUP BY ALL;  -- a trailing remark
         """,
+        {"filtered": chosen},
     )
 
 
@@ -107,7 +108,6 @@ def full_weeks(spark, folder):
 
 
 def run_weeks(spark, df):
-    df.createOrReplaceTempView("weekly_claims")
     return run_query(
         spark,
         """
@@ -117,6 +117,7 @@ def run_weeks(spark, df):
                count(*) AS claims
         FROM weekly_claims GROUP BY 1
         """,
+        {"weekly_claims": df},
     )
 
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from registry.analysis import ANALYSIS_SQL
+from registry.analysis import ANALYSIS_SQL, QUERIED, SHOWN
 from registry.common import (
     CLAIMS,
     COUNT,
@@ -13,12 +13,13 @@ from registry.common import (
     money,
     with_summaries,
 )
-from registry.quality import CLAIM_BAD, _report_sql
+from registry.quality import CLAIM_BAD, RULED, _report_sql
 from registry.series import DAILY
 from sieveframe.bindings import claims, read
 from sieveframe.functions import dates, numbers, text
+from sieveframe.functions.numbers import plain
 from sieveframe.plans import findings, report, summaries
-from sieveframe.plans.analysis import run_queries
+from sieveframe.plans.analysis import run_queries, run_query
 from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.claims import DATE, FRAUD as FLAG
 from sieveframe.plans.claims import SEVERITY, STATE, TOTAL, TYPE
@@ -238,12 +239,18 @@ REPORT = f"{CLAIMS}, {RESULTS}, {STATE_RESULT}, {REPORT_FACTS}"
 
 
 def _report_facts(spark, folder):
-    rows = settle(claims(spark, folder))
-    results = settle_all(run_queries(spark, DOMAIN.queries, {"claims": rows}))
-    found = report.report_facts(results, DOMAIN.validate(rows))
+    results, validation = _results(spark, folder)
+    found = report.report_facts(results, validation)
     return found.withColumn("top_states_pct", F.round("top_states_pct", 6))
 
 
+def _results(spark, folder):
+    """The four results, and the validation report: each from the columns it reads."""
+    rows = settle(claims(spark, folder, *QUERIED))
+    results = settle_all(run_queries(spark, DOMAIN.queries, {"claims": rows}))
+    return results, DOMAIN.validate(settle(claims(spark, folder, *RULED)))
+
+
 @query("report_facts", f"{REPORT} SELECT * FROM facts")
 def report_facts(spark, folder):
     return _report_facts(spark, folder)
@@ -272,16 +279,67 @@ SELECT 4, 'Claim cost by state', top_states || ' account for '
   || format('{{:.0f}}', top_states_pct) || '% of claim cost',
   'Share of total claim cost by incident state.' FROM facts
 UNION ALL
+SELECT 5, 'Weekly claim volume', 'Weekly claim volume (full weeks only)',
+  'Weeks run from Monday. Partial weeks are only in the table.' FROM facts
+UNION ALL
+SELECT 7, 'Caveats', NULL, '''Fraud'' is the fraud_reported label of the data, not a proven '
+  'outcome. The patterns are correlations, not causes, and a short '
+  'period shows no seasons.' FROM facts
+UNION ALL
 SELECT 6, 'Data quality', NULL, CASE WHEN failed_errors = 0
   THEN 'All error checks passed. ' ELSE failed_errors || ' error checks failed. ' END
   || failed_warnings || ' warning checks flagged rows that were kept for review.'
 FROM facts""",
 )
 def report_headlines(spark, folder):
-    """The computed headlines; two sections hold only fixed text."""
-    fixed_text = ["Weekly claim volume", "Caveats"]
-    lines = report.headlines(_report_facts(spark, folder))
-    return lines.filter(~F.col("section").isin(fixed_text))
+    """All seven headlines; two sections hold only fixed text."""
+    return report.headlines(_report_facts(spark, folder))
+
+
+SECTIONS = {
+    "Fraud by severity": SHOWN["fraud_by_severity"],
+    "Fraud by incident type": SHOWN["fraud_by_incident_type"],
+    "Claim cost by state": ("incident_state", "claims", "total_amount"),
+    "Weekly claim volume": SHOWN["claims_by_week"],
+    "Weekly claim volume, full weeks": SHOWN["claims_by_week"],
+    "Data quality": ("check", "severity", "failed_rows"),
+}
+
+
+def _section(name, flagged_by=None):
+    cells = ", ".join(
+        f"""coalesce(CAST("{c}" AS VARCHAR), '-')""" for c in SECTIONS[name]
+    )
+    flag = f"{flagged_by} = max({flagged_by}) OVER ()" if flagged_by else "false"
+    return f"SELECT '{name}' AS section, concat_ws('|', {cells}) AS line, {flag} AS top"
+
+
+@query(
+    "section_tables",
+    f"""{REPORT}
+{_section("Fraud by severity", "fraud_pct")} FROM fraud_by_severity
+UNION ALL {_section("Fraud by incident type", "fraud_pct")} FROM fraud_by_incident_type
+UNION ALL {_section("Claim cost by state", "total_amount")} FROM claims_by_state
+UNION ALL {_section("Weekly claim volume")} FROM claims_by_week
+UNION ALL {_section("Weekly claim volume, full weeks")}
+FROM claims_by_week WHERE last_day - first_day = 6
+UNION ALL {_section("Data quality")} FROM validation""",
+)
+def section_tables(spark, folder):
+    """Every row of every section's table, with the flag of its largest row."""
+    results, validation = _results(spark, folder)
+    out = None
+    for name, df in report.section_tables(results, validation).items():
+        kinds, cells = dict(df.dtypes), []
+        for c in SECTIONS[name]:
+            cell = plain(F.col(c)) if kinds[c] == "double" else F.col(c).cast("string")
+            cells.append(F.coalesce(cell, F.lit("-")))
+        flag = F.col("is_top") if "is_top" in df.columns else F.lit(False)
+        part = df.select(
+            F.lit(name).alias("section"), F.concat_ws("|", *cells).alias("line"), flag.alias("top")
+        )
+        out = part if out is None else out.unionAll(part)
+    return out
 
 
 @query(
@@ -291,9 +349,8 @@ SELECT week_start, claims FROM claims_by_week WHERE last_day - first_day = 6""",
 )
 def report_weeks(spark, folder):
     rows = claims(spark, folder, DATE, TOTAL)
-    rows.createOrReplaceTempView("claims")
     sql = (DOMAIN.queries / "claims_by_week.sql").read_text(encoding="utf-8")
-    return full_weeks(spark.sql(sql)).select("week_start", "claims")
+    return full_weeks(run_query(spark, sql, {"claims": rows})).select("week_start", "claims")
 
 
 @query(

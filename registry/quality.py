@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 
 from registry.common import CLAIMS, Registry
 from sieveframe.bindings import claims, read
-from sieveframe.operators import rules
+from sieveframe.operators import cleaning, rules
 from sieveframe.operators.groups import with_group_size
 from sieveframe.plans.claims import CLAIMS as DOMAIN
+from sieveframe.plans.claims import DATE, PARTS, TOTAL, TYPE
 from sieveframe.sources.scratch import settle
 
 REGISTRY = Registry()
@@ -187,9 +188,16 @@ CLAIM_BAD = [
 ]
 
 
+# What the rules read.
+RULED = (
+    "policy_number", "policy_bind_date", DATE, "incident_hour_of_the_day", "age",
+    "umbrella_limit", TYPE, TOTAL, *PARTS,
+)
+
+
 @query("claims_rules", CLAIMS + _report_sql("claims", CLAIM_BAD, "policy_number"))
 def claims_rules(spark, folder):
-    return DOMAIN.validate(settle(claims(spark, folder)))
+    return DOMAIN.validate(settle(claims(spark, folder, *RULED)))
 
 
 @query(
@@ -199,7 +207,7 @@ SELECT "check", failed_rows FROM ({_report_sql("claims", CLAIM_BAD, "policy_numb
 WHERE severity = 'warn' AND failed_rows > 0""",
 )
 def failing_warnings(spark, folder):
-    report = DOMAIN.validate(settle(claims(spark, folder)))
+    report = DOMAIN.validate(settle(claims(spark, folder, *RULED)))
     return rules.failing_warnings(report).select("check", "failed_rows")
 
 
@@ -227,3 +235,62 @@ def gate(spark, folder):
         F.lit(stopped).alias("stopped"),
         F.count_if(F.col("failed_rows") > 0).alias("errors"),
     )
+
+
+# Line items with some numbers that are none: NaN stands for a missing one.
+HOLEY = """
+WITH holey AS (
+  SELECT l_orderkey * 8 + l_linenumber AS line_id, l_quantity AS total,
+         CASE WHEN l_orderkey % 7 = 0 THEN NULL ELSE l_quantity END AS kept,
+         CASE WHEN l_orderkey % 5 = 0 THEN NULL ELSE l_quantity END AS part,
+         CASE WHEN l_orderkey % 5 = 0 THEN l_quantity ELSE 0.0 END AS other
+  FROM lineitem
+)"""
+
+
+def holey(spark, folder):
+    key, quantity = F.col("l_orderkey"), F.col("l_quantity").cast("double")
+    nan = F.lit(float("nan"))
+    return read(spark, folder, "lineitem").select(
+        (key * 8 + F.col("l_linenumber")).alias("line_id"),
+        quantity.alias("total"),
+        F.when(key % 7 == 0, nan).otherwise(quantity).alias("kept"),
+        F.when(key % 5 == 0, nan).otherwise(quantity).alias("part"),
+        F.when(key % 5 == 0, quantity).otherwise(F.lit(0.0)).alias("other"),
+        nan.alias("nothing"),
+    )
+
+
+@query(
+    "nan_rules",
+    f"""{HOLEY}
+SELECT 'present' AS "check", count(*) AS failed_rows FROM holey WHERE kept IS NULL
+UNION ALL
+SELECT 'parts', count(*) FROM holey
+WHERE NOT abs(coalesce(part, 0) + coalesce(other, 0) - total) <= 1e-8 + 1e-5 * abs(total)
+UNION ALL SELECT 'whole', count(*) FROM holey WHERE kept IS NULL""",
+)
+def nan_rules(spark, folder):
+    """NaN is no value, adds nothing as a part, and makes a total bad."""
+    checks = {
+        "present": ("warn", rules.not_null("kept")),
+        "parts": ("warn", rules.parts_sum_to("total", "part", "other")),
+        "whole": ("warn", rules.parts_sum_to("kept", "part", "other")),
+    }
+    report = rules.validate(holey(spark, folder), checks, "line_id")
+    return report.select("check", "failed_rows")
+
+
+@query(
+    "nan_cleaning",
+    f"""{HOLEY}
+SELECT line_id, CAST(coalesce(kept, -1) AS DOUBLE) AS kept, CAST(part AS DOUBLE) AS part
+FROM holey""",
+)
+def nan_cleaning(spark, folder):
+    """NaN is filled, and a column of nothing else goes."""
+    df = cleaning.fill_missing(holey(spark, folder), {"kept": -1.0})
+    found = cleaning.drop_empty_columns(df)
+    if "nothing" in found.columns:
+        raise AssertionError("the empty column is still there")
+    return found.select("line_id", "kept", F.nullif("part", F.lit(float("nan"))).alias("part"))

@@ -4,15 +4,22 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from registry.analysis import ANALYSIS_SQL, FINE, _quantiles, fine_claims
+from registry.analysis import (
+    ANALYSIS_SQL,
+    FINE,
+    FOLDER_LINES,
+    QUERIED,
+    _quantiles,
+    fine_claims,
+    lines_of,
+)
 from registry.cleaning import CLEAN
 from registry.common import CLAIMS, SUMMARIES, Registry, messy, money
-from registry.filters import merged_events
 from sieveframe.bindings import claims, read
 from sieveframe.operators import rules
 from sieveframe.plans import publish, summaries
-from sieveframe.plans.analysis import run_queries
-from sieveframe.plans.claims import AMOUNTS
+from sieveframe.plans.analysis import run_queries, run_query
+from sieveframe.plans.claims import AMOUNTS, PARTS
 from sieveframe.plans.claims import CLAIMS as DOMAIN
 from sieveframe.plans.run import ClaimsRun
 from sieveframe.sources import csv_files, exports, tables
@@ -227,9 +234,8 @@ FROM ({ANALYSIS_SQL["claims_by_week"]})""",
 )
 def save_results_text(spark, folder):
     rows = claims(spark, folder, "incident_date", "total_claim_amount")
-    rows.createOrReplaceTempView("claims")
     sql = (DOMAIN.queries / "claims_by_week.sql").read_text(encoding="utf-8")
-    week = spark.sql(sql).drop("avg_amount")
+    week = run_query(spark, sql, {"claims": rows}).drop("avg_amount")
     [path] = exports.save_results({"week": week}, scratch_folder(spark, "results"))
     return _lines(spark, path, ",".join(week.columns))
 
@@ -275,7 +281,10 @@ groups AS (
 )
 SELECT 'no sensitive columns' AS "check", 0 AS failed_rows
 UNION ALL SELECT 'groups large enough', count(*) FROM groups WHERE n < 25
-UNION ALL SELECT 'all claims counted', 0""",
+UNION ALL SELECT 'all claims counted', CAST(abs((SELECT count(*) FROM fine)
+  - (SELECT sum(n) FROM groups WHERE incident_state IS NOT NULL)) AS BIGINT)
+UNION ALL SELECT 'claims without a state', count(*) FROM fine
+WHERE incident_state IS NULL""",
 )
 def publish_check(spark, folder):
     """The report behind the gate, with a limit that some groups miss."""
@@ -285,25 +294,35 @@ def publish_check(spark, folder):
     return report.select("check", "failed_rows")
 
 
+REFUSING = 10**9
+
+
 @query(
     "publish_refused",
-    """
-WITH sized AS (
-  SELECT *, count(*) OVER (PARTITION BY user_id, event_type) AS n FROM events
-),
-merged AS (
-  SELECT user_id, CASE WHEN n >= 10 THEN event_type ELSE 'Other (small groups)' END
-    AS event_type FROM sized
-)
-SELECT count(*) AS still_small FROM (
-  SELECT 1 FROM merged GROUP BY user_id, event_type HAVING count(*) < 10)""",
+    f"""{CLAIMS}
+SELECT 'groups large enough: ' || count(DISTINCT incident_state) || ' rows, ids []'
+         AS reason,
+       0 AS files
+FROM claims""",
 )
 def publish_refused(spark, folder):
-    """Merged groups of events that are too small even after merging."""
-    groups = merged_events(spark, folder).groupBy("user_id", "event_type").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    return groups.filter("n < 10").agg(F.count(F.lit(1)).alias("still_small"))
+    """A limit that no merged group reaches: the gate says why, and nothing is written."""
+    rows = settle(claims(spark, folder, *QUERIED, *PARTS))
+    out = scratch_folder(spark, "published")
+    try:
+        publish.publish_summaries(rows, {}, out, min_group=REFUSING)
+        reason = "published"
+    except ValueError as refused:
+        reason = str(refused).split("\n", 1)[1]
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    written = files.load(out).count() if _exists(spark, out) else 0
+    return spark.range(1).select(F.lit(reason).alias("reason"), F.lit(written).alias("files"))
+
+
+def _exists(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    return target.getFileSystem(conf).exists(target)
 
 
 def _load_summaries(stored):
@@ -338,33 +357,99 @@ REGISTRY.add(
 )
 
 
-@query(
-    "export_all",
-    f"""{CLAIMS}
-SELECT 'claims_clean' AS name, count(*) AS lines FROM claims
-UNION ALL SELECT 'claims_by_state', count(DISTINCT incident_state) FROM claims
-UNION ALL SELECT 'claims_by_week',
-  count(DISTINCT date_trunc('week', incident_date)) FROM claims
-UNION ALL SELECT 'fraud_by_incident_type', count(DISTINCT incident_type) FROM claims
-UNION ALL SELECT 'fraud_by_severity', count(DISTINCT incident_severity) FROM claims""",
-)
+RESULT_TYPES = {
+    "fraud_by_severity": "incident_severity string, claims long, fraud_claims int, fraud_pct double, avg_amount double",
+    "fraud_by_incident_type": "incident_type string, claims long, fraud_claims int, fraud_pct double, avg_amount double",
+    "claims_by_state": "incident_state string, claims long, total_amount long, avg_amount double, pct_of_total_amount double",
+    "claims_by_week": "week_start date, first_day date, last_day date, claims long, total_amount long, avg_amount double",
+}
+
+
+def exported_lines(spark, out):
+    """Every cell of the four exported results, and of some columns of the rows."""
+    rows = spark.read.option("header", True).csv(f"{out}/claims_clean.csv")
+    part = rows.select(
+        F.lit("claims_clean").alias("query"),
+        F.concat_ws("|", "policy_number", "incident_date", "incident_severity", "fraud_reported").alias("line"),
+    )
+    return part.unionAll(lines_of(tables.read_published(spark, out, RESULT_TYPES)))
+
+
+EXPORTED = f"""{CLAIMS}
+SELECT 'claims_clean' AS query, policy_number || '|' || strftime(incident_date, '%Y-%m-%d')
+  || '|' || incident_severity || '|' || CASE WHEN fraud_reported THEN 'True' ELSE 'False' END
+  AS line FROM claims
+UNION ALL {FOLDER_LINES}"""
+
+
+@query("export_all", EXPORTED)
 def export_all(spark, folder):
-    """Lines per exported file, headers left out."""
+    """Everything that the export writes, read back."""
     rows = settle(claims(spark, folder))
     results = run_queries(spark, DOMAIN.queries, {"claims": rows})
-    paths = publish.export_all(rows, results, scratch_folder(spark, "export"))
+    out = scratch_folder(spark, "export")
+    publish.export_all(rows, results, out)
+    return exported_lines(spark, out)
+
+
+@query("export_step_alone", EXPORTED)
+def export_step_alone(spark, folder):
+    """Report and export of a stored table by an object that ran no other step."""
+    source, out = scratch_folder(spark, "source"), scratch_folder(spark, "run")
+    write_raw(claims(spark, folder), source)
+    name = _database(spark)
+    first = ClaimsRun(spark, source, out, name)
+    for step in (first.clean, first.validate, first.store):
+        step()
+    later = ClaimsRun(spark, source, out, name)
+    later.write_report()
+    later.export()
+    return exported_lines(spark, f"{out}/export")
+
+
+@query(
+    "run_twice",
+    "SELECT i AS run, count(*) AS claims FROM orders, range(1, 3) t(i) GROUP BY i",
+)
+def run_twice(spark, folder):
+    """Two whole runs in one session, into the same table."""
+    source, name = scratch_folder(spark, "source"), _database(spark)
+    write_raw(claims(spark, folder), source)
     out = None
-    for path in paths:
-        name = path.rsplit("/", 1)[1].removesuffix(".csv")
-        part = (
-            spark.read.option("header", True)
-            .csv(path)
-            .agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("lines"))
-        )
+    for i in (1, 2):
+        to = scratch_folder(spark, "run")
+        ClaimsRun(spark, source, to, name).run()
+        rows = spark.read.option("header", True).csv(f"{to}/export/claims_clean.csv")
+        part = rows.agg(F.lit(i).cast("long").alias("run"), F.count(F.lit(1)).alias("claims"))
         out = part if out is None else out.unionAll(part)
     return out
 
 
+@query(
+    "nan_export",
+    """
+SELECT l_orderkey * 8 + l_linenumber || ',' || CASE WHEN l_orderkey % 7 = 0 THEN ''
+  WHEN l_orderkey % 7 = 1 THEN 'inf' WHEN l_orderkey % 7 = 2 THEN '-inf'
+  ELSE CAST(CAST(l_quantity AS DOUBLE) AS VARCHAR) END AS line
+FROM lineitem""",
+)
+def nan_export(spark, folder):
+    """NaN is exported as an empty cell, infinity as inf."""
+    key = F.col("l_orderkey")
+    number = (
+        F.when(key % 7 == 0, float("nan"))
+        .when(key % 7 == 1, float("inf"))
+        .when(key % 7 == 2, -float("inf"))
+        .otherwise(F.col("l_quantity").cast("double"))
+    )
+    df = read(spark, folder, "lineitem").select(
+        (key * 8 + F.col("l_linenumber")).alias("line_id"), number.alias("number")
+    )
+    out = scratch_folder(spark, "export")
+    [path] = exports.export_csvs({"numbers": df}, out)
+    return _lines(spark, path, ",".join(df.columns))
+
+
 @query("whole_run", ANALYSIS_SQL["claims_by_state"])
 def whole_run(spark, folder):
     """A claims file through every step; one result read from the export."""

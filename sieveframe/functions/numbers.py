@@ -13,26 +13,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Amounts are money: fractional columns hold at most this many decimals.
-MONEY_SCALE = 2
+# Decimals that a sum keeps of amounts that are no whole hundredths.
+FINE_SCALE = 18
+# Up to here every whole hundredth has a double of its own.
+_WHOLE_CENTS = 9e13
 
 
-def exact_sum(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Column:
-    """Sum of a money column that does not depend on the order of the rows.
+def exact_sum(df: DataFrame, name: str) -> Column:
+    """Sum of a column that does not depend on the order of the rows.
 
-    Whole numbers and decimals are exact already. Doubles are summed as whole
-    hundredths in a long, which runs as fast as summing doubles (a cast to
-    DECIMAL per row is about six times slower), and turn into a decimal only
-    once per group. A total beyond a long raises under ANSI mode instead of
-    wrapping round.
+    Whole numbers and decimals are exact already. Doubles are summed as the decimals
+    that they print as. Amounts of whole hundredths, which money is, go to a long,
+    which runs as fast as summing doubles; only others are cast to decimals with
+    FINE_SCALE places, row by row. NaN is a missing value. Infinite amounts, and
+    totals of more digits than a decimal holds, raise under ANSI mode.
     """
-    kind = df.schema[name].dataType
-    if not isinstance(kind, (T.DoubleType, T.FloatType)):
+    if not isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)):
         return F.sum(name)
-    amount = nan_to_null(F.col(name))
-    units = F.rint(amount * F.lit(float(10**scale))).cast("bigint")
-    total = F.sum(units).cast("decimal(20,0)")
-    return total * F.lit(Decimal(1).scaleb(-scale))
+    amount = nan_to_null(F.col(name).cast("double"))
+    cents = F.rint(amount * F.lit(100.0))
+    whole = (cents / F.lit(100.0) == amount) & (F.abs(amount) < F.lit(_WHOLE_CENTS))
+    wide = f"decimal(38,{FINE_SCALE})"
+    total = F.sum(F.when(whole, cents.cast("bigint"))).cast("decimal(20,0)")
+    total = (total * F.lit(Decimal("0.01"))).cast(wide)
+    fine = F.sum(F.when(~whole, amount.cast(wide)))
+    return F.coalesce(total + fine, total, fine)
 
 
 def nan_to_null(col: Column) -> Column:
@@ -40,9 +45,16 @@ def nan_to_null(col: Column) -> Column:
     return F.nullif(col, F.lit(float("nan")))
 
 
-def exact_mean(df: DataFrame, name: str, scale: int = MONEY_SCALE) -> Column:
+def present(col: Column, kind: T.DataType) -> Column:
+    """The column with its missing values as null: for fractional types NaN is one."""
+    fractional = isinstance(kind, (T.DoubleType, T.FloatType))
+    return nan_to_null(col) if fractional else col
+
+
+def exact_mean(df: DataFrame, name: str) -> Column:
     """Exact sum over the number of present values, as a double."""
-    return ratio(exact_sum(df, name, scale), F.count(name))
+    there = present(F.col(name), df.schema[name].dataType)
+    return ratio(exact_sum(df, name), F.count(there))
 
 
 def ratio(top: Column, bottom: Column) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sieveframe.functions.numbers import present
 from sieveframe.functions.text import is_yes_no, snake_name, strip_blank, yes_no
 
 
@@ -52,7 +53,7 @@ def strip_text(df: DataFrame) -> DataFrame:
 
 
 def fill_missing(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
-    """Replace nulls per column; names that the table lacks are ignored."""
+    """Replace nulls and NaN per column; names that the table lacks are ignored."""
     out = []
     for field in df.schema:
         col = _col(field.name)
@@ -60,13 +61,14 @@ def fill_missing(df: DataFrame, fills: Mapping[str, object]) -> DataFrame:
             value = F.lit(fills[field.name])
             kind = field.dataType
             target = T.StringType() if isinstance(kind, T.NullType) else kind
-            col = F.coalesce(col.cast(target), value.cast(target)).alias(field.name)
+            held = present(col, kind).cast(target)
+            col = F.coalesce(held, value.cast(target)).alias(field.name)
         out.append(col)
     return df.select(*out)
 
 
 def drop_empty_columns(df: DataFrame) -> DataFrame:
-    """Drop the columns that hold no value at all (one aggregate over all)."""
+    """Drop the columns without any value, NaN included (one aggregate over all)."""
     return _drop(df, examine(df, flags=False))
 
 
@@ -113,7 +115,10 @@ def finish(df: DataFrame, verdict: Verdict) -> DataFrame:
 def examine(df: DataFrame, flags: bool = True) -> Verdict:
     """One pass: which columns are empty, which hold only yes/no words."""
     text = _text_columns(df) if flags else []
-    looks = [look(_col(c), c in text).alias(f"_{i}") for i, c in enumerate(df.columns)]
+    looks = [
+        look(present(_col(f.name), f.dataType), f.name in text).alias(f"_{i}")
+        for i, f in enumerate(df.schema)
+    ]
     bits = seen(df.select(F.lit(0).alias("_none"), *looks))
     return verdict(dict(zip(df.columns, bits[1:])), text)
 

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from sieveframe.sources.scratch import settle
 
-# Group tables up to this many rows are sent to every executor.
-BROADCAST_GROUPS = 100_000
-# Above that, groups holding more than 1/HOT_SHARE of all rows are set apart.
-# Fewer than HOT_SHARE groups can do so, which bounds what is broadcast.
+# Groups above 1/HOT_SHARE of all rows are set apart, as far as their keys fit HOT_BYTES.
+# Fewer than HOT_SHARE groups can be that large.
 HOT_SHARE = 10_000
+HOT_BYTES = 4 << 20
+_COUNT_BYTES = 16
 
 
 def with_group_size(
@@ -21,7 +21,7 @@ def with_group_size(
     keys: list[str],
     name: str = "group_size",
     at_least: int = 1,
-    broadcast_groups: int = BROADCAST_GROUPS,
+    hot_bytes: int = HOT_BYTES,
 ) -> DataFrame:
     """Each row with the number of rows that share its keys; nulls are a value.
 
@@ -29,9 +29,10 @@ def with_group_size(
 
     The rows are counted with partial aggregates and then joined to the counts;
     a window over the rows would pull a whole group into one task. The counts
-    are measured before the join: a small table is broadcast, so no row moves.
-    A large one splits the rows in two. Rows of hot groups meet a broadcast of
-    those few groups, and only the others are shuffled.
+    are written first, so Spark knows their size and broadcasts them by itself
+    only below its own threshold. The largest groups whose keys take no more
+    than ``hot_bytes`` together are broadcast, so their rows do not move; all
+    other rows are left to a join that splits skewed partitions.
     """
     named = {k: f"_{name}_{i}" for i, k in enumerate(keys)}
     sizes = df.groupBy(*(F.col(k).alias(named[k]) for k in keys)).agg(
@@ -42,13 +43,39 @@ def with_group_size(
     sizes = settle(sizes, "group-sizes")
     same = reduce(Column.__and__, (F.col(k).eqNullSafe(F.col(named[k])) for k in keys))
     columns = [*df.columns, name]
-    if sizes.count() <= broadcast_groups:
-        return df.join(F.broadcast(sizes), same).select(*columns)
 
-    hot = F.col(name) * F.lit(HOT_SHARE) > sizes.agg(F.sum(name)).scalar()
-    few = F.broadcast(sizes.filter(hot))
+    least = _hot_from(sizes, list(named.values()), name, hot_bytes)
+    if least is None:
+        return df.join(sizes, same).select(*columns)
+    few = F.broadcast(sizes.filter(F.col(name) >= least))
+    others = sizes.filter(F.col(name) < least)
     in_few = df.join(few, same).select(*columns)
-    rest = df.join(few, same, "left_anti")
-    return in_few.unionByName(
-        rest.join(sizes.filter(~hot), same).select(*columns)
+    rest = df.join(few, same, "left_anti").join(others, same).select(*columns)
+    return in_few.unionByName(rest)
+
+
+def _hot_from(
+    sizes: DataFrame, keys: list[str], name: str, limit: int
+) -> int | None:
+    """The least size such that groups from it on are hot and fit the limit in bytes.
+
+    Sizes are told apart by powers of two, of which there are few whatever the number
+    of groups.
+    """
+    width = sum(
+        (F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) for k in keys),
+        F.lit(_COUNT_BYTES),
+    )
+    step = F.floor(F.log2(F.col(name))).cast("int")
+    steps = (
+        sizes.groupBy(step.alias("step"))
+        .agg(F.sum(width).alias("bytes"), F.sum(name).alias("rows"))
+        .collect()
     )
+    total, held, least = sum(r.rows for r in steps), 0, None
+    for r in sorted(steps, key=lambda r: -r.step):
+        held += r.bytes
+        if held > limit or 2**r.step * HOT_SHARE <= total:
+            break
+        least = 2**r.step
+    return least

@@ -58,10 +58,9 @@ def group_quantiles(
     )
     size = counted.count()
     while size > max_sorted and _largest_segment(values, key) > max_sorted:
-        values = settle(_narrowed(values, key, points, slices), "value-slices")
-        before, size = size, values.count()
-        if size == before:
-            break
+        narrowed = _narrowed(values, key, points, max_sorted, slices)
+        values = settle(narrowed, "value-slices")
+        size = values.count()
 
     inside = Window.partitionBy(key, "_base").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, 0
@@ -95,20 +94,35 @@ def _largest_segment(values: DataFrame, key: str) -> int:
 
 
 def _narrowed(
-    values: DataFrame, key: str, points: dict[str, float], slices: int
+    values: DataFrame, key: str, points: dict[str, float], most: int, slices: int
 ) -> DataFrame:
-    """The values of those slices of each segment that hold a wanted rank.
+    """The values of those slices of each large segment that hold a wanted rank.
 
-    The cuts between slices are approximate quantiles of the distinct values.
-    They only balance the work: each value falls into exactly one slice and the
-    slices are counted exactly, so the result does not depend on the cuts. Their
-    number is fixed, and so is what passes through the driver.
+    A segment is cut at approximate quantiles of its own distinct values, and behind
+    its smallest one, so it always falls apart and every round makes progress. Cuts
+    only balance the work: each value falls into exactly one slice and the slices are
+    counted exactly, so the result does not depend on them. Segments that a task can
+    sort stay whole.
     """
     steps = [i / slices for i in range(1, slices)]
-    cuts = values.agg(F.percentile_approx("_v", steps, slices * 100)).first()[0]
-    sliced = values.withColumn("_slice", _slice_of(F.col("_v"), sorted(set(cuts))))
+    cuts = (
+        values.groupBy(F.col(key).alias("_k"), F.col("_base").alias("_b"))
+        .agg(
+            F.count(F.lit(1)).alias("_size"),
+            F.min("_v").alias("_least"),
+            F.percentile_approx("_v", steps, slices * 100).alias("_cuts"),
+        )
+        .filter(F.col("_size") > most)
+        .select("_k", "_b", F.array_append("_cuts", F.col("_least")).alias("_cuts"))
+    )
+    here = (F.col(key) == F.col("_k")) & (F.col("_base") == F.col("_b"))
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+    sliced = values.join(cuts, here, "left").select(
+        key, "_v", "_n", "_total", "_base",
+        F.when(F.col("_cuts").isNull(), 0).otherwise(below).alias("_slice"),
+    )
 
-    # At most `slices` rows per segment.
+    # At most slices + 1 rows per segment.
     along = Window.partitionBy(key, "_base").orderBy("_slice")
     before = F.sum("_size").over(along.rowsBetween(Window.unboundedPreceding, 0))
     sizes = (
@@ -127,16 +141,6 @@ def _narrowed(
     return kept.select(key, "_v", "_n", "_total", F.col("_first").alias("_base"))
 
 
-def _slice_of(value: Column, cuts: list[float], first: int = 0) -> Column:
-    """Number of cuts at or below the value, by halving the list of cuts."""
-    if not cuts:
-        return F.lit(first)
-    middle = len(cuts) // 2
-    below = _slice_of(value, cuts[:middle], first)
-    above = _slice_of(value, cuts[middle + 1 :], first + middle + 1)
-    return F.when(value < F.lit(cuts[middle]), below).otherwise(above)
-
-
 def _ranks(p: float) -> tuple[Column, Column]:
     """The two neighbouring positions (from 0) of quantile p."""
     place = F.lit(p) * (F.col("_total") - 1)

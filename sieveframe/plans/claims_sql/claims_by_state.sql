@@ -1,17 +1,17 @@
--- Claims and cost per incident state, with the state's share of all cost.
--- Amounts are summed as whole cents. The window sees one row per state.
+-- One row a state: how many claims, what they cost, which part of everything that is.
+-- Sums are decimals, so the order of rows cannot change them.
 WITH groups AS (
   SELECT incident_state,
          count(*)                                            AS claims,
-         sum(CAST(rint(total_claim_amount * 100) AS BIGINT)) AS cents,
-         count(total_claim_amount)                           AS priced
+         sum(CAST(nullif(total_claim_amount, double('NaN')) AS DECIMAL(38, 18))) AS cost,
+         count(nullif(total_claim_amount, double('NaN'))) AS priced
   FROM claims
   GROUP BY incident_state
 )
 SELECT incident_state,
        claims,
-       CAST(rint(cents / 100D) AS BIGINT)                        AS total_amount,
-       round(try_divide(cents / 100D, priced))                   AS avg_amount,
-       round(try_divide(100D * cents, sum(cents) OVER ()), 1)    AS pct_of_total_amount
+       CAST(rint(CAST(cost AS DOUBLE)) AS BIGINT)                        AS total_amount,
+       round(try_divide(CAST(cost AS DOUBLE), priced))                   AS avg_amount,
+       round(try_divide(100D * CAST(cost AS DOUBLE), CAST(sum(cost) OVER () AS DOUBLE)), 1)    AS pct_of_total_amount
 FROM groups
 ORDER BY total_amount DESC NULLS LAST, incident_state NULLS LAST

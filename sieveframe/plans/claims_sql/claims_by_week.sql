@@ -1,11 +1,11 @@
--- Claims and cost per week from Monday; first and last day show partial weeks.
+-- One row a calendar week. The covered days tell a partial week from a full one.
 WITH groups AS (
   SELECT CAST(date_trunc('week', incident_date) AS DATE)     AS week_start,
          CAST(min(incident_date) AS DATE)                    AS first_day,
          CAST(max(incident_date) AS DATE)                    AS last_day,
          count(*)                                            AS claims,
-         sum(CAST(rint(total_claim_amount * 100) AS BIGINT)) AS cents,
-         count(total_claim_amount)                           AS priced
+         sum(CAST(nullif(total_claim_amount, double('NaN')) AS DECIMAL(38, 18))) AS cost,
+         count(nullif(total_claim_amount, double('NaN'))) AS priced
   FROM claims
   GROUP BY 1
 )
@@ -13,7 +13,7 @@ SELECT week_start,
        first_day,
        last_day,
        claims,
-       CAST(rint(cents / 100D) AS BIGINT)      AS total_amount,
-       round(try_divide(cents / 100D, priced)) AS avg_amount
+       CAST(rint(CAST(cost AS DOUBLE)) AS BIGINT)      AS total_amount,
+       round(try_divide(CAST(cost AS DOUBLE), priced)) AS avg_amount
 FROM groups
 ORDER BY week_start NULLS LAST

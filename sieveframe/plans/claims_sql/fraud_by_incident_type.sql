@@ -1,11 +1,11 @@
--- Claims, fraud rate and mean amount per incident type.
+-- One row a kind of incident: claims, the part labelled fraud, the usual amount.
 WITH groups AS (
   SELECT incident_type,
          count(*)                                            AS claims,
          count_if(fraud_reported)                            AS fraud,
          avg(CAST(fraud_reported AS INT))                    AS fraud_share,
-         sum(CAST(rint(total_claim_amount * 100) AS BIGINT)) AS cents,
-         count(total_claim_amount)                           AS priced
+         sum(CAST(nullif(total_claim_amount, double('NaN')) AS DECIMAL(38, 18))) AS cost,
+         count(nullif(total_claim_amount, double('NaN'))) AS priced
   FROM claims
   GROUP BY incident_type
 )
@@ -13,6 +13,6 @@ SELECT incident_type,
        claims,
        CAST(fraud AS INT)                      AS fraud_claims,
        round(100D * fraud_share, 1)            AS fraud_pct,
-       round(try_divide(cents / 100D, priced)) AS avg_amount
+       round(try_divide(CAST(cost AS DOUBLE), priced)) AS avg_amount
 FROM groups
 ORDER BY fraud_pct DESC NULLS LAST, incident_type NULLS LAST

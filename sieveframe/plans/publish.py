@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from sieveframe.operators.rules import raise_on_errors
 from sieveframe.plans.claims import CLAIMS
@@ -17,7 +18,6 @@ from sieveframe.plans.summaries import (
 )
 from sieveframe.sources.exports import export_csvs
 from sieveframe.sources.scratch import settle
-from sieveframe.sources.tables import row_count
 
 # The columns of the published summary tables.
 PUBLISHED = {
@@ -50,14 +50,19 @@ def publish_summaries(
     """Write the merged summaries, the amount statistics and the query results.
 
     The summaries are computed once, checked, and only then written as CSV. If
-    a group is still too small after merging, nothing is written.
+    a group is still too small after merging, or a claim is in no group because it has
+    no state, nothing is written.
     """
     ready = {
         **summarize_at_once(claims, min_group),
         "claim_amount_stats": settle(amount_stats(claims), "amount-stats"),
     }
-    counted = row_count(claims.filter(claims[STATE].isNotNull()))
-    raise_on_errors(publish_report({**ready, **results}, counted, min_group))
+    seen = claims.agg(F.count(F.lit(1)).alias("rows"), F.count(STATE).alias("placed"))
+    counted = seen.first()
+    report = publish_report(
+        {**ready, **results}, counted["rows"], min_group, counted["rows"] - counted["placed"]
+    )
+    raise_on_errors(report)
     return export_csvs({**ready, **results}, folder)
 
 

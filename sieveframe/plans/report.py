@@ -9,7 +9,7 @@ from sieveframe.functions.numbers import fixed, grouped, percent
 from sieveframe.functions.text import sentence
 from sieveframe.operators.filters import full_weeks
 from sieveframe.operators.ranking import key_at_max, top, with_top_flag
-from sieveframe.operators.rules import ERROR, failing_warnings
+from sieveframe.operators.rules import ERROR, WARN
 from sieveframe.plans.claims import SEVERITY, STATE, TYPE
 
 TOP_STATES = 3
@@ -18,8 +18,8 @@ TOP_STATES = 3
 def report_facts(results: dict[str, DataFrame], validation: DataFrame) -> DataFrame:
     """One row with every number the report's text needs.
 
-    ``results`` are the four analysis tables. Each fact is a small aggregate of
-    one of them, put beside the others as a scalar subquery.
+    ``results`` are the four analysis tables. Each gives one row of small aggregates,
+    put beside the others as a scalar subquery.
     """
     severity = results["fraud_by_severity"]
     kind = results["fraud_by_incident_type"]
@@ -36,37 +36,57 @@ def report_facts(results: dict[str, DataFrame], validation: DataFrame) -> DataFr
         ).alias("states"),
         F.sum("pct_of_total_amount").alias("share"),
     )
-    best = severity.agg(_row_at_max("fraud_pct", SEVERITY).alias("row"))
-    worst_kind = kind.agg(_row_at_max("fraud_pct", TYPE).alias("row"))
-    costly_kind = kind.agg(_row_at_max("avg_amount", TYPE).alias("row"))
     failed = F.col("failed_rows") > 0
-    errors = validation.agg(F.count_if((F.col("severity") == ERROR) & failed))
-    scalars = {
-        "total_amount": state.agg(F.sum("total_amount")),
-        "first_day": week.agg(F.min("first_day")),
-        "last_day": week.agg(F.max("last_day")),
-        "top_severity": best.select("row.label"),
-        "top_severity_pct": best.select("row.value"),
-        "top_type": worst_kind.select("row.label"),
-        "top_type_pct": worst_kind.select("row.value"),
-        "costly_type": costly_kind.select("row.label"),
-        "costly_type_avg": costly_kind.select("row.value"),
-        "top_states": leading.select("states"),
-        "top_states_pct": leading.select("share"),
-        "failed_errors": errors,
-        "failed_warnings": failing_warnings(validation).agg(F.count(F.lit(1))),
-    }
-    return severity.agg(
+    # One row of facts a table, and one scan for it.
+    of_severity = severity.agg(
         F.sum("claims").alias("claims"),
         F.sum("fraud_claims").cast("bigint").alias("fraud_claims"),
-    ).select(
+        _row_at_max("fraud_pct", SEVERITY).alias("best"),
+    )
+    of_kind = _scalar(
+        kind,
+        worst=_row_at_max("fraud_pct", TYPE),
+        costly=_row_at_max("avg_amount", TYPE),
+    )
+    of_state = _scalar(state, total=F.sum("total_amount"))
+    of_week = _scalar(week, first=F.min("first_day"), last=F.max("last_day"))
+    of_checks = _scalar(
+        validation,
+        errors=F.count_if((F.col("severity") == ERROR) & failed),
+        warnings=F.count_if((F.col("severity") == WARN) & failed),
+    )
+    found = of_severity.select(
+        "*",
+        of_kind.alias("kind"), of_state.alias("state"), of_week.alias("week"),
+        of_checks.alias("checks"),
+        leading.select(F.struct("states", "share")).scalar().alias("front"),
+    )
+    return found.select(
         "claims",
         "fraud_claims",
         percent(F.col("fraud_claims"), F.col("claims")).alias("fraud_pct"),
-        *(df.scalar().alias(name) for name, df in scalars.items()),
+        F.col("state.total").alias("total_amount"),
+        F.col("week.first").alias("first_day"),
+        F.col("week.last").alias("last_day"),
+        F.col("best.label").alias("top_severity"),
+        F.col("best.value").alias("top_severity_pct"),
+        F.col("kind.worst.label").alias("top_type"),
+        F.col("kind.worst.value").alias("top_type_pct"),
+        F.col("kind.costly.label").alias("costly_type"),
+        F.col("kind.costly.value").alias("costly_type_avg"),
+        F.col("front.states").alias("top_states"),
+        F.col("front.share").alias("top_states_pct"),
+        F.col("checks.errors").alias("failed_errors"),
+        F.col("checks.warnings").alias("failed_warnings"),
     )
 
 
+def _scalar(df: DataFrame, **facts: Column) -> Column:
+    """Aggregates of a table as one struct beside another table's row."""
+    named = [value.alias(name) for name, value in facts.items()]
+    return df.agg(*named).select(F.struct(*facts)).scalar()
+
+
 def headlines(facts: DataFrame) -> DataFrame:
     """The report's sentences as rows ``(seq, section, title, text)``."""
     overall = _pct(F.col("fraud_pct"))

@@ -17,7 +17,7 @@ from sieveframe.plans.publish import export_all
 from sieveframe.plans.report import headlines, report_facts, section_tables
 from sieveframe.session import build_session
 from sieveframe.sources.exports import export_csvs, save_report, save_results
-from sieveframe.sources.scratch import settle_all
+from sieveframe.sources.scratch import scratch_removed, settle_ordered
 from sieveframe.sources.tables import (
     read_snapshot,
     save_snapshot,
@@ -43,8 +43,10 @@ class ClaimsRun:
 
     The file is read into a snapshot once, in a folder of its own per run. When
     it has passed the rules, the table is pointed at these files; the rows are
-    not written again. The queries run once for report and export. A step that
-    runs alone in a later session is given the ``run_id`` of the first.
+    not written again. The queries run once for report and export. Report and export
+    also run alone, in a later session: they take the rows from the store and run the
+    queries themselves. Clean, validate and store are given the ``run_id`` they share.
+    Intermediate tables are removed at the end of ``run``.
     """
 
     spark: SparkSession
@@ -54,7 +56,7 @@ class ClaimsRun:
     domain: Domain = CLAIMS
     multi_line: bool = False
     run_id: str = field(default_factory=lambda: uuid.uuid4().hex)
-    results: dict[str, DataFrame] = field(default_factory=dict)
+    results: dict[str, DataFrame] | None = None
     report: DataFrame | None = None
 
     def steps(self) -> list[Step]:
@@ -68,7 +70,11 @@ class ClaimsRun:
         ]
 
     def run(self) -> list[str]:
-        return run_steps(self.steps())
+        with scratch_removed(self.spark):
+            try:
+                return run_steps(self.steps())
+            finally:
+                self.results = None
 
     def clean(self) -> None:
         df = self.domain.load_clean(self.spark, self.source, self.multi_line)
@@ -87,24 +93,29 @@ class ClaimsRun:
         store_tables(self.spark, {"validation_report": self.report}, self.database)
 
     def analyze(self) -> None:
-        rows = self._table(self.domain.table)
-        lazy = run_queries(self.spark, self.domain.queries, {self.domain.table: rows})
-        self.results = settle_all(lazy)
-        save_results(self.results, self._folder("reports"))
+        save_results(self._results(), self._folder("reports"))
 
     def write_report(self) -> None:
         validation = self._table("validation_report")
         raise_on_errors(validation)
-        facts = report_facts(self.results, validation)
-        tables = section_tables(self.results, validation)
+        results = self._results()
+        tables = section_tables(results, validation)
         named = {f"section_{i}": df for i, df in enumerate(tables.values(), 1)}
-        export_csvs(
-            {"headlines": headlines(facts), **named}, self._folder("reports")
-        )
+        lines = headlines(report_facts(results, validation))
+        export_csvs({"headlines": lines, **named}, self._folder("reports"))
 
     def export(self) -> None:
         rows = self._table(self.domain.table)
-        export_all(rows, self.results, self._folder("export"))
+        export_all(rows, self._results(), self._folder("export"))
+
+    def _results(self) -> dict[str, DataFrame]:
+        """The query results, written once for all steps of this object."""
+        if self.results is None:
+            rows = self._table(self.domain.table)
+            tables = {self.domain.table: rows}
+            lazy = run_queries(self.spark, self.domain.queries, tables)
+            self.results = {n: settle_ordered(df, n) for n, df in lazy.items()}
+        return self.results
 
     def _folder(self, name: str) -> str:
         return f"{self.out.rstrip('/')}/{name}"
@@ -124,9 +135,10 @@ class ClaimsRun:
 def main(source: str, out: str, database: str | None = None) -> None:
     """python -m sieveframe.plans.run <claims file> <output folder> [database]"""
     run = ClaimsRun(build_session("claims"), source, out, database)
-    for name, step in run.steps():
-        print(f"== {name}")
-        step()
+    with scratch_removed(run.spark):
+        for name, step in run.steps():
+            print(f"== {name}")
+            step()
 
 
 if __name__ == "__main__":

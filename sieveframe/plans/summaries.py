@@ -22,7 +22,7 @@ from sieveframe.operators.filters import OTHER
 from sieveframe.operators.groups import with_group_size
 from sieveframe.operators.quantiles import group_quantiles
 from sieveframe.operators.ranking import ordered
-from sieveframe.operators.rules import ERROR
+from sieveframe.operators.rules import ERROR, WARN
 from sieveframe.plans.claims import (
     AMOUNTS,
     CLAIMS,
@@ -116,7 +116,7 @@ def amount_stats(claims: DataFrame) -> DataFrame:
 
 
 def fraud_rate_by(summary: DataFrame, name: str) -> DataFrame:
-    """Percent of claims reported as fraud per value of a column."""
+    """fraud_pct of each value of ``name``, from counts of a summary table."""
     rate = half_even(percent(F.sum("fraud_claims"), F.sum("claims")), 1)
     return (
         summary.filter(F.col(name).isNotNull())
@@ -191,13 +191,17 @@ def fraud_split(by_type: DataFrame) -> DataFrame:
 
 
 def publish_report(
-    tables: dict[str, DataFrame], rows: int, min_group: int = MIN_GROUP
+    tables: dict[str, DataFrame],
+    rows: int,
+    min_group: int = MIN_GROUP,
+    without_state: int = 0,
 ) -> DataFrame:
     """Checks on summary tables that are about to be published.
 
     No sensitive column in any table, no state x type group below the limit,
-    and as many claims as there are ``rows`` behind them. The finer tables may
-    hold smaller cells.
+    and as many claims as there are ``rows`` behind them. A warning says how many rows
+    have no state, since these are in no group. The finer tables may hold smaller
+    cells.
     """
     groups = tables["by_state_type"]
     leaks = sum(
@@ -210,9 +214,10 @@ def publish_report(
     )
     lost = F.abs(F.lit(rows) - F.col("total"))
     checks = {
-        "no sensitive columns": F.lit(leaks),
-        "groups large enough": F.col("small"),
-        "all claims counted": lost,
+        "no sensitive columns": (ERROR, F.lit(leaks)),
+        "groups large enough": (ERROR, F.col("small")),
+        "all claims counted": (ERROR, lost),
+        "claims without a state": (WARN, F.lit(without_state)),
     }
     return facts.select(
         F.inline(
@@ -220,11 +225,11 @@ def publish_report(
                 *(
                     F.struct(
                         F.lit(name).alias("check"),
-                        F.lit(ERROR).alias("severity"),
+                        F.lit(severity).alias("severity"),
                         failed.cast("bigint").alias("failed_rows"),
                         F.array().cast("array<bigint>").alias("failed_index"),
                     )
-                    for name, failed in checks.items()
+                    for name, (severity, failed) in checks.items()
                 )
             )
         )

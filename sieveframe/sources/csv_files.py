@@ -8,6 +8,7 @@ know the types pass ``types`` and skip that look.
 from __future__ import annotations
 
 import itertools
+import re
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import PurePosixPath
@@ -66,12 +67,15 @@ def load_csv(
     """One CSV file (or folder of parts) with a header, typed.
 
     ``types`` maps column names to Spark types and replaces the inference; a
-    cell that does not fit its declared type raises when read. ``multi_line``
+    cell that does not fit its declared type raises when read, and so does a line
+    that breaks off inside quotes or has more cells than the header. ``multi_line``
     allows line breaks inside quotes, at the price that a file is one task.
     """
     names, raw = read_text_cells(spark, path, multi_line)
     if types is None:
-        types = _types_of(names, _seen(raw, path, _type_looks(names)))
+        types = _types_of(names, _seen(raw, names, path, _type_looks(names)))
+    else:
+        raw = raw.filter(_whole_line(len(names), path))
     return _typed(raw, names, types)
 
 
@@ -89,10 +93,15 @@ def load_inbox(spark: SparkSession, folder: str, **options) -> dict[str, DataFra
     )
     paths = sorted(row.path for row in listing.collect())
     with ThreadPoolExecutor(LOOKS_AT_ONCE) as pool:
-        loaded = pool.map(lambda path: load_csv(spark, path, **options), paths)
+        loaded = pool.map(lambda path: load_csv(spark, _literal(path), **options), paths)
         return {PurePosixPath(p).stem: df for p, df in zip(paths, loaded)}
 
 
+def _literal(path: str) -> str:
+    """The path with the characters escaped that would make it a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def load_clean(
     spark: SparkSession,
     path: str,
@@ -116,6 +125,7 @@ def load_clean(
     ready = {f"ready{i}": prepared(_cell(i), name) for i, name in enumerate(names)}
     bits = _seen(
         raw.withColumns(ready),
+        names,
         path,
         _type_looks(names) + [cleaning.look(F.col(c), True) for c in ready],
     )
@@ -137,10 +147,14 @@ def read_text_cells(
 
     The cells are in columns cell0, cell1, ..., since names in a header may be
     missing or repeat. A further column holds the lines with too few or too
-    many cells.
+    many cells. All parts of a folder must have the same header.
     """
     reader = spark.read.options(
-        escape='"', multiLine=multi_line, columnNameOfCorruptRecord=_BROKEN
+        escape='"',
+        multiLine=multi_line,
+        columnNameOfCorruptRecord=_BROKEN,
+        # Lines can only be checked whole.
+        columnPruning=False,
     )
     first = reader.csv(path).first()
     if first is None:
@@ -153,7 +167,10 @@ def read_text_cells(
     schema = T.StructType()
     for name in [*(first if usable else cells), _BROKEN]:
         schema.add(name, T.StringType())
-    raw = reader.schema(schema).csv(path, header=True).toDF(*cells, _BROKEN)
+    raw = reader.schema(schema).csv(path, header=True, enforceSchema=not usable)
+    if not usable and len(raw.inputFiles()) > 1:
+        raise ValueError(f"{path}: parts need a header of different, non-empty names")
+    raw = raw.toDF(*cells, _BROKEN)
     present = (F.when(~F.col(c).isin(*MISSING), F.col(c)).alias(c) for c in cells)
     return names, raw.select(*present, F.col(_BROKEN))
 
@@ -193,21 +210,30 @@ def _date_look(cell: Column) -> Column:
     )
 
 
-def _line_look(last: Column) -> Column:
+def _line_look(width: int) -> Column:
+    """Whether a broken line ends inside quotes or has more cells than the header."""
     line = F.col(_BROKEN)
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"')))
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
     return (
         F.when(line.isNull(), 0)
-        .when(quotes % 2 == 1, _OPEN_QUOTE)
-        .when(last.isNotNull(), _LONG)
+        .when(bare.contains('"'), _OPEN_QUOTE)
+        .when(commas >= width, _LONG)
         .otherwise(0)
     )
 
 
-def _seen(raw: DataFrame, path: str, looks: list[Column]) -> list[int | None]:
+def _whole_line(width: int, path: str) -> Column:
+    """True; a line that cannot be read whole stops the job."""
+    line = F.concat(F.lit(f"{path}: this line is not as wide as the header: "), F.col(_BROKEN))
+    return F.when(_line_look(width) == 0, True).otherwise(F.raise_error(line).cast("boolean"))
+
+
+def _seen(
+    raw: DataFrame, names: list[str], path: str, looks: list[Column]
+) -> list[int | None]:
     """The bits of each look over all lines; broken lines raise."""
-    last = raw.columns.index(_BROKEN) - 1
-    named = [_line_look(_cell(last)).alias("_lines")]
+    named = [_line_look(len(names)).alias("_lines")]
     named += [one.alias(f"_{i}") for i, one in enumerate(looks)]
     lines, *bits = cleaning.seen(raw.select(*named))
     if (lines or 0) & _OPEN_QUOTE:
@@ -252,8 +278,9 @@ def _typed(raw: DataFrame, names: list[str], types: Mapping[str, str]) -> DataFr
         kind = types.get(name, "string")
         if kind == "timestamp_ntz":
             parsed = parse_iso(cell)
-            wrong = F.raise_error(F.concat(F.lit(f"{name} is no date: "), cell))
-            cell = F.when(cell.isNull() | parsed.isNotNull(), parsed).otherwise(
+            wrong = F.raise_error(F.concat(F.lit(f"{name} is no date without a zone: "), cell))
+            good = parsed.isNotNull() & ~has_zone(cell)
+            cell = F.when(cell.isNull() | good, parsed).otherwise(
                 wrong.cast("timestamp_ntz")
             )
         elif kind == "boolean":

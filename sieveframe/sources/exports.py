@@ -59,8 +59,12 @@ def _cell(field: T.StructField) -> Column:
     col = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BooleanType):
         return F.when(col, "True").when(~col, "False")
-    if isinstance(field.dataType, T.DoubleType):
-        return plain(col)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+        number = col.cast("double")
+        endless = F.when(number == float("inf"), "inf").when(number == -float("inf"), "-inf")
+        return F.when(F.isnan(number), None).otherwise(F.coalesce(endless, plain(number)))
+    if isinstance(field.dataType, T.DecimalType) and field.dataType.scale:
+        return plain(col.cast("double"))
     if isinstance(field.dataType, T.ArrayType):
         items = F.array_join(col.cast("array<string>"), ", ", "null")
         return F.when(

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+_SETTLED: list[str] = []
+_PLACE = "_place"
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -29,6 +34,20 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="sieveframe-")
 
 
+@contextlib.contextmanager
+def scratch_removed(spark: SparkSession) -> Iterator[None]:
+    """Removes at the end all intermediate tables that were settled inside."""
+    outer, _SETTLED[:] = _SETTLED[:], []
+    try:
+        yield
+    finally:
+        for path in _SETTLED:
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            system.delete(target, True)
+        _SETTLED[:] = outer
+
+
 def settle(df: DataFrame, label: str = "table") -> DataFrame:
     """Write a table once and go on from the files.
 
@@ -37,10 +56,21 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     size of the files when it chooses a join.
     """
     path = scratch_folder(df.sparkSession, label)
+    _SETTLED.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def settle_ordered(df: DataFrame, label: str = "table") -> DataFrame:
+    """Like settle() for a sorted result, which stays sorted when read again.
+
+    The parts of a sorted table follow each other, so a number that grows along
+    them keeps the order.
+    """
+    placed = settle(df.withColumn(_PLACE, F.monotonically_increasing_id()), label)
+    return placed.orderBy(_PLACE).drop(_PLACE)
+
+
 def settle_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Each table written once, under its own name."""
     return {name: settle(df, name) for name, df in tables.items()}

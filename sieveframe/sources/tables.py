@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,33 +25,30 @@ def store_tables(
 ) -> list[str]:
     """Create or replace each table; storing twice is like storing once.
 
-    The new rows go to a table beside the old one, which is swapped in only
-    when it is complete. So a table may be computed from its own old content,
-    and a job that dies leaves the old content in place.
+    The rows are written to a new folder below the database's. Only then does the
+    name change over, in one step of the catalog. So a table may be computed from its
+    own old content, and a job that dies at any point leaves the old content in place.
     """
     stored = []
     for name, df in tables.items():
-        full = f"`{database}`.`{name}`" if database else f"`{name}`"
-        staged = f"{full[:-1]}__incoming`"
-        df.write.mode("overwrite").format("parquet").saveAsTable(staged)
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        spark.sql(f"ALTER TABLE {staged} RENAME TO {full}")
-        stored.append(full)
+        base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase())
+        path = f"{base.locationUri.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        stored.append(store_snapshot(spark, name, path, database))
     return stored
 
 
 def store_snapshot(
     spark: SparkSession, name: str, path: str, database: str | None = None
 ) -> str:
-    """Create or replace a table over files that are already written.
+    """Let a table name stand for files that are already written.
 
-    Nothing is copied. The files of the table it replaces stay where they are,
+    Nothing is copied. The name is a view over the files, because a view can be put in
+    another's place in one step. The files that it showed before stay where they are,
     so give each snapshot a path of its own.
     """
     full = f"`{database}`.`{name}`" if database else f"`{name}`"
-    schema = spark.read.parquet(path).schema
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.catalog.createTable(full, path, source="parquet", schema=schema)
+    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM parquet.`{path}`")
     return full
 
 

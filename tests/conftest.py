@@ -23,22 +23,28 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+CLAIM_COLUMNS = (
+    "incident_date timestamp_ntz, incident_state string, incident_type string, "
+    "incident_severity string, total_claim_amount long, injury_claim long, "
+    "property_claim long, vehicle_claim long, fraud_reported boolean"
+)
+
+
 @pytest.fixture
 def make_claims(spark):
-    """Two claims a day: a fraudulent total loss and an honest small collision."""
+    """Every day a hail claim of 1200 (every other one fraud) and one of 300 in Texas,
+    and a fraudulent rollover of 7000 in Utah; the first day is a Monday."""
 
-    def make(days, start=dt.date(2015, 1, 1), extra=()):
+    def make(days, extra=()):
         rows = []
         for i in range(days):
-            when = dt.datetime.combine(start, dt.time()) + dt.timedelta(days=i)
-            rows.append((when, "NY", "Vehicle Theft", "Total Loss", 9000, 0, 0, 9000, True))
-            rows.append((when, "NY", "Parked Car", "Minor Damage", 1000, 0, 0, 1000, False))
-        return spark.createDataFrame(
-            rows + list(extra),
-            "incident_date timestamp_ntz, incident_state string, incident_type string, "
-            "incident_severity string, total_claim_amount long, injury_claim long, "
-            "property_claim long, vehicle_claim long, fraud_reported boolean",
-        )
+            when = dt.datetime(2019, 3, 4) + dt.timedelta(days=i, hours=i % 24)
+            rows += [
+                (when, "TX", "Hail", "Major Damage", 1200, 0, 1200, 0, i % 2 == 0),
+                (when, "UT", "Rollover", "Total Loss", 7000, 2000, 1000, 4000, True),
+                (when, "TX", "Hail", "Trivial Damage", 300, 0, 300, 0, False),
+            ]
+        return spark.createDataFrame([*rows, *extra], CLAIM_COLUMNS)
 
     return make
 

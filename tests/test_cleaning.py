@@ -10,10 +10,8 @@ def table(spark, rows, schema):
 
 
 def test_rename(spark):
-    df = table(spark, [], "`capital-gains` int, ClaimID int, `Policy State ` int")
-    assert cleaning.rename_snake_case(df).columns == [
-        "capital_gains", "claim_id", "policy_state",
-    ]
+    df = table(spark, [], "`unit price (net)` int, shipToCity int, ` Lot#7` int")
+    assert cleaning.rename_snake_case(df).columns == ["unit_price_net", "ship_to_city", "lot_7"]
 
 
 def test_rename_refuses_equal_names(spark):
@@ -33,24 +31,24 @@ def test_drop_duplicates_counts_nulls_as_equal(spark):
 
 
 def test_strip_text_leaves_other_columns(spark):
-    df = table(spark, [(" Columbus ", 1), ("  ", 2), (None, 3)], "city string, n int")
+    df = table(spark, [("  Zürich\n", 1), ("\t", 2), (None, 3)], "city string, n int")
     out = cleaning.strip_text(df)
-    assert values(out, "city", "n") == ["Columbus", None, None]
+    assert values(out, "city", "n") == ["Zürich", None, None]
     assert values(out, "n", "n") == [1, 2, 3]
 
 
 def test_yes_no_keeps_missing_and_skips_other_text(spark):
     df = table(
         spark,
-        [("YES", "Y", "A", None), ("no", "n", "Y", None), (None, "Y", "N", None)],
-        "damage string, fraud string, city string, empty string",
+        [("n", "Yes", "no way", None), (None, "yes", "no", None), ("NO", "nO", "Y", None)],
+        "paid string, insured string, note string, blank string",
     )
     out = cleaning.convert_yes_no(df)
     kinds = dict(out.dtypes)
-    assert (kinds["damage"], kinds["fraud"]) == ("boolean", "boolean")
-    assert (kinds["city"], kinds["empty"]) == ("string", "string")
+    assert (kinds["paid"], kinds["insured"]) == ("boolean", "boolean")
+    assert (kinds["note"], kinds["blank"]) == ("string", "string")
     assert [tuple(r)[:2] for r in out.collect()] == [
-        (True, True), (False, False), (None, True),
+        (False, True), (None, True), (False, False),
     ]
 
 
@@ -69,20 +67,27 @@ def test_replace_values_matches_whole_cells(spark):
 def test_clean_runs_all_steps(spark):
     df = table(
         spark,
-        [("Y", None, 1), (" Y", None, 1), ("N", None, 2)],
-        "`Fraud-Reported` string, _c39 string, id long",
+        [(8, "no", " "), (8, " no\t", None), (9, "yes", ""), (7, None, None)],
+        "`Lot No` long, `Sold?` string, Remarks string",
     )
     out = cleaning.clean(df)
-    assert out.columns == ["fraud_reported", "id"]
-    assert dict(out.dtypes)["fraud_reported"] == "boolean"
-    assert values(out, "fraud_reported", "id") == [True, False]
+    assert out.columns == ["lot_no", "sold"]
+    assert dict(out.dtypes)["sold"] == "boolean"
+    assert values(out, "sold", "lot_no") == [None, False, True]
+
+
+def test_nan_counts_as_missing(spark):
+    nan = float("nan")
+    df = table(spark, [(nan, nan, 1), (2.5, nan, 2)], "x double, gone double, id int")
+    assert cleaning.drop_empty_columns(df).columns == ["x", "id"]
+    assert values(cleaning.fill_missing(df, {"x": 0.25}), "x", "id") == [0.25, 2.5]
 
 
 def test_a_filled_column_is_kept(spark):
-    df = table(spark, [(None, "Suburu"), (None, "Saab")], "`Collision Type` string, auto_make string")
+    df = table(spark, [(" ", "Suburu"), (None, "Lada")], "collisionType string, `Auto make` string")
     out = CLAIMS.clean(df)
     assert sorted(tuple(r) for r in out.collect()) == [
-        ("Not Applicable", "Saab"), ("Not Applicable", "Subaru"),
+        ("Not Applicable", "Lada"), ("Not Applicable", "Subaru"),
     ]
 
 

@@ -20,8 +20,8 @@ def rows(df):
 
 
 def test_only_question_mark_and_blank_are_missing(spark, write):
-    df = load_csv(spark, write('kind,who,q\n?,None,""\n,Police,x\n'))
-    assert rows(df) == [(None, "None", None), (None, "Police", "x")]
+    df = load_csv(spark, write('crop,grade,lot\nNA,?,"?"\n"",null,-\nrye,,None\n'))
+    assert rows(df) == [("NA", None, None), (None, "null", "-"), ("rye", None, "None")]
 
 
 def test_types_come_from_all_values(spark, write):
@@ -95,7 +95,7 @@ def test_declared_types_need_no_look(spark, write):
 
 def test_a_declared_date_that_is_none_raises_when_read(spark, write):
     df = load_csv(spark, write("d\nsoon\n"), {"d": "timestamp_ntz"})
-    with pytest.raises(Exception, match="d is no date: soon"):
+    with pytest.raises(Exception, match="d is no date without a zone: soon"):
         df.collect()
 
 
@@ -151,3 +151,37 @@ def test_names_with_dots_and_backticks(spark, write):
     df = load_csv(spark, write("a.b,c`d,date.x\n1,x,2015-01-01\n"))
     assert df.columns == ["a.b", "c`d", "date.x"]
     assert cleaning.clean(df).columns == ["a_b", "c_d", "date_x"]
+
+
+@pytest.mark.parametrize("text", ["a,b\n1,2,3\n", 'a,b\n1,"x\ny"\n', "a,b,c\n1,2,,4\n", "a,b,c\n1,2,?,4\n"])
+@pytest.mark.parametrize("types", [None, {"a": "bigint"}])
+def test_lines_that_would_lose_cells_are_refused(spark, write, text, types):
+    with pytest.raises(Exception, match="more cells than the header|not as wide|inside quotes"):
+        load_csv(spark, write(text), types).select("a").collect()
+
+
+def test_short_lines_and_quoted_commas_are_fine(spark, write):
+    path = write('a,b,c\n1\n2,"x,,,y ""q"" ,"\n3,,\n')
+    want = [(1, None, None), (2, 'x,,,y "q" ,', None), (3, None, None)]
+    assert rows(load_csv(spark, path)) == want
+    assert rows(load_csv(spark, path, {"a": "bigint"})) == want
+
+
+def test_a_declared_date_with_a_zone_is_refused(spark, write):
+    df = load_csv(spark, write("d\n2015-01-25T10:00:00+02:00\n"), {"d": "timestamp_ntz"})
+    with pytest.raises(Exception, match="without a zone"):
+        df.collect()
+
+
+def test_parts_with_another_header_are_refused(spark, write, tmp_path):
+    write("a,b\n1,2\n", "one.csv")
+    write("b,a\n3,4\n", "two.csv")
+    with pytest.raises(Exception, match="(?i)header"):
+        load_csv(spark, str(tmp_path)).collect()
+
+
+def test_inbox_names_may_look_like_patterns(spark, write, tmp_path):
+    write("a\n1\n", "x[1].csv")
+    write("a\n2\n", "y{2}.csv")
+    found = load_inbox(spark, str(tmp_path))
+    assert {n: rows(df) for n, df in found.items()} == {"x[1]": [(1,)], "y{2}": [(2,)]}

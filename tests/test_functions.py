@@ -12,9 +12,9 @@ from sieveframe.functions.text import WHITESPACE, snake_name
 @pytest.mark.parametrize(
     "name, expected",
     [
-        ("capital-gains", "capital_gains"),
-        ("ClaimID", "claim_id"),
-        ("Policy State ", "policy_state"),
+        ("unit price (net)", "unit_price_net"),
+        ("shipToCity", "ship_to_city"),
+        ("\tLot No.", "lot_no"),
         ("aBCd", "a_bcd"),
         ("  x__Y  ", "x_y"),
         ("1Ab2C", "1_ab2_c"),
@@ -172,3 +172,19 @@ def test_plain_numbers_read_like_python(spark):
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([(float("nan"),), (1.5,)], "x double")
     assert tuple(df.agg(numbers.exact_sum(df, "x").cast("double")).first()) == (1.5,)
+
+
+def test_exact_sum_of_fine_amounts(spark):
+    df = spark.range(1000).select(F.lit(0.004).alias("x"), (F.col("id") / 7).alias("y"), F.lit(float("nan")).alias("z"))
+    row = df.agg(*(numbers.exact_sum(df, c).cast("double").alias(c) for c in "xyz")).first()
+    assert row.x == 4.0 and row.y == pytest.approx(499500 / 7, rel=1e-14) and row.z is None
+    turned = df.orderBy(F.desc("y"))
+    assert turned.agg(numbers.exact_sum(turned, "y").cast("double")).first()[0] == row.y
+    assert df.agg(numbers.exact_mean(df, "x")).first()[0] == 0.004
+
+
+def test_exact_sum_of_mixed_sizes(spark):
+    cells = [1e13, 0.01, -1e13, 1e-9, 2.5, None, 1e15]
+    df = spark.createDataFrame([(c,) for c in cells], "x double")
+    total = df.agg(numbers.exact_sum(df, "x")).first()[0]
+    assert total == sum(__import__("decimal").Decimal(str(c)) for c in cells if c is not None)

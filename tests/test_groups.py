@@ -16,9 +16,9 @@ def skewed(spark):
     return spark.range(40_000).select("id", key.alias("a"), (F.col("id") % 2).alias("b"))
 
 
-@pytest.mark.parametrize("limit", [100_000, 0], ids=["broadcast", "split"])
+@pytest.mark.parametrize("limit", [1 << 22, 300, 0], ids=["all", "hot", "none"])
 def test_group_size(skewed, limit):
-    got = with_group_size(skewed, ["a", "b"], "n", broadcast_groups=limit).toPandas()
+    got = with_group_size(skewed, ["a", "b"], "n", hot_bytes=limit).toPandas()
     pdf = skewed.toPandas()
     want = pdf.groupby(["a", "b"], dropna=False)["id"].transform("size")
     assert len(got) == len(pdf)
@@ -26,16 +26,16 @@ def test_group_size(skewed, limit):
     assert sizes.tolist() == want.tolist()
 
 
-@pytest.mark.parametrize("limit", [100_000, 0], ids=["broadcast", "split"])
+@pytest.mark.parametrize("limit", [1 << 22, 300, 0], ids=["all", "hot", "none"])
 def test_only_larger_groups(skewed, limit):
-    got = with_group_size(skewed, ["a", "b"], "n", 3, broadcast_groups=limit)
+    got = with_group_size(skewed, ["a", "b"], "n", 3, hot_bytes=limit)
     pdf = skewed.toPandas()
     size = pdf.groupby(["a", "b"], dropna=False)["id"].transform("size")
     assert sorted(r.id for r in got.collect()) == sorted(pdf.id[size >= 3])
 
 
 def test_the_split_path_shuffles_no_hot_rows(skewed):
-    df = with_group_size(skewed, ["a"], "n", broadcast_groups=0)
+    df = with_group_size(skewed, ["a"], "n", hot_bytes=100)
     df.collect()
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "LeftAnti" in plan
@@ -83,10 +83,24 @@ def test_quantiles_of_nothing(spark):
     assert group_quantiles(df, "k", "v", {"m": 0.5}).collect() == []
 
 
+def test_wide_keys_are_not_broadcast(spark):
+    """No side above the threshold is broadcast, and hot keys only within their bytes."""
+    wide = F.concat(F.repeat(F.lit("k"), 2000), (F.col("id") % 9000).cast("string"))
+    df = spark.range(20_000).select("id", wide.alias("k"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        out = with_group_size(df, ["k"], "n")
+        assert out.filter("n > 1").count() == 20_000
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "broadcast" not in plan.lower()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_quantiles_of_whole_numbers(spark):
-    df = spark.range(101).select(F.lit("x").alias("k"), F.col("id").alias("v"))
-    [row] = group_quantiles(df, "k", "v", {"p5": 0.05, "m": 0.5, "p95": 0.95}).collect()
-    assert tuple(row) == ("x", 5.0, 50.0, 95.0)
+    df = spark.range(41).select(F.lit("x").alias("k"), (F.col("id") * 3).alias("v"))
+    [row] = group_quantiles(df, "k", "v", {"p10": 0.1, "m": 0.5, "p90": 0.9}).collect()
+    assert tuple(row) == ("x", 12.0, 60.0, 108.0)
 
 
 def test_a_group_without_values_stays(spark):

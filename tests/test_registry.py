@@ -6,10 +6,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from registry import all_queries
 from tools.check import TABLES, rows_of
 
 FOLDER = driver.SMALLEST
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = all_queries().queries, all_queries().sql
 
 pytestmark = pytest.mark.skipif(
     not os.path.isdir(FOLDER), reason="the driver's tables are not here"

@@ -13,7 +13,12 @@ from sieveframe.plans.analysis import run_queries, run_query
 from sieveframe.plans.claims import CLAIMS
 from sieveframe.plans.run import ClaimsRun, run_steps
 from sieveframe.sources import exports, tables
-from sieveframe.sources.scratch import scratch_folder, settle
+from sieveframe.sources.scratch import (
+    scratch_folder,
+    scratch_removed,
+    settle,
+    settle_ordered,
+)
 
 
 @pytest.fixture
@@ -70,13 +75,13 @@ def test_a_failed_store_leaves_the_old_table(spark, database):
 
 def test_store_keeps_the_list_of_ids(spark, database):
     report = rules.validate(
-        spark.createDataFrame([(0, 1), (1, 1), (2, 2)], "row long, id long"),
-        {"id unique": (rules.ERROR, rules.unique("id"))},
-        "row",
+        spark.range(20, 26).withColumn("half", F.floor(F.col("id") / 4)),
+        {"halves once": (rules.WARN, rules.unique("half"))},
+        "id",
     )
     tables.store_tables(spark, {"validation_report": report}, database)
     row = spark.table(f"{database}.validation_report").first()
-    assert tuple(row) == ("id unique", "error", 2, [0, 1])
+    assert tuple(row) == ("halves once", "warn", 6, [20, 21, 22, 23, 24, 25])
 
 
 def test_export_text(spark, tmp_path):
@@ -155,7 +160,7 @@ def test_publish_refuses_small_groups(make_claims, tmp_path):
     for name, table in back.items():
         assert not CLAIMS.sensitive & set(table.columns)
         assert table.count() > 0, name
-    assert back["by_state_type"].agg(F.sum("claims")).first()[0] == 20
+    assert back["by_state_type"].agg(F.sum("claims")).first()[0] == 30
 
 
 def test_publish_refuses_sensitive_results(make_claims, tmp_path):
@@ -173,7 +178,7 @@ def test_load_summaries_without_the_table(spark, make_claims, tmp_path, database
     assert rows is None and dict(found["by_state_type_day"].dtypes)["incident_date"] == "date"
     tables.store_tables(spark, {"claims": claims}, database)
     found, rows = tables.load_summaries(spark, *args)
-    assert rows.count() == 20 and found["by_state_type"].count() == 2
+    assert rows.count() == 30 and found["by_state_type"].count() == 2
 
 
 def test_settle_reads_its_own_files(spark):
@@ -238,7 +243,7 @@ def test_the_whole_run(spark, make_claims, tmp_path, database):
     stored = spark.table(f"{database}.claims")
     assert all(run.run_id in path for path in stored.inputFiles())  # not copied
     row = stored.first()
-    assert stored.count() == 60 and "c39" not in stored.columns
+    assert stored.count() == 90 and "c39" not in stored.columns
     assert (row.auto_make, row.collision_type) == ("Subaru", "Not Applicable")
     reports = {p.name for p in (tmp_path / "out" / "reports").iterdir()}
     assert {"validation_claims.csv", "analysis_claims_by_state.csv", "headlines.csv"} <= reports
@@ -276,3 +281,61 @@ def test_a_domain_of_its_own(spark):
 def test_write_raw_keeps_spaces(spark, tmp_path):
     write_raw(spark.createDataFrame([(" a ",)], "x string"), str(tmp_path / "r"))
     assert text_of(tmp_path / "r") == ["x", " a "]
+
+
+def test_publish_refuses_claims_without_a_state(make_claims, tmp_path):
+    claims = make_claims(20)
+    lost = claims.withColumn("incident_state", F.when(F.col("incident_type") == "Hail", "TX"))
+    with pytest.raises(ValueError, match="all claims counted: 20 rows"):
+        publish.publish_summaries(lost, {}, str(tmp_path / "p"))
+    assert not (tmp_path / "p").exists()
+
+
+def test_a_store_that_dies_before_the_switch_changes_nothing(spark, database, monkeypatch):
+    tables.store_tables(spark, {"t": spark.range(3)}, database)
+
+    def die(*args):
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(tables, "store_snapshot", die)
+    with pytest.raises(RuntimeError):
+        tables.store_tables(spark, {"t": spark.range(5)}, database)
+    assert spark.table(f"{database}.t").count() == 3
+
+
+def test_two_runs_and_late_steps_in_one_session(spark, make_claims, tmp_path):
+    """Without a database too; report and export alone find what they need."""
+    source = claims_file(spark, make_claims, tmp_path / "claims.csv")
+    first = ClaimsRun(spark, source, str(tmp_path / "one"))
+    second = ClaimsRun(spark, source, str(tmp_path / "two"))
+    try:
+        assert len(first.run()) == len(second.run()) == 6
+        late = ClaimsRun(spark, source, str(tmp_path / "three"))
+        late.write_report()
+        late.export()
+        for part in ("export/claims_by_week.csv", "reports/headlines.csv"):
+            assert text_of(tmp_path / "three" / part) == text_of(tmp_path / "two" / part)
+    finally:
+        for name in ("claims", "validation_report"):
+            spark.sql(f"DROP VIEW IF EXISTS {name}")
+
+
+def test_settled_results_stay_sorted(spark):
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("x")).orderBy(F.desc("x"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        kept = settle_ordered(df, "sorted")
+        assert [r.x for r in kept.collect()] == list(range(999, -1, -1))
+        assert kept.columns == ["x"]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_scratch_of_a_block_is_removed(spark):
+    from pathlib import Path
+
+    outside = settle(spark.range(2))
+    with scratch_removed(spark):
+        path = settle(spark.range(3)).inputFiles()[0]
+        assert Path(path.removeprefix("file://")).exists()
+    assert not Path(path.removeprefix("file://")).exists() and outside.count() == 2
