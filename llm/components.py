@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from sieveframe.sources.scratch import settle
@@ -17,18 +17,15 @@ def components(links: DataFrame) -> DataFrame:
     before they shuffle, so a node with many links is no burden. Each round is written
     to the shared folder and read again, which cuts the lineage.
     """
-    edges = settle(
+    edges, before = _settled(
         links.filter("a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(),
-        "links",
+        .distinct()
     )
-    before = _state(edges)
-    while True:
+    while before["n"]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         edges = _star(both, F.col("v") > F.col("u"))
-        edges = settle(_star(edges, F.lit(True), own=True), "links")
-        now = _state(edges)
+        edges, now = _settled(_star(edges, F.lit(True), own=True))
         if now == before:
             break
         before = now
@@ -49,6 +46,10 @@ def _star(edges: DataFrame, which, own: bool = False) -> DataFrame:
     return out.filter("u <> v").distinct()
 
 
-def _state(edges: DataFrame) -> tuple:
+def _settled(edges: DataFrame) -> tuple[DataFrame, dict]:
+    """The links, written, with their number and a sum over hashes of all of them."""
+    seen = Observation()
     mark = F.xxhash64("u", "v").cast("decimal(20,0)")
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(mark)).first())
+    watched = edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(mark).alias("mark"))
+    kept = settle(watched, "links")
+    return kept, seen.get

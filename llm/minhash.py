@@ -137,7 +137,7 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b, distance): the Jaccard distance of the sets behind each pair."""
+    """(a, b, linked): whether the sets behind each pair are similar."""
     of = lambda side: sets.select(
         F.col("id").alias(side), F.col("shingles").alias(f"{side}_set")
     )
@@ -148,7 +148,6 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         .join(of("b"), "b")
         .select(
             "a", "b", (100 * both >= SIMILARITY * union).alias("linked"),
-            (1 - both / union).alias("distance"),
         )
     )
 
@@ -167,10 +166,8 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     1. each member of a bucket with its smallest member, and with its largest one if
        the bucket is not yet one component;
-    2. for buckets that still hold several components, members of different ones. By
-       the triangle inequality two of them can only be linked if their distances to
-       the bucket's smallest member differ by at most 1 - similarity, and only if
-       their sizes allow it.
+    2. for documents in buckets that still hold several components, those of different
+       ones that across_components() finds.
 
     So a link is found if its two documents share any bucket. For a similarity of 0.8
     that fails with a chance of (1 - 0.8 ** 6) ** 64 < 4e-9, and less above.
@@ -214,42 +211,18 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     low = settle(with_end(shared, "low"), "pairs")
     ids = shared.select(F.col("rep").alias("id")).distinct()
     sets = settle(sets_of(mine, ids, width), "sets")
-    first = settle(verified(low, sets), "checked")
-    linked = first.filter("linked").select("a", "b")
+    first = settle(verified(low, sets).filter("linked"), "checked")
+    linked = first.select("a", "b")
 
     linked = linked.unionAll(_same_id(usable, nodes))
-    found = components(linked)
+    found = settle(components(linked), "components")
     split = settle(_split(shared, found), "split")
     second = settle(verified(with_end(split, "high"), sets).filter("linked"), "checked")
     linked = linked.unionAll(second.select("a", "b"))
 
-    found = settle(components(linked), "components")
-    split = _split(shared, found)
-    away = first.select(F.col("a").alias("a1"), F.col("b").alias("b1"), "distance")
-    measured = split.join(
-        away, (F.col("rep") == F.col("a1")) & (F.col("low") == F.col("b1")), "left"
-    ).select(
-        "bucket", "component", "rep", "n",
-        # Without a distance the sizes alone put the member beyond the similarity.
-        F.when(F.col("rep") == F.col("low"), 0.0).otherwise(F.col("distance")).alias("d"),
-    )
-    measured = settle(measured, "measured")
-    other = measured.select(
-        F.col("bucket").alias("bucket2"), F.col("component").alias("component2"),
-        F.col("rep").alias("other"), F.col("n").alias("m"), F.col("d").alias("d2"),
-    )
-    reach = (100 - SIMILARITY) / 100 + 1e-9
-    rest = (
-        measured.join(
-            other,
-            (F.col("bucket") == F.col("bucket2"))
-            & (F.col("component") < F.col("component2"))
-            & fits
-            & F.coalesce(F.abs(F.col("d") - F.col("d2")) <= reach, F.lit(True)),
-        )
-        .select(F.col("rep").alias("a"), F.col("other").alias("b"))
-        .distinct()
-    )
+    found = found if second.isEmpty() else settle(components(linked), "components")
+
+    rest = across_components(_split(shared, found), sets)
     third = settle(verified(rest, sets).filter("linked"), "checked")
     if not third.isEmpty():
         found = settle(components(linked.unionAll(third.select("a", "b"))), "components")
@@ -274,6 +247,53 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     )
 
 
+def across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): all pairs of different components that can be linked, once each.
+
+    Linked sets share SIMILARITY percent of either one. So if all shingles are put in
+    one order, they share one among the first 20 percent, and one more, of both. The
+    order begins with shingles that no two components share, which decide nothing, and
+    goes on from rare to frequent: what very many documents have in common comes last
+    and makes no pairs.
+    """
+    mine = members.select("rep", "n", "component").distinct()
+    each = mine.join(sets, F.col("rep") == F.col("id")).select(
+        "rep", "n", "component", F.explode("shingles").alias("shingle")
+    )
+    common = (
+        each.groupBy(F.col("shingle").alias("own"))
+        .agg(
+            F.count(F.lit(1)).alias("freq"),
+            F.min("component").alias("x"), F.max("component").alias("y"),
+        )
+        .filter("x < y")
+        .select("own", "freq")
+    )
+    shared = F.array_sort(F.collect_list(F.struct("freq", "shingle")))
+    first = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
+    # The shingles that are left out come before these.
+    left = (first - F.col("n") + F.size("shared")).cast("int")
+    front = settle(
+        each.join(common, F.col("shingle") == F.col("own"))
+        .groupBy("rep", "n", "component")
+        .agg(shared.alias("shared"))
+        .select(
+            "rep", "n", "component",
+            F.explode(F.slice("shared", 1, F.greatest(left, F.lit(0)))).alias("s"),
+        )
+        .select("rep", "n", "component", F.col("s.shingle").alias("shingle")),
+        "front",
+    )
+    other = front.select(
+        F.col("shingle").alias("shingle2"), F.col("component").alias("component2"),
+        F.col("rep").alias("other"), F.col("n").alias("m"),
+    )
+    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * SIMILARITY
+    same = (F.col("shingle") == F.col("shingle2")) & (F.col("component") < F.col("component2"))
+    pairs = front.join(other, same & fits)
+    return pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
+
+
 def _same_id(usable: DataFrame, nodes: DataFrame) -> DataFrame:
     """Links between the sets of one doc_id, if it has rows of several."""
     held = usable.select("doc_id", "f", "g").join(nodes, ["f", "g"]).select("doc_id", "rep")
