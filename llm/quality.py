@@ -12,8 +12,8 @@ from pyspark.sql.types import StructType
 from llm import text as T
 
 # Published limits, in percent of a text's word characters that lie in
-# n-grams found twice or more, by n; in lines equal to an earlier one; and symbols
-# in percent of words.
+# n-grams found before in the text, by n; in lines equal to an earlier one; and
+# symbols in percent of words.
 NGRAM_LIMITS = {5: 15, 6: 14, 7: 13, 8: 12, 9: 11, 10: 10}
 LINE_LIMIT = 20
 SYMBOL_LIMIT = 10
@@ -60,24 +60,24 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     full = chars > 0
     first, last, row, chars = first[full], last[full], row[full], chars[full]
     key = _by_row(T.rolling_bytes(data).of(first, last), row)
-    order = np.argsort(key, kind="stable")
-    again = np.zeros(len(key), bool)
-    again[order[1:]] = key[order][1:] == key[order][:-1]
+    _, again = T.repeated(key)
     out["n_dup_lines"] = np.bincount(row[again], minlength=rows)
     out["dup_line_chars"] = _total(chars[again], row[again], rows)
 
     rolling = T.Rolling(w.hash, T.WORD_BASES[0])
-    candidates, before = None, 0
+    candidates = None
     for n in NGRAM_LIMITS:
         hashes = rolling.fixed(n)
         at = np.arange(len(hashes)) if candidates is None else candidates
         at = at[at < len(hashes)]
         at = at[w.row[at] == w.row[at + n - 1]]
-        hit = at[T.repeated(_by_row(hashes[at], w.row[at]))]
-        inside = T.covered(hit, n, len(w.row))
+        every, later = T.repeated(_by_row(hashes[at], w.row[at]))
+        hit = at[every]
+        inside = T.covered(at[later], n, len(w.row))
         out[f"dup_chars_{n}"] = _total(length[inside], w.row[inside], rows)
         if n == 5:
-            out["n_repeat_words"] = np.bincount(w.row[inside], minlength=rows)
+            found = T.covered(hit, n, len(w.row))
+            out["n_repeat_words"] = np.bincount(w.row[found], minlength=rows)
         # A longer n-gram is found twice only if both its ends are.
         flags = np.zeros(len(w.row) + 1, bool)
         flags[hit] = True

@@ -257,7 +257,8 @@ def _op10_sql() -> str:
         for n in lengths
     )
     twice = ",\n       ".join(
-        f"(h{n} IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, h{n}) > 1)::INT AS d{n}"
+        f"(h{n} IS NOT NULL AND row_number() OVER "
+        f"(PARTITION BY doc_id, h{n} ORDER BY i) > 1)::INT AS d{n}"
         for n in lengths
     )
     inside = ",\n       ".join(
@@ -278,14 +279,17 @@ FROM words
   WINDOW {frames}
 ),
 twice AS (SELECT doc_id, i, word,
+       (h5 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, h5) > 1)::INT AS every5,
        {twice}
 FROM grams),
 inside AS (SELECT doc_id, word,
+       max(every5) OVER (PARTITION BY doc_id ORDER BY i
+                         ROWS BETWEEN 4 PRECEDING AND CURRENT ROW) AS repeat5,
        {inside}
 FROM twice),
 figures AS (
   SELECT doc_id, count(*) AS n_words, sum(len(word))::BIGINT AS word_chars,
-         sum(c5)::BIGINT AS n_repeat_words, {sums}
+         sum(repeat5)::BIGINT AS n_repeat_words, {sums}
   FROM inside GROUP BY doc_id
 ),
 lines AS (

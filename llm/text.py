@@ -144,14 +144,14 @@ def per_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def repeated(keys: np.ndarray) -> np.ndarray:
-    """Flags of the keys that are there twice or more."""
-    order = np.argsort(keys)
+def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Flags of the keys that are there twice or more, and of those not for the first time."""
+    order = np.argsort(keys, kind="stable")
     same = keys[order][1:] == keys[order][:-1]
-    out = np.zeros(len(keys), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
+    every, later = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
+    later[order[1:][same]] = True
+    every[order[:-1][same]] = True
+    return every | later, later
 
 
 def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
