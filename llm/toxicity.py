@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,14 +46,20 @@ _CUT[[*range(48, 58), *range(65, 91), *range(97, 123), 39]] = False
 
 
 def _tokens(data: np.ndarray, offsets: np.ndarray):
-    """Row, and one hash array for words and each prefix length; 0 where there is none."""
+    """Row, and one hash array for words and each prefix length; 0 where there is none.
+
+    Identity terms have no prefixes, whose weights a swap would not reach.
+    """
     data = T.lower(data)
     flat = np.where(_CUT[data], np.uint8(0x20), data)
     w = T.words(flat, offsets, hashed=False)
     rolling = T.rolling_bytes(flat)
-    out = [rolling.of(w.starts, w.ends)]
+    whole = rolling.of(w.starts, w.ends)
+    terms, _ = _identity()
+    plain = terms[np.minimum(np.searchsorted(terms, whole), len(terms) - 1)] != whole
+    out = [whole]
     for n in PREFIXES:
-        long = w.ends - w.starts > n
+        long = (w.ends - w.starts > n) & plain
         h = rolling.of(w.starts, np.minimum(w.starts + n, w.ends)) ^ np.uint64(n)
         out.append(np.where(long, h, np.uint64(0)))
     return w.row, out
@@ -63,6 +70,7 @@ def hash_word(word: str) -> int:
     return int(T.rolling_bytes(data).of(np.array([0]), np.array([len(data)]))[0])
 
 
+@functools.cache
 def _identity() -> tuple[np.ndarray, np.ndarray]:
     """Sorted hashes of all terms, and the hash of the one each is swapped for."""
     swap = {}
