@@ -43,7 +43,8 @@ def _star(edges: DataFrame, which, own: bool = False) -> DataFrame:
     out = near.select(F.col("v").alias("u"), F.col("least").alias("v"))
     if own:
         out = out.unionAll(least.select(F.col("w").alias("u"), F.col("least").alias("v")))
-    return out.filter("u <> v").distinct()
+    # Links that are there twice go with the step that ends a round.
+    return out.filter("u <> v").distinct() if own else out.filter("u <> v")
 
 
 def _settled(edges: DataFrame) -> tuple[DataFrame, dict]:

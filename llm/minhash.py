@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
@@ -17,6 +18,7 @@ SIMILARITY = 80  # percent
 BANDS = 64
 BAND_ROWS = 6
 BINS = BANDS * BAND_ROWS
+RATIO = 1.05  # of the sizes in neighbouring classes
 _NONE = ~np.uint64(0)
 _SEEDS = T.mix(np.arange(1, 2 * BINS + 1, dtype=np.uint64) * np.uint64(T.BASE))
 _ROWS = T.mix(np.arange(1, BAND_ROWS + 1, dtype=np.uint64) * np.uint64(T.WORD_BASES[0]))
@@ -164,8 +166,7 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 
     Equal sets are one node. The pairs that are checked on full sets:
 
-    1. each member of a bucket with its smallest member, and with its largest one if
-       the bucket is not yet one component;
+    1. each member of a bucket with its smallest and its largest member;
     2. for documents in buckets that still hold several components, those of different
        ones that across_components() finds.
 
@@ -200,27 +201,20 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
     sizes = shared.select(F.col("rep").alias("other"), F.col("n").alias("m")).distinct()
     fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * SIMILARITY
 
-    def with_end(members: DataFrame, end: str) -> DataFrame:
-        pairs = members.filter(F.col("rep") != F.col(end)).select("rep", "n", end).distinct()
-        return (
-            pairs.join(sizes, F.col(end) == F.col("other"))
-            .filter(fits)
-            .select(F.col("rep").alias("a"), F.col(end).alias("b"))
-        )
-
-    low = settle(with_end(shared, "low"), "pairs")
+    ends = shared.select("rep", "n", F.explode(F.array("low", "high")).alias("end"))
+    pairs = settle(
+        ends.filter("rep <> end")
+        .distinct()
+        .join(sizes, F.col("end") == F.col("other"))
+        .filter(fits)
+        .select(F.col("rep").alias("a"), F.col("end").alias("b")),
+        "pairs",
+    )
     ids = shared.select(F.col("rep").alias("id")).distinct()
     sets = settle(sets_of(mine, ids, width), "sets")
-    first = settle(verified(low, sets).filter("linked"), "checked")
-    linked = first.select("a", "b")
-
-    linked = linked.unionAll(_same_id(usable, nodes))
+    first = settle(verified(pairs, sets).filter("linked"), "checked")
+    linked = first.select("a", "b").unionAll(_same_id(usable, nodes))
     found = settle(components(linked), "components")
-    split = settle(_split(shared, found), "split")
-    second = settle(verified(with_end(split, "high"), sets).filter("linked"), "checked")
-    linked = linked.unionAll(second.select("a", "b"))
-
-    found = found if second.isEmpty() else settle(components(linked), "components")
 
     rest = across_components(_split(shared, found), sets)
     third = settle(verified(rest, sets).filter("linked"), "checked")
@@ -250,11 +244,14 @@ def near_duplicates(docs: DataFrame, width: int = 5) -> DataFrame:
 def across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): all pairs of different components that can be linked, once each.
 
-    Linked sets share SIMILARITY percent of either one. So if all shingles are put in
-    one order, they share one among the first 20 percent, and one more, of both. The
-    order begins with shingles that no two components share, which decide nothing, and
-    goes on from rare to frequent: what very many documents have in common comes last
-    and makes no pairs.
+    Put all shingles in one order. Sets of n and m shingles that are similar have at
+    least SIMILARITY / (100 + SIMILARITY) * (n + m) in common, so they share one among
+    the first n and m less that number, plus one, of each. The order begins with
+    shingles that no two components share, which decide nothing, and goes on from rare
+    to frequent: what very many documents have in common comes last and makes no pairs.
+
+    Sizes fall into classes that grow by RATIO. A set looks for smaller ones, or of its
+    own class, in each class that may hold them; how far it looks depends on that class.
     """
     mine = members.select("rep", "n", "component").distinct()
     each = mine.join(sets, F.col("rep") == F.col("id")).select(
@@ -269,29 +266,68 @@ def across_components(members: DataFrame, sets: DataFrame) -> DataFrame:
         .filter("x < y")
         .select("own", "freq")
     )
-    shared = F.array_sort(F.collect_list(F.struct("freq", "shingle")))
-    first = F.col("n") - F.ceil(F.col("n") * SIMILARITY / 100) + 1
-    # The shingles that are left out come before these.
-    left = (first - F.col("n") + F.size("shared")).cast("int")
-    front = settle(
+    listed = F.array_sort(F.collect_list(F.struct("freq", "shingle")))
+    steps = range(int(1 + math.log(100 / SIMILARITY) / math.log(RATIO)) + 1)
+    part = SIMILARITY / (100 + SIMILARITY)
+
+    def front(down: bool) -> DataFrame:
+        """The first shingles of each set, for each step between the classes."""
+        size_class = F.floor(F.log("n") / math.log(RATIO)).cast("int")
+        rows = []
+        for d in steps:
+            # The other set has at least so many times the shingles of this one.
+            other = RATIO ** -(d + 1) if down else RATIO ** (d - 1)
+            need = F.ceil(F.col("n") * (part * (1 + other)) - 1e-6)
+            first = (F.col("n") - need + 1 - F.col("before")).cast("int")
+            rows.append(
+                F.transform(
+                    F.slice("shared", 1, F.greatest(first, F.lit(0))),
+                    _row_of(d, size_class - d if down else size_class),
+                )
+            )
+        return numbered.select(
+            "rep", "n", "component", F.inline(F.concat(*rows))
+        ).withColumn("left", F.col("n") - F.col("place"))
+
+    numbered = settle(
         each.join(common, F.col("shingle") == F.col("own"))
         .groupBy("rep", "n", "component")
-        .agg(shared.alias("shared"))
+        .agg(listed.alias("listed"))
         .select(
-            "rep", "n", "component",
-            F.explode(F.slice("shared", 1, F.greatest(left, F.lit(0)))).alias("s"),
-        )
-        .select("rep", "n", "component", F.col("s.shingle").alias("shingle")),
+            "rep", "n", "component", (F.col("n") - F.size("listed")).alias("before"),
+            F.transform(
+                "listed", lambda x, i: F.struct(x["shingle"].alias("shingle"), i.alias("i"))
+            ).alias("shared"),
+        ),
         "front",
     )
-    other = front.select(
-        F.col("shingle").alias("shingle2"), F.col("component").alias("component2"),
-        F.col("rep").alias("other"), F.col("n").alias("m"),
+    small = front(False)
+    small = small.select(
+        *(F.col(c).alias(f"{c}2") for c in ("shingle", "cls", "step", "component", "n", "left")),
+        F.col("rep").alias("other"),
+    )
+    both = front(True).join(
+        small,
+        (F.col("shingle") == F.col("shingle2"))
+        & (F.col("cls") == F.col("cls2"))
+        & (F.col("step") == F.col("step2"))
+        & (F.col("component") != F.col("component2"))
+        & (F.least("n", "n2") * 100 >= F.greatest("n", "n2") * SIMILARITY)
+        # What comes from here on must be enough.
+        & (F.least("left", "left2") * (100 + SIMILARITY) >= (F.col("n") + F.col("n2")) * SIMILARITY),
+    )
+    return both.select(
+        F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
+    ).distinct()
+
+
+def _row_of(step: int, size_class: Column):
+    return lambda x: F.struct(
+        x["shingle"].alias("shingle"),
+        (F.col("before") + x["i"]).alias("place"),
+        size_class.alias("cls"),
+        F.lit(step).alias("step"),
     )
-    fits = F.least("n", "m") * 100 >= F.greatest("n", "m") * SIMILARITY
-    same = (F.col("shingle") == F.col("shingle2")) & (F.col("component") < F.col("component2"))
-    pairs = front.join(other, same & fits)
-    return pairs.select(F.col("rep").alias("a"), F.col("other").alias("b")).distinct()
 
 
 def _same_id(usable: DataFrame, nodes: DataFrame) -> DataFrame:
