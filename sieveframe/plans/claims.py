@@ -29,7 +29,8 @@ SEVERITIES = ("Trivial Damage", "Minor Damage", "Major Damage", "Total Loss")
 CLAIMS = Domain(
     table="claims",
     id_col="policy_number",
-    # No collision type means that there was no collision.
+    # Fixed values from here on: the fill, the fix, the rules with their labels, severities
+    # and limits, and the columns that never leave the house.
     fills={"collision_type": "Not Applicable"},
     fixes={"auto_make": {"Suburu": "Subaru"}},
     rules={

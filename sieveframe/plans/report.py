@@ -88,7 +88,10 @@ def _scalar(df: DataFrame, **facts: Column) -> Column:
 
 
 def headlines(facts: DataFrame) -> DataFrame:
-    """The report's sentences as rows ``(seq, section, title, text)``."""
+    """The report's sentences as rows ``(seq, section, title, text)``.
+
+    Fixed values: section names, titles and the wording of the sentences.
+    """
     overall = _pct(F.col("fraud_pct"))
     lines = [
         (
