@@ -1,4 +1,7 @@
-"""Findings, report facts and scalar functions."""
+"""Findings, report facts and scalar functions.
+
+Fixed values: the wording of the sentences that the SQL twins put together.
+"""
 
 from pyspark.sql import functions as F
 

@@ -3,6 +3,8 @@
 ``page_*`` functions work on claim rows and keep their numbers as columns;
 ``insights`` works on the three summary tables and returns the sentences as
 rows ``(section, seq, text)``.
+
+Fixed values: section names and the wording of the sentences.
 """
 
 from __future__ import annotations

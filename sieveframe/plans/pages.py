@@ -2,6 +2,8 @@
 
 These keep a NULL group where a key is missing, as SQL's GROUP BY does, and
 leave rates unrounded. Every function takes the selected rows.
+
+Fixed values: the wording of notes and captions.
 """
 
 from __future__ import annotations
