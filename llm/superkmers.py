@@ -301,18 +301,22 @@ def spans(
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
-    """doc_id, text and a 32-bit hash that tells rows of one doc_id apart."""
+    """doc_id, text and a 64-bit hash that tells rows of one doc_id apart, or of none."""
+    doc_id = F.col("doc_id").cast("long")
     return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
+        doc_id.alias("doc_id"),
         "text",
-        F.coalesce(F.crc32(F.col("text").cast("binary")), F.lit(0).cast("long")).alias(ROW_KEY),
+        F.xxhash64("text", doc_id.isNull()).alias(ROW_KEY),
     )
 
 
 def with_spans(keyed: DataFrame, found: DataFrame) -> DataFrame:
-    """Each row with its list of spans, null without any."""
+    """Each row with its list of spans, null without any.
+
+    Equal rows share their spans, each of which all of them report; one is kept.
+    """
     lists = found.groupBy("owner", "key").agg(
-        F.collect_list(F.struct("a", "b")).alias("spans")
+        F.collect_set(F.struct("a", "b")).alias("spans")
     )
     same = (F.coalesce(F.col("doc_id"), F.lit(0)) == F.col("owner")) & (
         F.col(ROW_KEY) == F.col("key")

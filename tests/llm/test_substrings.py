@@ -2,11 +2,13 @@ import collections
 import hashlib
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 
 from llm import substring_dedup, suffix_dedup
+from llm import superkmers as S
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -94,6 +96,34 @@ def test_rows_of_one_id_are_told_apart(docs):
     assert sorted((r.doc_id, r.n_words, r.n_removed) for r in got) == [(1, 1, 0), (1, 60, 60), (2, 60, 60)]
 
 
+def test_rows_without_id_and_with_equal_crc_are_told_apart(docs):
+    """Two null ids, texts of one 32-bit checksum: only the one with the passage loses it."""
+    passage = " ".join(f"passage{i}" for i in range(60))
+    alone = " ".join(f"alone{i}" for i in range(70))
+    tails = [hashlib.sha256(b"%d" % i).hexdigest()[:16] for i in range(200_000)]
+    start = zlib.crc32(f"{passage} ".encode())
+    ends = {zlib.crc32(t.encode(), start): t for t in tails}
+    start = zlib.crc32(f"{alone} ".encode())
+    crc = lambda t: zlib.crc32(t.encode(), start)
+    tail = next(t for t in tails if crc(t) in ends)
+    texts = [f"{passage} {ends[crc(tail)]}", f"{alone} {tail}", passage]
+    assert zlib.crc32(texts[0].encode()) == zlib.crc32(texts[1].encode())
+    rows = docs(zip([None, None, 1], texts))
+    words = substring_dedup.dedup_substrings(rows).collect()
+    assert sorted((r.n_words, r.n_removed) for r in words) == [(60, 60), (61, 60), (71, 0)]
+    bytes_ = suffix_dedup.dedup_bytes(rows).collect()
+    want = sorted(x[:2] for x in brute_bytes(texts))
+    assert sorted((r.n_bytes, r.n_removed) for r in bytes_) == want
+
+
+@pytest.mark.parametrize("op", [substring_dedup, suffix_dedup])
+def test_spans_of_equal_rows_are_kept_once(docs, op):
+    long = " ".join(f"word{i}" for i in range(100))
+    keyed, found = op.repeated_spans(docs([(None, long)] * 40))
+    for r in S.with_spans(keyed, found).collect():
+        assert r.spans and len(set(r.spans)) == len(r.spans)
+
+
 def test_empty_table(docs):
     assert substring_dedup.dedup_substrings(docs([])).collect() == []
     assert suffix_dedup.dedup_bytes(docs([])).collect() == []
