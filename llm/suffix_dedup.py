@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from llm import superkmers as S
 from llm import text as T
@@ -16,6 +17,12 @@ from llm.substring_dedup import counted
 WIDTH = 400
 MER = 16  # bytes hashed at each position
 STEP = 48  # any so many positions hold the start of a phrase
+# A run of MER bytes is hot if it is there once for so many rows, and more than FEW times.
+HOT = 1000
+FEW = 64
+TASK_GRAMS = 1 << 15  # runs of bytes that a task counts on from slice to slice
+HOT_GRAMS = 1 << 20
+_CLASSES = 31
 
 
 def lyndon_groups(text: list[int]) -> tuple[list[int], list[int], list[int]]:
@@ -154,19 +161,100 @@ def phrases(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero((most == values) & (values != ~np.uint64(0)))
 
 
-def find(data: np.ndarray, offsets: np.ndarray) -> S.Found:
-    """Super-k-mers of the windows of WIDTH bytes.
+def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the runs of MER bytes that are there often, and a class of each.
 
-    The smallest hash of a window is also the smallest of STEP of its positions, so
-    only starts of phrases can be minimisers.
+    All positions count, not only starts of phrases: without these, others would take
+    their place. A class is 1 for the least frequent ones, and one more for each doubling.
+    A task keeps its TASK_GRAMS most frequent runs from slice to slice and reports those
+    that are there once in 2 * HOT of its rows; at most HOT_GRAMS come back. Only speed
+    depends on them.
     """
-    rolling, values = _positions(data, offsets)
-    places = phrases(values)
-    row = np.searchsorted(offsets, places, "right") - 1
-    r = S.runs(places, values[places], row, offsets, WIDTH - MER + 1, WIDTH)
-    stop = r.last + WIDTH
-    content = rolling.of(r.first, stop) ^ T.mix(r.hash)
-    return S.Found(data, r, r.first, stop, content, r.first - offsets[r.row])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams, counts, rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        held, size = [], 0
+
+        def merged() -> tuple[np.ndarray, np.ndarray]:
+            found, n = np.unique(np.concatenate(held), return_counts=True)
+            found, n = found[n > 1], n[n > 1]
+            all_, back = np.unique(np.concatenate([grams, found]), return_inverse=True)
+            sums = np.bincount(back, np.concatenate([counts, n]), len(all_)).astype(np.int64)
+            if len(all_) > TASK_GRAMS:
+                most = np.sort(np.argpartition(sums, -TASK_GRAMS)[-TASK_GRAMS:])
+                all_, sums = all_[most], sums[most]
+            return all_, sums
+
+        # Hashing takes smaller pieces than counting.
+        for part in T.slices(batches):
+            _, values = _positions(part.data, part.offsets)
+            held.append(values[values != ~np.uint64(0)])
+            size += len(held[-1])
+            rows += part.rows.num_rows
+            if size > 2 * T.SLICE:
+                grams, counts = merged()
+                held, size = [], 0
+        if held:
+            grams, counts = merged()
+        often = counts * 2 * HOT > rows
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(grams[often].view(np.int64)), pa.array(counts[often])],
+            names=["gram", "n"],
+        )
+
+    least = max(docs.count() / (2 * HOT), FEW)
+    got = (
+        docs.select("text")
+        .mapInArrow(work, "gram long, n long")
+        .groupBy("gram")
+        .agg(F.sum("n").alias("n"))
+        .filter(F.col("n") > least)
+        .orderBy(F.desc("n"), "gram")
+        .limit(HOT_GRAMS)
+        .toArrow()
+    )
+    grams = np.asarray(got.column("gram"), np.int64).view(np.uint64)
+    classes = 1 + np.log2(np.asarray(got.column("n"), np.int64) / least).astype(np.uint64)
+    order = np.argsort(grams)
+    return grams[order], np.minimum(classes, np.uint64(_CLASSES))[order]
+
+
+def _hot_last(values: np.ndarray, grams: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The values with the class of hot ones in their first bits, so these come last."""
+    out = values >> np.uint64(5)
+    if len(grams):
+        low = np.uint64((1 << 20) - 1)
+        maybe = np.zeros(1 << 20, bool)
+        maybe[grams & low] = True
+        at = np.flatnonzero(maybe[values & low])
+        i = np.minimum(np.searchsorted(grams, values[at]), len(grams) - 1)
+        hit = grams[i] == values[at]
+        out[at[hit]] |= classes[i[hit]] << np.uint64(58)
+    out[values == ~np.uint64(0)] = ~np.uint64(0)
+    return out
+
+
+def _finder(grams: np.ndarray, classes: np.ndarray):
+    """Finds the super-k-mers of the windows of WIDTH bytes.
+
+    The smallest value of a window is also the smallest of STEP of its positions, so
+    only starts of phrases can be minimisers. A window takes a hot run of bytes only if
+    all its runs are hot, and then one of the least frequent class. So a line that very
+    many rows share makes no minimiser of windows that reach beyond it, and windows
+    inside it are equal and travel once a batch.
+    """
+
+    def find(data: np.ndarray, offsets: np.ndarray) -> S.Found:
+        rolling, values = _positions(data, offsets)
+        values = _hot_last(values, grams, classes)
+        places = phrases(values)
+        row = np.searchsorted(offsets, places, "right") - 1
+        r = S.runs(places, values[places], row, offsets, WIDTH - MER + 1, WIDTH)
+        stop = r.last + WIDTH
+        content = rolling.of(r.first, stop) ^ T.mix(r.hash)
+        return S.Found(data, r, r.first, stop, content, r.first - offsets[r.row])
+
+    return find
 
 
 def _shared(p: S.Packed) -> tuple[S.Packed, np.ndarray]:
@@ -305,6 +393,7 @@ def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with a key, and (owner, key, a, b) of bytes a to b that recur."""
     keyed = S.with_row_key(docs)
     tasks = S.tasks_of(docs)
+    find = _finder(*hot_grams(keyed))
     packed = S.pack(keyed, find, WIDTH, tasks * S.BUCKETS_A_TASK, with_minimiser=True)
     return keyed, S.spans(packed, recurring, WIDTH, tasks)
 

@@ -137,6 +137,30 @@ def test_hot_passage_in_many_rows(docs):
     assert {(r.n_words, r.n_removed) for r in got} == {(53, 50)}
 
 
+def test_hot_line_is_not_one_bucket(docs):
+    """A line in all rows, shorter than a window: no bucket gets a string of every row."""
+    r = random.Random(3)
+    some = lambda n: "".join(r.choices("abcdefghijklmnop ", k=n))
+    for size in (16, 60, 200, 330, 399):
+        line = some(size)
+        texts = [some(500) + line + some(500) for _ in range(150)]
+        texts += [texts[7][100:], some(300) + texts[9][200:900]]
+        rows = docs(enumerate(texts))
+        keyed = S.with_row_key(rows)
+        find = suffix_dedup._finder(*suffix_dedup.hot_grams(keyed))
+        packed = S.pack(keyed, find, suffix_dedup.WIDTH, 1, with_minimiser=True)
+        blobs = [x.packed for x in packed.select("packed").filter("packed is not null").collect()]
+        of = np.concatenate([S._thaw(b).minimiser for b in blobs])
+        assert np.unique(of, return_counts=True)[1].max() < 30, size
+        if size in (200, 399):
+            got = {x.doc_id: x for x in suffix_dedup.dedup_bytes(rows).collect()}
+            found = [
+                (x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256)
+                for x in (got[i] for i in range(len(texts)))
+            ]
+            assert found == brute_bytes(texts)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_suffix_array(seed):
     r = random.Random(seed)
