@@ -12,6 +12,7 @@ from llm import (
     decontamination,
     language_model,
     minhash,
+    mixing,
     pieces,
     pii,
     quality,
@@ -330,6 +331,108 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+OP13_SQL = f"""
+WITH RECURSIVE sizes AS MATERIALIZED (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{SPACES}')), 0)::BIGINT AS size
+  FROM documents
+),
+sources AS MATERIALIZED (
+  SELECT *, sid % {len(mixing.WEIGHTS)} + 1 AS weight FROM (
+    SELECT source, sum(size)::BIGINT AS source_size,
+           row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+    FROM sizes GROUP BY source)
+),
+shares AS (
+  SELECT 0 AS i, sum(source_size) / sum(weight) AS share, sum(source_size) AS total FROM sources
+  UNION ALL
+  SELECT i + 1, (total - sum(CASE WHEN {mixing.MOST} * source_size < share * weight
+                              THEN {mixing.MOST} * source_size ELSE 0 END))
+                / sum(CASE WHEN {mixing.MOST} * source_size < share * weight
+                      THEN 0 ELSE weight END) AS again, total
+  FROM shares, sources WHERE total > 0 GROUP BY i, share, total HAVING again > share
+),
+wanted AS MATERIALIZED (
+  SELECT sources.*, coalesce(least({mixing.MOST} * source_size,
+           (SELECT max(share) FROM shares) * weight), 0)::DOUBLE AS target,
+         greatest(1, ceil(source_size / {mixing.SHARD_WORDS}))::BIGINT AS shards
+  FROM sources
+),
+block AS (
+  SELECT greatest(1, least({mixing.BLOCK_WORDS}, floor(min(target) / {mixing.LEAST_BLOCKS})))
+           ::BIGINT AS b
+  FROM wanted WHERE target > 0
+),
+keyed AS MATERIALIZED (
+  SELECT doc_id, size, sid, source_size, target, shards,
+         md5(concat_ws(':', '{mixing.SEED}', coalesce(doc_id::VARCHAR, '-'), sid, size,
+             row_number() OVER (PARTITION BY doc_id, sid, size))) AS key
+  FROM sizes JOIN wanted ON sizes.source IS NOT DISTINCT FROM wanted.source
+),
+dealt AS MATERIALIZED (
+  SELECT *, ('0x' || substr(key, 1, 8))::BIGINT % shards AS shard FROM keyed
+),
+held AS MATERIALIZED (
+  SELECT sid, shard, ceil(sum(size) / any_value(b))::BIGINT AS blocks
+  FROM dealt, block WHERE size > 0 GROUP BY sid, shard
+),
+per_source AS (SELECT sid, sum(blocks)::BIGINT AS blocks FROM held GROUP BY sid),
+of_source AS (
+  SELECT sid, target, unnest(range(1, {mixing.MOST} * blocks + 1)) AS k
+  FROM per_source JOIN wanted USING (sid)
+),
+source_seats AS MATERIALIZED (
+  SELECT sid, count(*) AS seats FROM (
+    SELECT sid, row_number() OVER (ORDER BY target / (2 * k - 1) DESC, sid, k) AS place
+    FROM of_source), block
+  WHERE place <= (SELECT sum(source_size) FROM sources) // b GROUP BY sid
+),
+of_shard AS (
+  SELECT sid, shard, blocks, unnest(range(1, {mixing.MOST} * blocks + 1)) AS k FROM held
+),
+quotas AS MATERIALIZED (
+  SELECT sid, shard, count(*) FILTER (place <= seats) AS quota FROM (
+    SELECT sid, shard, row_number() OVER (
+      PARTITION BY sid ORDER BY blocks / (2 * k - 1) DESC, shard, k) AS place
+    FROM of_shard) LEFT JOIN source_seats USING (sid)
+  GROUP BY sid, shard
+),
+plans AS (
+  SELECT sid, shard, blocks, quota, quota // blocks AS each, quota % blocks AS extra, b,
+         ('0x' || substr(md5(concat_ws(':', '{mixing.SEED}', sid, shard)), 1, 8))::BIGINT
+           % blocks AS start
+  FROM held JOIN quotas USING (sid, shard), block
+),
+line AS (
+  SELECT *, sum(size) OVER (PARTITION BY sid, shard ORDER BY key) AS stop
+  FROM dealt WHERE size > 0
+),
+ends AS (
+  SELECT doc_id, size, sid, unnest([1, -1]) AS sign,
+         unnest([stop, stop - size])::BIGINT AS place, key, shard
+  FROM line
+),
+cut AS (
+  SELECT *, place // b AS i, place % b AS rest,
+         ((place // b + start) * extra) // blocks - (start * extra) // blocks AS passed,
+         ((place // b + 1 + start) * extra) // blocks
+           - ((place // b + start) * extra) // blocks AS here
+  FROM ends JOIN plans USING (sid, shard)
+),
+given AS (
+  SELECT key, sum(sign * ((each * i + passed) * b + rest * (each + here)))::BIGINT AS taken
+  FROM cut GROUP BY key
+)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken
+FROM dealt LEFT JOIN given USING (key)"""
+
+
+@query("op13_mix_sources", OP13_SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """How many words of every document a mix of the sources takes."""
+    out = mixing.mix(documents(spark, folder))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """All stages, one after the other."""
