@@ -17,6 +17,7 @@ from llm import (
     pii,
     quality,
     sharding,
+    spelling,
     substring_dedup,
     suffix_dedup,
     toxicity,
@@ -331,6 +332,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op12_spelling_variants")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all texts, the variants they are of, and how many words are near."""
+    return spelling.spelling_variants(documents(spark, folder))
+
+
 OP13_SQL = f"""
 WITH RECURSIVE sizes AS MATERIALIZED (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{SPACES}')), 0)::BIGINT AS size
