@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from llm import (
+    conversations,
     decontamination,
     language_model,
     minhash,
@@ -332,6 +333,12 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults of every damaged conversation, and the cheapest edits that mend it."""
+    return conversations.judge_damaged(spark.read.parquet(f"{folder}/conversations.parquet"))
+
+
 @query("op12_spelling_variants")
 def op12(spark: SparkSession, folder: str) -> DataFrame:
     """Words of all texts, the variants they are of, and how many words are near."""
