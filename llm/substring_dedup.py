@@ -17,6 +17,7 @@ WINDOW = 35
 MER = 5
 # A run of MER words is hot if it is there once in so many rows, or more often.
 HOT = 100
+HOT_MERS = 1 << 17  # that are looked out for, at most: the most frequent ones
 _NONE = np.zeros(0, np.int64)
 
 
@@ -28,13 +29,13 @@ def _mers(w: T.Words) -> tuple[np.ndarray, np.ndarray]:
     return places, hashes[places]
 
 
-def hot_mers(docs: DataFrame) -> np.ndarray:
-    """Hashes of the runs of words that are in more than 1 of HOT rows.
+def hot_mers(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Hashes of the runs of words that are in more than 1 of HOT rows, and bytes of text.
 
     A slice reports those in over 1 of 2 * HOT of its rows, with their counts: what
     is that common overall is so in some slices, and loses less than half its count
-    by those that do not report it. Their sum picks at most 2 * HOT * (mean words a
-    row) hashes, whatever the size of the table. Only speed depends on them.
+    by those that do not report it. Their sum picks the hashes, HOT_MERS at most,
+    whatever the size of the table or of its texts. Only speed depends on them.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -47,24 +48,12 @@ def hot_mers(docs: DataFrame) -> np.ndarray:
             found, counts = np.unique(hashes[lead], return_counts=True)
             rows = part.rows.num_rows
             often = (counts * 2 * HOT > rows) & (counts > 1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(found[often].view(np.int64)),
-                    pa.array(counts[often].astype(np.int64)),
-                ],
-                names=["mer", "n"],
-            )
+            yield S.counted_rows(found[often], counts[often], len(part.data))
 
-    rows = docs.count()
-    common = (
-        docs.select("text")
-        .mapInArrow(work, "mer long, n long")
-        .groupBy("mer")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") * 2 * HOT > rows)
-    )
-    got = [r["mer"] for r in common.select("mer").collect()]
-    return np.sort(np.array(got, np.int64).view(np.uint64))
+    counts = S.summed(docs.select("text").mapInArrow(work, S.COUNTED))
+    least = F.lit(docs.count() / (2 * HOT))
+    hot, _ = S.most_frequent(counts, F.col("n") > least, HOT_MERS)
+    return np.sort(hot), S.text_bytes(counts)
 
 
 def _finder(hot: np.ndarray):
@@ -138,10 +127,10 @@ def counted(one: np.ndarray, two: np.ndarray, weight: np.ndarray) -> np.ndarray:
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with a key, and (owner, key, a, b) of words a to b that recur."""
     keyed = S.with_row_key(docs)
-    tasks = S.tasks_of(docs)
-    hot = hot_mers(keyed)
-    packed = S.pack(keyed, _finder(hot), WINDOW, tasks * S.BUCKETS_A_TASK)
-    return keyed, S.spans(packed, recurring, WINDOW, tasks)
+    hot, size = hot_mers(keyed)
+    buckets = S.buckets_for(size)
+    packed = S.pack(keyed, _finder(hot), WINDOW, buckets)
+    return keyed, S.spans(packed, recurring, WINDOW, buckets)
 
 
 def dedup_substrings(docs: DataFrame) -> DataFrame:

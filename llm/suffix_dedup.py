@@ -21,6 +21,9 @@ STEP = 48  # any so many positions hold the start of a phrase
 HOT = 1000
 FEW = 64
 TASK_GRAMS = 1 << 15  # runs of bytes that a task counts on from slice to slice
+BINS = 1 << 22  # about as many as positions that are counted together
+OFTEN = 4  # times that a run must be there among these to be counted
+LEVEL = 3  # of compression: more takes longer than finding the strings
 HOT_GRAMS = 1 << 20
 _CLASSES = 31
 
@@ -38,23 +41,38 @@ def lyndon_groups(text: list[int]) -> tuple[list[int], list[int], list[int]]:
     group: by ascending count, each count a group of its own.
     """
     n = len(text)
-    order = sorted(range(n), key=text.__getitem__)
-    slot, group, size, before = [0] * n, [0] * n, [0] * n, [-1] * n
-    head, symbol = 0, -1
-    for i, s in enumerate(order):
-        slot[s] = i
-        if text[s] != symbol:
-            head, symbol = i, text[s]
-        group[s] = head
-        size[head] += 1
+    symbols = np.array(text)
+    by_symbol = np.argsort(symbols, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = symbols[by_symbol[1:]] != symbols[by_symbol[:-1]]
+    heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    places = np.empty((2, n), np.int64)
+    places[:, by_symbol] = np.arange(n), heads
+    order, (slot, group) = by_symbol.tolist(), places.tolist()
+    size, before = np.bincount(heads, minlength=n).tolist(), [-1] * n
 
     high = n
     while high > 0:
         low = group[order[high - 1]]
         if high - low == 1:
-            members = order[low:high]
-        else:
-            members = sorted(order[low:high])
+            # Most groups end up with one suffix, which moves one other.
+            s = order[low]
+            p = s - 1
+            while p >= 0 and group[p] >= low:
+                p = before[p]
+            before[s] = p
+            high = low
+            if p >= 0:
+                g = group[p]
+                size[g] -= 1
+                last, at = g + size[g], slot[p]
+                other = order[last]
+                order[at], slot[other] = other, at
+                order[last], slot[p] = p, last
+                group[p] = last
+                size[last] += 1
+            continue
+        members = sorted(order[low:high])
         counts: dict[int, int] = {}
         for s in members:
             p = s - 1
@@ -103,28 +121,24 @@ def suffix_array(symbols: list[int]) -> list[int]:
     return out
 
 
-def common_prefixes(symbols: list[int], order: list[int], room: list[int]) -> list[int]:
-    """Symbols that each suffix shares with the one before it, at most its room.
+def common_prefixes(symbols: np.ndarray, order: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """Symbols that each suffix in ``order`` shares with the one before it, at most its room.
 
-    ``room`` is the number of symbols left until the string ends. Takes the suffixes
-    by position, so that each starts with what the last one had, less one.
+    ``room`` is the number of symbols left until the string ends. Halves the room until
+    the hashes of what is compared agree.
     """
     n = len(symbols)
-    rank = [0] * (n + 1)
-    for i, s in enumerate(order):
-        rank[s] = i
-    out, h = [0] * (n + 1), 0
-    for s in range(n):
-        other = order[rank[s] - 1]
-        if other == n:
-            h = 0
-            continue
-        most = min(room[s], room[other])
-        while h < most and symbols[s + h] == symbols[other + h]:
-            h += 1
-        h = min(h, most)
-        out[rank[s]] = h
-        h = h - 1 if h else 0
+    out = np.zeros(n + 1, np.int64)
+    # The end of the text comes first, and shares nothing.
+    mine, other = order[2:], order[1:-1]
+    most = np.minimum(room[mine], room[other])
+    rolling = T.Rolling(T.mix(symbols.astype(np.uint64)), T.WORD_BASES[0])
+    low, high = np.zeros(len(mine), np.int64), most
+    while (low < high).any():
+        middle = (low + high + 1) // 2
+        same = rolling.of(mine, mine + middle) == rolling.of(other, other + middle)
+        low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
+    out[2:] = low
     return out
 
 
@@ -161,23 +175,27 @@ def phrases(values: np.ndarray) -> np.ndarray:
     return np.flatnonzero((most == values) & (values != ~np.uint64(0)))
 
 
-def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted hashes of the runs of MER bytes that are there often, and a class of each.
+def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted hashes of the frequent runs of MER bytes, a class of each, and bytes of text.
 
     All positions count, not only starts of phrases: without these, others would take
     their place. A class is 1 for the least frequent ones, and one more for each doubling.
-    A task keeps its TASK_GRAMS most frequent runs from slice to slice and reports those
-    that are there once in 2 * HOT of its rows; at most HOT_GRAMS come back. Only speed
-    depends on them.
+    Positions are first thrown into BINS; only those in bins of OFTEN or more are told
+    apart. A task keeps its TASK_GRAMS most frequent runs from slice to slice and reports
+    those that are there once in 2 * HOT of its rows; at most HOT_GRAMS come back. Only
+    speed depends on them.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, counts, rows = np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
-        held, size = [], 0
+        held, size, seen = [], 0, 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
-            found, n = found[n > 1], n[n > 1]
+            values = np.concatenate(held)
+            bins = (values & np.uint64(BINS - 1)).view(np.int64)
+            values = values[np.bincount(bins, minlength=BINS)[bins] >= OFTEN]
+            found, n = np.unique(values, return_counts=True)
+            found, n = found[n >= OFTEN], n[n >= OFTEN]
             all_, back = np.unique(np.concatenate([grams, found]), return_inverse=True)
             sums = np.bincount(back, np.concatenate([counts, n]), len(all_)).astype(np.int64)
             if len(all_) > TASK_GRAMS:
@@ -191,32 +209,22 @@ def hot_grams(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
             held.append(values[values != ~np.uint64(0)])
             size += len(held[-1])
             rows += part.rows.num_rows
-            if size > 2 * T.SLICE:
+            seen += len(part.data)
+            if size > BINS - T.SLICE:
                 grams, counts = merged()
                 held, size = [], 0
         if held:
             grams, counts = merged()
         often = counts * 2 * HOT > rows
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(grams[often].view(np.int64)), pa.array(counts[often])],
-            names=["gram", "n"],
-        )
+        yield S.counted_rows(grams[often], counts[often], seen)
 
     least = max(docs.count() / (2 * HOT), FEW)
-    got = (
-        docs.select("text")
-        .mapInArrow(work, "gram long, n long")
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n"))
-        .filter(F.col("n") > least)
-        .orderBy(F.desc("n"), "gram")
-        .limit(HOT_GRAMS)
-        .toArrow()
-    )
-    grams = np.asarray(got.column("gram"), np.int64).view(np.uint64)
-    classes = 1 + np.log2(np.asarray(got.column("n"), np.int64) / least).astype(np.uint64)
+    summed = S.summed(docs.select("text").mapInArrow(work, S.COUNTED))
+    grams, counts = S.most_frequent(summed, F.col("n") > F.lit(least), HOT_GRAMS)
+    classes = 1 + np.log2(counts / least).astype(np.uint64)
     order = np.argsort(grams)
-    return grams[order], np.minimum(classes, np.uint64(_CLASSES))[order]
+    classes = np.minimum(classes, np.uint64(_CLASSES))[order]
+    return grams[order], classes, S.text_bytes(summed)
 
 
 def _hot_last(values: np.ndarray, grams: np.ndarray, classes: np.ndarray) -> np.ndarray:
@@ -257,64 +265,49 @@ def _finder(grams: np.ndarray, classes: np.ndarray):
     return find
 
 
-def _shared(p: S.Packed) -> tuple[S.Packed, np.ndarray]:
-    """Only the strings whose minimiser other strings have too, or that weigh 2."""
-    _, inverse = np.unique(p.minimiser, return_inverse=True)
-    keep = np.bincount(inverse, p.weight)[inverse] > 1
-    offsets = np.zeros(len(p.lengths) + 1, np.int64)
-    np.cumsum(p.lengths, out=offsets[1:])
-    body = p.data.tobytes()
-    at = np.flatnonzero(keep)
-    text = b"".join([body[i:j] for i, j in zip(offsets[at].tolist(), offsets[at + 1].tolist())])
-    return S.Packed(
-        np.frombuffer(text, np.uint8),
-        *(np.asarray(x)[at] for x in p[1:]),
-    ), at
-
-
 def recurring(p: S.Packed) -> tuple[np.ndarray, np.ndarray]:
     """String and place of every window of WIDTH bytes that is there twice or more.
 
-    Equal strings are one, with their weights added. The phrases of the others become
-    symbols, and a suffix array orders the phrase suffixes. Windows are equal if their
-    whole phrases are, which is so if their first phrases stand in one run of the
-    array that shares so many symbols, and if the bytes before and after them are.
+    Only strings whose minimiser others have too can hold one. Equal strings are one, with
+    their weights added. The phrases of the others become symbols, and a suffix array
+    orders the phrase suffixes. Windows are equal if their whole phrases are, which is so
+    if their first phrases stand in one run of the array that shares so many symbols, and
+    if the bytes before and after them are.
     """
     none = np.zeros(0, np.int64)
-    p, origin = _shared(p)
-    if not len(p.lengths):
+    _, inverse = np.unique(p.minimiser, return_inverse=True)
+    origin = np.flatnonzero(np.bincount(inverse, p.weight)[inverse] > 1)
+    if not len(origin):
         return none, none
     offsets = np.zeros(len(p.lengths) + 1, np.int64)
     np.cumsum(p.lengths, out=offsets[1:])
-    rolling = T.rolling_bytes(p.data)
-    whole = rolling.of(offsets[:-1], offsets[1:])
-    _, lead, same = np.unique(whole, return_index=True, return_inverse=True)
-    weight = np.bincount(same, p.weight)
+    body = p.data.tobytes()
+    texts = [body[i:j] for i, j in zip(offsets[origin].tolist(), offsets[origin + 1].tolist())]
+    number: dict[bytes, int] = {}
+    same = np.array([number.setdefault(t, len(number)) for t in texts])
+    weight = np.bincount(same, p.weight[origin])
+    start, length = p.start[origin], p.lengths[origin]
     string, place = [], []
     # A string that is there twice: all its windows recur.
-    twice = np.flatnonzero((weight[same] > 1) & (p.start >= 0))
+    twice = np.flatnonzero((weight[same] > 1) & (start >= 0))
     if len(twice):
-        each, number = _every_window(p.lengths[twice])
-        string.append(twice[number])
+        each, of = _every_window(length[twice])
+        string.append(twice[of])
         place.append(each)
 
     # The others, one of each.
-    kinds = len(lead)
-    length = p.lengths[lead]
-    at = np.zeros(kinds + 1, np.int64)
-    np.cumsum(length, out=at[1:])
-    body = p.data.tobytes()
-    begin = offsets[lead]
-    data = np.frombuffer(
-        b"".join([body[i:j] for i, j in zip(begin.tolist(), (begin + length).tolist())]),
-        np.uint8,
-    )
+    lead = np.zeros(len(number), np.int64)
+    lead[same[::-1]] = np.arange(len(same))[::-1]
+    at = np.zeros(len(number) + 1, np.int64)
+    np.cumsum(length[lead], out=at[1:])
+    data = np.frombuffer(b"".join(number), np.uint8)
+    del texts, number, body
     hit, where = _windows(data, at, weight)
     if len(hit):
         # Only strings that are there once still need an answer.
         single = weight[hit] == 1
         own = lead[hit[single]]
-        ask = p.start[own] >= 0
+        ask = start[own] >= 0
         string.append(own[ask])
         place.append(where[single][ask])
     if not string:
@@ -332,70 +325,118 @@ def _every_window(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.arange(len(string)) - before[string], string
 
 
-def _windows(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray):
-    """Distinct strings: number and place of the windows that recur."""
-    none = np.zeros(0, np.int64)
+def _phrases_of(data: np.ndarray, offsets: np.ndarray):
+    """Rolling hashes, and the phrase starts of strings: places, first, last, hash.
+
+    A start is in every window that holds one of the STEP-windows ``first`` to ``last``
+    whole, whatever surrounds it. The hash is that of the bytes up to the next start of
+    the string; a last start has none and gets 0.
+    """
     rolling, values = _positions(data, offsets)
     starts = phrases(values)
-    if not len(starts):
-        return none, none
     row = np.searchsorted(offsets, starts, "right") - 1
-    # The STEP-windows whose smallest value a phrase start is: it is one inside any
-    # window that holds one of those whole, whatever surrounds it.
     r = S.runs(starts, values[starts], row, offsets, STEP, STEP + MER - 1)
     starts, row = starts[r.place], r.row
-    n = len(starts)
-    if not n:
-        return none, none
-    # Phrase i: the bytes from start i to start i + 1 of the same string. A last
-    # start has no phrase after it; its symbol 1 only parts the strings.
-    inner = np.zeros(n, bool)
+    inner = np.zeros(len(starts), bool)
     inner[:-1] = row[:-1] == row[1:]
-    ends = np.append(starts[1:], len(data))
-    keys = np.where(inner, rolling.of(starts, np.where(inner, ends, starts)), 0)
-    _, symbol = np.unique(keys, return_inverse=True)
-    symbols = np.where(inner, symbol + 2, 1)
-    last_of = np.searchsorted(row, row, "right") - 1
-    room = last_of - np.arange(n)
-    listed = symbols.tolist()
-    order = suffix_array(listed)
-    shared = np.array(common_prefixes(listed, order, room.tolist()))
-    rank = np.empty(n + 1, np.int64)
-    rank[order] = np.arange(n + 1)
+    ends = np.append(starts[1:], 0)
+    keys = np.zeros(len(starts), np.uint64)
+    keys[inner] = rolling.of(starts[inner], ends[inner])
+    return rolling, starts, r.first, r.last, keys, inner
+
+
+def _ordered_runs(keys: np.ndarray, inner: np.ndarray):
+    """Places in the order of phrase suffixes, and the runs there that share symbols.
+
+    Gives the place of each phrase, -1 for none, and a function that numbers for q the
+    runs of places whose suffixes share q symbols. A phrase that is there once can be in no window that recurs, so it ends what
+    is before it like the end of a string does, and only one of such neighbours stays.
+    """
+    n = len(keys)
+    _, symbol, count = np.unique(keys, return_inverse=True, return_counts=True)
+    often = inner & (count[symbol] > 1)
+    keep = often.copy()
+    keep[1:] |= often[:-1]
+    kept = np.flatnonzero(keep)
+    place = np.full(n, -1)
+    if not len(kept):
+        return place, lambda q: None
+    of = often[kept]
+    symbols = np.ones(len(kept), np.int64)
+    symbols[of] = np.unique(symbol[kept[of]], return_inverse=True)[1] + 2
+    ends = np.flatnonzero(~of)
+    room = ends[np.searchsorted(ends, np.arange(len(kept)), "left")] - np.arange(len(kept))
+    order = np.array(suffix_array(symbols.tolist()))
+    shared = common_prefixes(symbols, order, room)
+    rank = np.empty(len(kept) + 1, np.int64)
+    rank[order] = np.arange(len(kept) + 1)
+    place[kept[of]] = rank[:-1][of]
+
+    def runs(q: int) -> np.ndarray:
+        cut = shared < q
+        cut[0] = True
+        return np.cumsum(cut) - 1
+
+    return place, runs
+
+
+def _windows(data: np.ndarray, offsets: np.ndarray, weight: np.ndarray):
+    """Distinct strings: number and place of the windows that recur."""
+    none = np.zeros(0, np.int64)
+    slices, parts, i = [], [], 0
+    # Hashing takes smaller pieces than ordering.
+    while i < len(offsets) - 1:
+        j = int(np.searchsorted(offsets, offsets[i] + T.SLICE, "right")) - 1
+        j = max(i + 1, min(j, len(offsets) - 1))
+        lo, hi = offsets[i], offsets[j]
+        rolling, *found = _phrases_of(data[lo:hi], offsets[i : j + 1] - lo)
+        slices.append((rolling, i, j, lo))
+        parts.append([x + lo for x in found[:3]] + found[3:])
+        i = j
+    starts, first, last, keys, inner = (np.concatenate(x) for x in zip(*parts))
+    if not len(starts):
+        return none, none
+    place, runs_of = _ordered_runs(keys, inner)
 
     # Windows of all strings: first and last start inside each.
     at, string = _every_window(np.diff(offsets))
     at = at + offsets[string]
-    head = np.searchsorted(r.last, at, "left")
-    tail = np.searchsorted(r.first, at + WIDTH - STEP - MER + 1, "right") - 1
-    depth = tail - head
-    group = np.full(len(at), -1)
-    for q in np.unique(depth).tolist():
-        cut = shared < q
-        cut[0] = True
-        run = np.maximum.accumulate(np.where(cut, np.arange(n + 1), 0))
-        pick = np.flatnonzero(depth == q)
-        members = np.bincount(run, minlength=n + 1)
-        lead = run[rank[head[pick]]]
+    head = np.searchsorted(last, at, "left")
+    tail = np.searchsorted(first, at + WIDTH - STEP - MER + 1, "right") - 1
+    depth = (tail - head).astype(np.int16)
+    # Without a whole phrase the bytes alone decide.
+    group = np.where(depth == 0, 0, -1)
+    some = np.flatnonzero((depth > 0) & (place[head] >= 0))
+    some = some[np.argsort(depth[some], kind="stable")]
+    for pick in np.split(some, np.flatnonzero(np.diff(depth[some])) + 1):
+        if not len(pick):
+            continue
+        run = runs_of(int(depth[pick[0]]))
+        members = np.bincount(run)
+        lead = run[place[head[pick]]]
         more = members[lead] > 1
         group[pick[more]] = lead[more]
     kept = np.flatnonzero(group >= 0)
-    at, string, head, tail = at[kept], string[kept], head[kept], tail[kept]
-    left = rolling.of(at, starts[head])
-    right = rolling.of(starts[tail], at + WIDTH)
-    one = T.mix(left + T.mix(group[kept].astype(np.uint64)))
-    two = T.mix(right + T.mix(depth[kept].astype(np.uint64)))
-    again = counted(one, two, weight[string])
+    one, two = [], []
+    for rolling, i, j, lo in slices:
+        a, b = np.searchsorted(string[kept], [i, j])
+        own = kept[a:b]
+        left = rolling.of(at[own] - lo, starts[head[own]] - lo)
+        right = rolling.of(starts[tail[own]] - lo, at[own] + WIDTH - lo)
+        one.append(T.mix(left + T.mix(group[own].astype(np.uint64))))
+        two.append(T.mix(right + T.mix(depth[own].astype(np.uint64))))
+    at, string = at[kept], string[kept]
+    again = counted(np.concatenate(one), np.concatenate(two), weight[string])
     return string[again], at[again] - offsets[string[again]]
 
 
 def repeated_spans(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows with a key, and (owner, key, a, b) of bytes a to b that recur."""
     keyed = S.with_row_key(docs)
-    tasks = S.tasks_of(docs)
-    find = _finder(*hot_grams(keyed))
-    packed = S.pack(keyed, find, WIDTH, tasks * S.BUCKETS_A_TASK, with_minimiser=True)
-    return keyed, S.spans(packed, recurring, WIDTH, tasks)
+    *hot, size = hot_grams(keyed)
+    buckets = S.buckets_for(size)
+    packed = S.pack(keyed, _finder(*hot), WIDTH, buckets, with_minimiser=True, level=LEVEL)
+    return keyed, S.spans(packed, recurring, WIDTH, buckets)
 
 
 def dedup_bytes(docs: DataFrame) -> DataFrame:

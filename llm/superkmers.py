@@ -14,15 +14,17 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
+from sieveframe.sources.scratch import settle
 
 PACKED = 12 << 20  # bytes of text whose super-k-mers are packed together
+BUCKET_TEXT = 4 << 20  # bytes of text whose strings make a bucket, about
 BUCKETS_A_TASK = 8
-# What a better compression costs is little beside finding the strings.
-_CODEC = pa.Codec("zstd", compression_level=6)
+LEVEL = 6  # of compression
+_READ = pa.Codec("zstd")
 ROW_KEY = "row_key"
 
 
@@ -104,16 +106,16 @@ class Packed(NamedTuple):
 _FIELDS = ("i8", "u8", "i8", "i8", "i8", "i8")
 
 
-def _freeze(p: Packed) -> bytes:
+def _freeze(p: Packed, codec: pa.Codec) -> bytes:
     head = np.array([len(p.lengths), len(p.data)], np.int64)
     parts = [head, *(np.asarray(x, t) for x, t in zip(p[1:], _FIELDS))]
     raw = b"".join([*(x.tobytes() for x in parts), bytes(p.data)])
-    return len(raw).to_bytes(8, "little") + _CODEC.compress(raw, asbytes=True)
+    return len(raw).to_bytes(8, "little") + codec.compress(raw, asbytes=True)
 
 
 def _thaw(blob: bytes) -> Packed:
     size = int.from_bytes(blob[:8], "little")
-    raw = _CODEC.decompress(blob[8:], size, asbytes=True)
+    raw = _READ.decompress(blob[8:], size, asbytes=True)
     n, body = np.frombuffer(raw, np.int64, 2)
     at, columns = 16, []
     for kind in _FIELDS:
@@ -143,6 +145,7 @@ def pack(
     width: int,
     buckets: int,
     with_minimiser: bool = False,
+    level: int = LEVEL,
 ) -> DataFrame:
     """Strings by bucket, and at once the spans of strings that recur in their batch.
 
@@ -168,13 +171,13 @@ def pack(
                 r = got.runs
                 strings.append((text, got, owner[at:to][r.row], key[at:to][r.row]))
                 at = to
-            yield from _deal(strings, width, buckets, with_minimiser)
+            yield from _deal(strings, width, buckets, with_minimiser, level)
 
     return docs.mapInArrow(work, PACKED_SCHEMA)
 
 
 def _deal(
-    strings: list, width: int, buckets: int, with_minimiser: bool
+    strings: list, width: int, buckets: int, with_minimiser: bool, level: int
 ) -> Iterator[pa.RecordBatch]:
     text = [t for part in strings for t in part[0]]
     if not text:
@@ -205,6 +208,7 @@ def _deal(
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
     ends = np.append(cuts[1:], len(one))
     names, blobs, held = [], [], 0
+    codec = pa.Codec("zstd", compression_level=level)
     for i, j in zip(cuts.tolist(), ends.tolist()):
         of = one[i:j]
         mine = [text[k] for k in of.tolist()]
@@ -217,7 +221,8 @@ def _deal(
                 np.where(many[of], -1, owner[of]),
                 key[of],
                 np.where(many[of], -1, start[of]),
-            )
+            ),
+            codec,
         )
         names.append(bucket[i])
         blobs.append(blob)
@@ -262,42 +267,50 @@ def spans(
     packed: DataFrame,
     recurring: Callable[[Packed], tuple[np.ndarray, np.ndarray]],
     width: int,
-    tasks: int,
+    buckets: int,
 ) -> DataFrame:
     """The spans of all windows that start more than once.
 
     ``recurring`` takes a bucket and gives string number and place of each such window.
+    Buckets come one after the other, so a task holds one of them.
     """
 
+    def answer(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        p = join_packed([_thaw(x) for x in blobs])
+        string, place = recurring(p)
+        ask = p.start[string] >= 0
+        string, place = string[ask], place[ask]
+        if not len(string):
+            return
+        # Windows that follow each other make one span.
+        new = np.ones(len(string), bool)
+        new[1:] = (string[1:] != string[:-1]) | (place[1:] > place[:-1] + 1)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:], len(string)) - 1
+        own = string[first]
+        yield _spans(
+            p.owner[own], p.key[own],
+            p.start[own] + place[first], p.start[own] + place[last] + width,
+        )
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[bytes]] = {}
+        bucket, held = None, []
         for batch in batches:
             known = pc.is_null(batch.column("packed"))
             yield batch.filter(known).select(["owner", "key", "a", "b"])
             rest = batch.filter(pc.invert(known))
-            for b, blob in zip(
-                rest.column("bucket").to_pylist(), rest.column("packed").to_pylist()
-            ):
-                held.setdefault(b, []).append(blob)
-        for b in sorted(held):
-            p = join_packed([_thaw(x) for x in held.pop(b)])
-            string, place = recurring(p)
-            ask = p.start[string] >= 0
-            string, place = string[ask], place[ask]
-            if not len(string):
-                continue
-            # Windows that follow each other make one span.
-            new = np.ones(len(string), bool)
-            new[1:] = (string[1:] != string[:-1]) | (place[1:] > place[:-1] + 1)
-            first = np.flatnonzero(new)
-            last = np.append(first[1:], len(string)) - 1
-            own = string[first]
-            yield _spans(
-                p.owner[own], p.key[own],
-                p.start[own] + place[first], p.start[own] + place[last] + width,
-            )
-
-    return packed.repartition(tasks, "bucket").mapInArrow(work, SPAN_SCHEMA)
+            for b, blob in zip(rest.column("bucket").to_pylist(), rest.column("packed")):
+                if b != bucket and held:
+                    yield from answer(held)
+                    held = []
+                bucket = b
+                held.append(blob.as_py())
+        if held:
+            yield from answer(held)
+
+    tasks = -(-buckets // BUCKETS_A_TASK)
+    placed = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    return placed.mapInArrow(work, SPAN_SCHEMA)
 
 
 def with_row_key(docs: DataFrame) -> DataFrame:
@@ -336,5 +349,39 @@ def removed(spans_: pa.ListArray, offsets: np.ndarray) -> np.ndarray:
     return np.cumsum(step[:-1]) > 0
 
 
-def tasks_of(docs: DataFrame) -> int:
-    return int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+COUNTED = "gram long, n long"
+
+
+def counted_rows(grams: np.ndarray, counts: np.ndarray, size: int) -> pa.RecordBatch:
+    """Hashes with their counts, and as a row without a hash the bytes looked at."""
+    names = np.append(grams.view(np.int64), 0)
+    none = np.zeros(len(names), bool)
+    none[-1] = True
+    numbers = np.append(counts.astype(np.int64), size)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(names, mask=none), pa.array(numbers)], names=["gram", "n"]
+    )
+
+
+def summed(counts: DataFrame) -> DataFrame:
+    return settle(counts.groupBy("gram").agg(F.sum("n").alias("n")), "frequent-runs")
+
+
+def text_bytes(counts: DataFrame) -> int:
+    found = counts.filter("gram IS NULL").first()
+    return found["n"] if found else 0
+
+
+def most_frequent(counts: DataFrame, often: Column, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes that are there often with their counts, ``most`` at most."""
+    got = (
+        counts.filter("gram IS NOT NULL").filter(often)
+        .orderBy(F.desc("n"), "gram").limit(most).toArrow()
+    )
+    grams = np.asarray(got.column("gram"), np.int64).view(np.uint64)
+    return grams, np.asarray(got.column("n"), np.int64)
+
+
+def buckets_for(size: int) -> int:
+    """How many buckets this many bytes of text fill, whatever the session's settings."""
+    return BUCKETS_A_TASK * max(1, -(-size // (BUCKET_TEXT * BUCKETS_A_TASK)))

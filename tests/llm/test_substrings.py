@@ -129,6 +129,36 @@ def test_empty_table(docs):
     assert suffix_dedup.dedup_bytes(docs([])).collect() == []
 
 
+def test_buckets_follow_the_text_and_not_the_session(spark, docs):
+    assert S.buckets_for(0) == S.BUCKETS_A_TASK
+    assert S.buckets_for(30 << 30) * S.BUCKET_TEXT >= 30 << 30
+    keyed = S.with_row_key(docs([(i, f"row {i} " * 50) for i in range(40)]))
+    size = sum(len(f"row {i} " * 50) for i in range(40))
+    assert substring_dedup.hot_mers(keyed)[1] == suffix_dedup.hot_grams(keyed)[2] == size
+
+
+def test_frequent_runs_are_bounded(docs, monkeypatch):
+    """Far more runs of words are in all rows than may be looked out for."""
+    monkeypatch.setattr(substring_dedup, "HOT_MERS", 20)
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = docs([(i, text) for i in range(50)])
+    assert len(substring_dedup.hot_mers(S.with_row_key(rows))[0]) == 20
+    got = substring_dedup.dedup_substrings(rows).collect()
+    assert {(r.n_words, r.n_removed) for r in got} == {(300, 300)}
+
+
+@pytest.mark.parametrize("op", [substring_dedup, suffix_dedup])
+def test_many_buckets_in_few_tasks(docs, monkeypatch, op):
+    monkeypatch.setattr(S, "BUCKET_TEXT", 1 << 12)
+    r = random.Random(8)
+    texts = [" ".join(f"w{r.randint(0, 40)}" for _ in range(r.randint(0, 300))) for _ in range(60)]
+    texts += [texts[3] + " " + texts[9], texts[5][7:]]
+    run = {substring_dedup: substring_dedup.dedup_substrings, suffix_dedup: suffix_dedup.dedup_bytes}[op]
+    many = {r.doc_id: r.kept_sha256 for r in run(docs(enumerate(texts))).collect()}
+    monkeypatch.setattr(S, "BUCKET_TEXT", 1 << 30)
+    assert many == {r.doc_id: r.kept_sha256 for r in run(docs(enumerate(texts))).collect()}
+
+
 def test_hot_passage_in_many_rows(docs):
     """A passage in all rows: its runs of words are hot, and every row loses just it."""
     passage = " ".join(f"p{i}" for i in range(50))
@@ -147,7 +177,7 @@ def test_hot_line_is_not_one_bucket(docs):
         texts += [texts[7][100:], some(300) + texts[9][200:900]]
         rows = docs(enumerate(texts))
         keyed = S.with_row_key(rows)
-        find = suffix_dedup._finder(*suffix_dedup.hot_grams(keyed))
+        find = suffix_dedup._finder(*suffix_dedup.hot_grams(keyed)[:2])
         packed = S.pack(keyed, find, suffix_dedup.WIDTH, 1, with_minimiser=True)
         blobs = [x.packed for x in packed.select("packed").filter("packed is not null").collect()]
         of = np.concatenate([S._thaw(b).minimiser for b in blobs])
@@ -168,8 +198,8 @@ def test_suffix_array(seed):
         s = [r.randint(1, 1 + seed) for _ in range(size)]
         order = suffix_dedup.suffix_array(s)
         assert order == sorted(range(size + 1), key=lambda i: s[i:])
-        room = list(range(size, 0, -1))
-        shared = suffix_dedup.common_prefixes(s, order, room)
+        room = np.arange(size, 0, -1)
+        shared = suffix_dedup.common_prefixes(np.array(s, int), np.array(order), room).tolist()
         for a, b, n in zip(order, order[1:], shared[1:]):
             want = 0
             while s[a + want : a + want + 1] and s[a + want : a + want + 1] == s[b + want : b + want + 1]:
