@@ -113,3 +113,26 @@ def test_a_slice_does_not_change_a_set():
     assert np.bincount(row).tolist() == [2, 1]
     assert value[2] in value[:2].tolist()
     assert T.words(data, np.array([0, 13, len(data)])).row.tolist() == [0, 0, 0, 1, 1]
+
+
+def test_components_of_stars_and_chains(spark, monkeypatch):
+    """Hot centres, whose links are dealt to parts, beside long chains."""
+    monkeypatch.setattr("llm.components.FEW", 5)
+    r = random.Random(2)
+    links = [(0, i) for i in range(100, 400)] + [(i, 999) for i in range(400, 600)]
+    links += [(i, i + 1) for i in range(1000, 1060)] + [(399, 450), (1030, 2000)]
+    links += [(r.randint(3000, 3400), r.randint(3000, 3400)) for _ in range(300)]
+    r.shuffle(links)
+    found = {x: x for pair in links for x in pair}
+
+    def root(x):
+        while found[x] != x:
+            x = found[x]
+        return x
+
+    for a, b in links:
+        a, b = sorted((root(a), root(b)))
+        found[b] = a
+    df = spark.createDataFrame(links, "a long, b long")
+    got = {x.node: x.component for x in components(df).collect()}
+    assert got == {x: root(x) for x in found if root(x) != x or any(root(y) == x for y in found if y != x)}
