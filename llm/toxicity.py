@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import text as T
+from sieveframe.sources.scratch import settle
 
 # At most so many labelled rows are fitted on, and so many features kept.
 SAMPLE = 10_000
@@ -243,21 +244,34 @@ def _solve(
 def training_rows(docs: DataFrame, labels: DataFrame, learn) -> DataFrame:
     """(doc_id, text, label) of at most SAMPLE labelled rows that ``learn`` lets in.
 
-    The rows are those of the smallest hashes of doc_id. Labels other than 0 and 1
-    are left out.
+    First the labels of the smallest hashes of doc_id are taken, then of the rows that
+    have them those of the smallest hashes of doc_id and text; equal rows count once.
+    Labels other than 0 and 1 are left out.
     """
     few = (
         labels.select(F.col("doc_id").cast("long").alias("id"), F.col("toxic").cast("long").alias("label"))
         .filter("id IS NOT NULL AND label IN (0, 1)")
         .filter(learn(F.col("id")))
+        .distinct()
         .orderBy(F.xxhash64("id"), "id", "label")
         .limit(SAMPLE)
     )
     # SAMPLE rows of 16 bytes bound what is broadcast.
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return mine.join(F.broadcast(few), F.col("doc_id") == F.col("id")).select(
-        "doc_id", "text", "label"
+    rows = settle(
+        mine.join(F.broadcast(few), F.col("doc_id") == F.col("id")).select(
+            "doc_id", "text", "label", F.xxhash64("doc_id", "text").alias("mark")
+        ),
+        "labelled",
     )
+    # One id may have any number of rows, so these are bounded too.
+    marks = rows.select("mark", "label").distinct().orderBy("mark", "label").limit(SAMPLE)
+    last = marks.agg(F.max(F.struct("mark", "label")).alias("last")).first()["last"]
+    if last is None:
+        return rows.select("doc_id", "text", "label")
+    upto = F.struct(F.lit(last["mark"]).alias("mark"), F.lit(last["label"]).cast("long").alias("label"))
+    kept = rows.filter(F.struct("mark", "label") <= upto).dropDuplicates(["mark", "label"])
+    return kept.select("doc_id", "text", "label")
 
 
 def with_scores(docs: DataFrame, model: Model) -> DataFrame:
@@ -294,8 +308,6 @@ def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     each. Without both labels among the rows every score is the smoothed share of 1.
     Rows with a null id are scored and teach nothing.
     """
-    from sieveframe.sources.scratch import settle
-
     rows = settle(training_rows(docs, labels, lambda i: ~held_out(i)), "labelled")
     scored = with_scores(docs, fit(rows))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

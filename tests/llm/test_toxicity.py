@@ -4,6 +4,8 @@ import zlib
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from llm import toxicity as X
 
 
@@ -113,3 +115,12 @@ def test_gradient(monkeypatch):
     for _ in range(200):
         step = r.normal(0, 0.01, 9)
         assert loss(model.weights + step[:8], model.constant + step[8]) >= best - 1e-7
+
+
+def test_rows_to_learn_from_are_bounded(spark, docs, monkeypatch):
+    """Few ids with very many rows, different ones and copies."""
+    monkeypatch.setattr(X, "SAMPLE", 100)
+    rows = docs([(i % 10, f"text {i}") for i in range(2000)] + [(3, "copy")] * 500)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(10)] * 3, "doc_id long, toxic int")
+    got = X.training_rows(rows, labels, lambda i: F.lit(True)).collect()
+    assert len(got) == 100 == len({(r.doc_id, r.text, r.label) for r in got})
