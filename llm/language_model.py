@@ -3,14 +3,15 @@
 Words are 64-bit hashes. A bigram belongs to the shard of its first word, or of both
 words if the first is hot; a word belongs to the shard of its hash. Each shard is one
 file of sorted hashes with their counts for bigrams and one for words, in the shared
-folder. Workers map the files and search in them.
+folder. Workers map the files and search in them. How many shards there are follows from
+the number of tokens.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -27,6 +28,10 @@ from sieveframe.sources.scratch import scratch_folder, settle
 START, END = np.uint64(0x5354415254000001), np.uint64(0x454E440000000001)
 COUNTED = 12 << 20  # bytes of text whose bigrams are counted together
 HOT = 1000  # a word is hot from one in so many tokens on
+SHARD_TOKENS = 4 << 20  # of the text, for each shard
+LEAST_SHARDS = 8
+MAPPED = 64  # files that a worker has open at a time
+HELD = 256 << 20  # bytes of files that a worker holds which it can't map
 _BOTH = np.uint64(T.WORD_BASES[0])
 
 
@@ -107,8 +112,8 @@ def _by_shard(shard: np.ndarray, kind: int, *columns: np.ndarray) -> Iterator[pa
 _ROWS = "shard int, kind int, blob binary"
 
 
-def hot_words(docs: DataFrame) -> np.ndarray:
-    """Sorted hashes of the words that make more than 1 in HOT tokens.
+def hot_words(docs: DataFrame) -> tuple[np.ndarray, int]:
+    """Sorted hashes of the words that make more than 1 in HOT tokens, and all tokens.
 
     A slice reports words of 1 in 2 * HOT of its tokens or more, so a hot word loses
     less than half its count; at most 2 * HOT words come back. They decide how bigrams
@@ -137,7 +142,7 @@ def hot_words(docs: DataFrame) -> np.ndarray:
     total = got.agg(F.sum("size")).first()[0] or 0
     hot = got.filter(F.col("n") * 2 * HOT >= total).filter("n > 0")
     words = [r["word"] for r in hot.select("word").collect()]
-    return np.sort(np.array(words, np.int64).view(np.uint64))
+    return np.sort(np.array(words, np.int64).view(np.uint64)), int(total)
 
 
 def _count(docs: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
@@ -177,28 +182,25 @@ def _write(folder: str, name: str, columns: dict[str, np.ndarray]) -> str:
     return path
 
 
-def _map(folder: str, path: str, n: int, kinds: tuple[str, ...]) -> list[np.ndarray]:
-    """The columns of such a file, mapped.
+def _mapped(folder: str, path: str, n: int, kinds: tuple[str, ...]):
+    """The columns of such a file as views of one block, and bytes that it takes here.
 
-    A file elsewhere than on a mounted disk is first copied to an unnamed local file,
-    which is gone with its worker.
+    A file on a mounted disk is mapped once for all columns. One elsewhere is read into
+    memory; nothing is copied to a local disk.
     """
-    if n == 0:
-        return [np.zeros(0, k) for k in kinds]
     system, _ = pyarrow.fs.FileSystem.from_uri(folder)
     if isinstance(system, pyarrow.fs.LocalFileSystem):
-        source = open(path, "rb")
+        block, size = np.memmap(path, np.uint8, "r"), 0
     else:
-        source = tempfile.TemporaryFile()
-        with system.open_input_stream(path) as held:
-            while block := held.read(8 << 20):
-                source.write(block)
-        source.flush()
+        with system.open_input_file(path) as source:
+            block = np.frombuffer(source.read_buffer(), np.uint8)
+        size = len(block)
     out, at = [], 0
     for kind in kinds:
-        out.append(np.memmap(source, kind, "r", at, (n,)))
-        at += n * np.dtype(kind).itemsize
-    return out
+        stop = at + n * np.dtype(kind).itemsize
+        out.append(block[at:stop].view(kind))
+        at = stop
+    return out, size
 
 
 def _merge(keys: np.ndarray, *values: np.ndarray):
@@ -234,8 +236,11 @@ def _file_row(shard: int, path: str, n: int, counts: np.ndarray) -> pa.RecordBat
     )
 
 
-def _store_bigrams(counted: DataFrame, folder: str, shards: int, tasks: int) -> DataFrame:
-    """Writes the bigram files; rows of files, and of what words gain from bigrams."""
+def _store_bigrams(counted: DataFrame, folder: str, shards: int) -> DataFrame:
+    """Writes the bigram files; rows of files, and of what words gain from bigrams.
+
+    A task has one shard.
+    """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, blobs in _gather(batches):
@@ -259,7 +264,7 @@ def _store_bigrams(counted: DataFrame, folder: str, shards: int, tasks: int) ->
             word, _, (before,) = _merge(second, np.ones(len(second)))
             yield from _rows(_by_shard(_shard(word, shards), 2, word, before.astype(np.uint64)))
 
-    return counted.repartition(tasks, "shard").mapInArrow(work, _FILES)
+    return counted.repartitionById(shards, F.col("shard")).mapInArrow(work, _FILES)
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -282,7 +287,7 @@ def _gather(batches: Iterator[pa.RecordBatch]):
         yield shard, held.pop(shard)
 
 
-def _store_words(gained: DataFrame, folder: str, tasks: int) -> DataFrame:
+def _store_words(gained: DataFrame, folder: str, shards: int) -> DataFrame:
     """Writes the word files: count, successors seen once, twice, more, predecessors."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +313,7 @@ def _store_words(gained: DataFrame, folder: str, tasks: int) -> DataFrame:
             yield _file_row(shard, path, len(keys), sums[4])
 
     mine = gained.select("shard", "kind", "blob")
-    return mine.repartition(tasks, "shard").mapInArrow(work, _FILES)
+    return mine.repartitionById(shards, F.col("shard")).mapInArrow(work, _FILES)
 
 
 def _discounts(n: tuple[int, ...]) -> np.ndarray:
@@ -322,6 +327,9 @@ def _discounts(n: tuple[int, ...]) -> np.ndarray:
     return np.array([0.0, *(min(max(x, 0.0), i + 1.0) for i, x in enumerate(d))])
 
 
+_OPEN: dict[str, Lookup] = {}
+
+
 @dataclass
 class Model:
     """Where the files are, and the few figures that all lookups share."""
@@ -340,25 +348,39 @@ class Model:
     ends: int
 
     def open(self) -> Lookup:
-        return Lookup(self)
+        """The lookup of this process, so that tasks go on with what earlier ones opened."""
+        held = _OPEN.get(self.folder)
+        if held is None:
+            _OPEN.clear()
+            held = _OPEN[self.folder] = Lookup(self)
+        held.m = self
+        return held
 
 
 class Lookup:
-    """The mapped files of a model, in one worker."""
+    """The files of a model in one worker: the last used ones, a bounded number."""
 
     def __init__(self, model: Model) -> None:
         self.m = model
-        self.maps: dict[tuple[str, int], list[np.ndarray]] = {}
+        self.maps: OrderedDict[tuple[str, int], tuple[list[np.ndarray], int]] = OrderedDict()
+        self.held = 0
 
     def _columns(self, name: str, shard: int) -> list[np.ndarray]:
-        held = self.maps.get((name, shard))
-        if held is None:
-            files = self.m.bigrams if name == "bigrams" else self.m.words
-            kinds = ("u8", "u4") if name == "bigrams" else ("u8", "u8", "u8", "u4", "u4", "u4")
-            path, n = files.get(shard, ("", 0))
-            held = _map(self.m.folder, path, n, kinds)
-            self.maps[name, shard] = held
-        return held
+        at = name, shard
+        if at in self.maps:
+            self.maps.move_to_end(at)
+            return self.maps[at][0]
+        files = self.m.bigrams if name == "bigrams" else self.m.words
+        kinds = ("u8", "u4") if name == "bigrams" else ("u8", "u8", "u8", "u4", "u4", "u4")
+        path, n = files.get(shard, ("", 0))
+        if n == 0:
+            return [np.zeros(0, k) for k in kinds]
+        columns, size = _mapped(self.m.folder, path, n, kinds)
+        while self.maps and (len(self.maps) >= MAPPED or self.held + size > HELD):
+            self.held -= self.maps.popitem(last=False)[1][1]
+        self.maps[at] = columns, size
+        self.held += size
+        return columns
 
     def _find(self, name: str, shard: np.ndarray, keys: np.ndarray, width: int) -> np.ndarray:
         """Values of the keys, 0 for those that are not there."""
@@ -421,12 +443,12 @@ def train(docs: DataFrame) -> Model:
     The driver gets a path and seven figures for each shard.
     """
     spark = docs.sparkSession
-    shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     folder = scratch_folder(spark, "language-model")
     if "://" not in folder:
         folder = "file://" + os.path.abspath(folder.removeprefix("file:"))
-    hot = hot_words(docs)
-    stored = _store_bigrams(_count(docs, hot, shards), folder, shards, shards)
+    hot, size = hot_words(docs)
+    shards = max(LEAST_SHARDS, -(-size // SHARD_TOKENS))
+    stored = _store_bigrams(_count(docs, hot, shards), folder, shards)
     kept = scratch_folder(spark, "bigram-rows")
     stored.write.parquet(kept)
     stored = spark.read.schema(stored.schema).parquet(kept)

@@ -1,9 +1,11 @@
 import collections
 import math
+import os
 import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from llm import language_model as L
@@ -114,3 +116,46 @@ def test_probabilities_add_up(docs):
     for u in ("START", b"w1", b"never"):
         seen = sum(model.p(u, w) for w in model.count)
         assert seen + model.p(u, b"unseen") == pytest.approx(1)
+
+
+def test_files_that_a_worker_has_open_are_bounded(tmp_path, monkeypatch):
+    """A thousand shards, mapped or read into memory: the last used ones stay."""
+    folder = f"file://{tmp_path}"
+    paths = {}
+    for shard in range(1000):
+        keys = np.array([shard, shard + 5000], np.uint64)
+        path = L._write(folder, "bigrams", {"keys": keys, "counts": np.array([1, 2], np.uint32)})
+        paths[shard] = path, 2
+    model = L.Model(folder, 1000, np.zeros(0, np.uint64), paths, {}, np.zeros(4), np.zeros(4), 0.0, 1, 1, 1, 0)
+    look = model.open()
+    assert model.open() is look
+
+    def descriptors():
+        return len(os.listdir("/proc/self/fd"))
+
+    before = descriptors()
+    for shard in [*range(1000), 3, 999]:
+        keys, counts = look._columns("bigrams", shard)
+        assert keys.tolist() == [shard, shard + 5000] and counts.tolist() == [1, 2]
+    assert len(look.maps) == L.MAPPED and descriptors() - before <= L.MAPPED + 5
+    # Where nothing can be mapped, bytes are bounded.
+    monkeypatch.setattr(L, "HELD", 24 * 10)
+    monkeypatch.setattr(L, "_mapped", lambda *a: (real(*a)[0], 24))
+    look = L.Lookup(model)
+    for shard in range(100):
+        look._columns("bigrams", shard)
+    assert len(look.maps) == 10 and look.held == 240
+
+
+def test_scores_do_not_depend_on_shards(docs, monkeypatch):
+    rows = [(i, f"the cat sat on mat {i % 7} and the dog {i % 3} ran") for i in range(80)]
+
+    def scores():
+        return sorted((r.doc_id, round(r.score, 9)) for r in L.score_documents(docs(rows)).collect())
+
+    few = scores()
+    monkeypatch.setattr(L, "SHARD_TOKENS", 16)
+    assert scores() == few
+
+
+real = L._mapped
