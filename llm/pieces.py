@@ -17,7 +17,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Words with the spaces before them: no piece goes on from a letter to a space.
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-CACHED = 1_400_000  # segments, and a third as many pairs of pieces, that a worker remembers
+# Segments, and a third as many pairs of pieces, that a worker remembers. Segments are in
+# two generations: when the younger is full the older goes, but for what was used since.
+CACHED = 900_000
 _NEVER = float("-inf")
 LONGEST = 64  # characters of a segment worth remembering
 
@@ -66,6 +68,7 @@ class Encoder(dict):
     def __init__(self, vocabulary: Vocabulary) -> None:
         super().__init__()
         self.v = vocabulary
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
         # Pieces by their characters from the last to the first.
         self.ends: dict = {}
@@ -77,14 +80,18 @@ class Encoder(dict):
         self.stories: dict[str, list[tuple[float, str, str]] | None] = {}
 
     def __missing__(self, segment: str) -> bytes:
-        out = array("i")
-        for i in self._segment(segment):
-            out.append(i)
-        value = out.tobytes()
-        if len(segment) <= LONGEST:
-            if len(self) >= CACHED:
-                self.clear()
-            self[segment] = value
+        value = self.older.get(segment)
+        if value is None:
+            out = array("i")
+            for i in self._segment(segment):
+                out.append(i)
+            value = out.tobytes()
+            if len(segment) > LONGEST:
+                return value
+        if len(self) >= CACHED // 2:
+            self.older = dict(self)
+            self.clear()
+        self[segment] = value
         return value
 
     def encode(self, text: str) -> bytes:
