@@ -20,11 +20,32 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates."""
-    groups = minhash.near_duplicates(docs)
-    gone = groups.filter(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    same = F.col("doc_id").cast("long") == F.col("_id")
-    return docs.join(gone, same, "left_anti").select(*_own(docs))
+    """One row of each group of near-duplicates: that of the smallest id, nulls last.
+
+    Rows are judged, not ids: each gets a number, written once with it, by which groups
+    are found. Rows without an id are compared like others, and of rows that share an id
+    only those go whose text has been seen.
+    """
+    # A name that no column of the input has.
+    row = "_row".rjust(1 + max(map(len, docs.columns)), "_")
+    numbered = settle(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    keyed = numbered.select(F.col(row).alias("doc_id"), "text")
+    groups = settle(
+        minhash.near_duplicates(keyed).select(F.col("doc_id").alias("of"), "component_id"), "groups"
+    )
+    # Most rows are alone in their group, and need no look.
+    several = groups.groupBy("component_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    ids = numbered.select(F.col(row).alias("at"), F.col("doc_id").cast("long").alias("id"))
+    members = settle(
+        groups.join(several.select("component_id"), "component_id", "left_semi")
+        .join(ids, F.col("at") == F.col("of"))
+        .select("component_id", "at", "id"),
+        "members",
+    )
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "at"))
+    chosen = members.groupBy("component_id").agg(first["at"].alias("at"))
+    gone = members.select("at").join(chosen.select("at"), "at", "left_anti")
+    return numbered.join(gone, F.col(row) == F.col("at"), "left_anti").select(*_own(docs))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -309,7 +309,7 @@ def spans(
             yield from answer(held)
 
     tasks = -(-buckets // BUCKETS_A_TASK)
-    placed = packed.repartition(tasks, "bucket").sortWithinPartitions("bucket")
+    placed = packed.repartitionById(tasks, F.col("bucket") % tasks).sortWithinPartitions("bucket")
     return placed.mapInArrow(work, SPAN_SCHEMA)
 
 

@@ -1,4 +1,5 @@
 import os
+import random
 
 import pytest
 
@@ -54,6 +55,51 @@ def test_each_stage_decides(spark, folder):
     assert all(r.n_chars == len(r.text) for r in text.values())
 
 
+SHAPE = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def kept_rows(spark, pairs):
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in pairs], SHAPE).repartition(3)
+    out = corpus_pipeline.keep_one_of_each(spark, docs, "")
+    assert out.columns == docs.columns
+    return sorted(((r.doc_id, r.text) for r in out.collect()), key=str)
+
+
+def test_near_duplicates_are_judged_by_row(spark):
+    text, other = words(40, "t"), words(40, "u")
+    got = kept_rows(spark, [(None, text), (None, text), (3, text), (7, text), (7, other)])
+    assert got == sorted([(3, text), (7, other)], key=str)
+
+
+def test_near_duplicates_against_brute_force(spark):
+    """Null and repeated ids, copies, near copies, texts without words."""
+    r = random.Random(6)
+    pairs = []
+    for i in range(60):
+        text = words(60, f"g{r.randint(0, 12)}x").split()
+        for _ in range(r.randint(0, 2)):
+            text[r.randint(0, 59)] = f"new{r.randint(0, 99)}"
+        pairs.append((r.choice([None, r.randint(0, 20)]), " ".join(text)))
+    pairs += [(None, None), (None, ""), (5, None), (5, " "), *pairs[:6]]
+    sets = [{tuple(t.split()[k : k + 5]) for k in range(56)} if t and t.strip() else set() for _, t in pairs]
+    group = list(range(len(pairs)))
+    for a in range(len(pairs)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]) > 0:
+                old, new = group[a], group[b]
+                group = [new if g == old else g for g in group]
+    chosen = {}
+    for (i, t), g in zip(pairs, group):
+        chosen.setdefault(g, []).append((i is None, i or 0, i, t))
+    ids = sorted(str(min(m[:2] for m in of)) for of in chosen.values())
+    got = kept_rows(spark, pairs)
+    assert sorted(str((i is None, i or 0)) for i, _ in got) == ids
+    # No text is lost with all that are like it.
+    left = [{tuple(t.split()[k : k + 5]) for k in range(56)} for _, t in got if t and t.strip()]
+    reach = {g for g, s in zip(group, sets) if s in left}
+    assert reach == {g for g, s in zip(group, sets) if s}
+
+
 def test_run_gives_ids_that_decode(spark, folder):
     out = corpus_pipeline.run(spark, folder)
     vocabulary = pieces.load_vocabulary()
