@@ -45,13 +45,41 @@ def store_snapshot(
 
     Nothing is copied. The name is a view over the files, because a view can be put in
     another's place in one step. The files that it showed before stay where they are,
-    so give each snapshot a path of its own.
+    so give each snapshot a path of its own. If the name is that of a real table, the
+    table is pointed at the files, which is one step, too. Only where that can't be, as
+    with other columns, the table steps aside for the view, and comes back if there
+    can't be one.
     """
     full = f"`{database}`.`{name}`" if database else f"`{name}`"
-    spark.sql(f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM parquet.`{path}`")
+    view = f"CREATE OR REPLACE VIEW {full} AS SELECT * FROM parquet.`{path}`"
+    # A temporary view of the same name is another thing.
+    named = database or spark.catalog.currentDatabase()
+    if not any(t.name == name.lower() and not t.isTemporary and t.tableType != "VIEW"
+               for t in spark.catalog.listTables(named, name)):
+        spark.sql(view)
+    elif _holds(spark, f"`{named}`.`{name}`", path):
+        spark.sql(f"ALTER TABLE `{named}`.`{name}` SET LOCATION '{path}'")
+        spark.catalog.refreshTable(f"`{named}`.`{name}`")
+    else:
+        aside = f"`{named}`.`{name}_{uuid.uuid4().hex}`"
+        spark.sql(f"ALTER TABLE `{named}`.`{name}` RENAME TO {aside}")
+        try:
+            spark.sql(view)
+        except Exception:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO `{named}`.`{name}`")
+            raise
+        spark.sql(f"DROP TABLE {aside}")
     return full
 
 
+def _holds(spark: SparkSession, table: str, path: str) -> bool:
+    """Whether a real table is one of plain parquet files with the columns of others."""
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    if about.get("Provider", "").lower() != "parquet" or "# Partition Information" in about:
+        return False
+    return spark.table(table).dtypes == spark.read.parquet(path).dtypes
+
+
 def load_summaries(
     spark: SparkSession,
     table: str,

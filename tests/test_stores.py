@@ -47,14 +47,40 @@ def test_snapshot_keeps_types(spark, tmp_path):
 
 
 def test_store_replaces(spark, database):
-    df = spark.createDataFrame([(1, dt.datetime(2015, 1, 1)), (2, None)], "id long, d timestamp_ntz")
-    tables.store_tables(spark, {"claims": df}, database)
-    tables.store_tables(spark, {"claims": df}, database)
-    stored = spark.table(f"{database}.claims")
-    assert stored.count() == 2 and dict(stored.dtypes)["d"] == "timestamp_ntz"
-    tables.store_tables(spark, {"claims": stored.filter("id = 2")}, database)
-    assert [r.id for r in spark.table(f"{database}.claims").collect()] == [2]
-    assert not spark.catalog.tableExists(f"{database}.claims__incoming")
+    parcels = [("P7", 2.5, dt.date(2021, 7, 4)), ("P8", None, None), ("P9", 1.25, None)]
+    df = spark.createDataFrame(parcels, "parcel string, kilos double, sent date")
+    for _ in range(3):
+        tables.store_tables(spark, {"parcels": df, "light": df.filter("kilos < 2")}, database)
+    stored = spark.table(f"{database}.parcels")
+    assert sorted(map(tuple, stored.collect())) == parcels and stored.dtypes == df.dtypes
+    # From its own old content.
+    tables.store_tables(spark, {"parcels": stored.filter("sent IS NULL").drop("sent")}, database)
+    left = spark.table(f"{database}.parcels")
+    assert left.columns == ["parcel", "kilos"] and left.count() == 2
+    assert {t.name for t in spark.catalog.listTables(database)} >= {"parcels", "light"}
+
+
+def test_store_over_a_real_table(spark, database):
+    """With the same columns the table is pointed at the new files, else a view replaces it."""
+    spark.range(4).write.saveAsTable(f"{database}.crates")
+    tables.store_tables(spark, {"crates": spark.range(10, 13)}, database)
+    assert sorted(r.id for r in spark.table(f"{database}.crates").collect()) == [10, 11, 12]
+    [kept] = spark.catalog.listTables(database, "crates")
+    assert kept.tableType != "VIEW"
+    other = spark.table(f"{database}.crates").selectExpr("id", "id * 2 AS twice")
+    tables.store_tables(spark, {"crates": other}, database)
+    assert sorted(map(tuple, spark.table(f"{database}.crates").collect())) == [(10, 20), (11, 22), (12, 24)]
+    tables.store_tables(spark, {"crates": spark.range(1)}, database)
+    assert spark.table(f"{database}.crates").count() == 1
+    assert [t.name for t in spark.catalog.listTables(database) if t.name.startswith("crates")] == ["crates"]
+
+
+def test_a_table_that_cannot_be_replaced_comes_back(spark, database, tmp_path):
+    spark.range(4).write.saveAsTable(f"{database}.bins")
+    spark.range(2).write.format("csv").save(str(tmp_path / "no-parquet"))
+    with pytest.raises(Exception):
+        tables.store_snapshot(spark, "bins", str(tmp_path / "no-parquet"), database)
+    assert spark.table(f"{database}.bins").count() == 4
 
 
 def test_a_table_over_a_snapshot(spark, database, tmp_path):
@@ -87,19 +113,19 @@ def test_store_keeps_the_list_of_ids(spark, database):
 def test_export_text(spark, tmp_path):
     df = spark.createDataFrame(
         [
-            (1, dt.datetime(2015, 1, 5, 12), dt.date(2015, 1, 5), True, " a ", [0, 1], 2.0),
-            (2, None, None, False, "", [], None),
-            (3, None, None, None, 'x,"y"', None, 0.5),
+            ("P7", 2.5, [3, 4], dt.date(2021, 7, 4), "left, at \"door\"", False, dt.datetime(2021, 7, 3, 23, 5)),
+            ("P8", None, None, None, "  two blanks ", None, None),
+            ("", 1e7, [], None, None, True, None),
         ],
-        "id long, t timestamp_ntz, d date, b boolean, s string, l array<long>, f double",
+        "parcel string, kilos double, shelves array<long>, sent date, note string, paid boolean, seen timestamp_ntz",
     ).coalesce(1)
-    [path] = exports.export_csvs({"claims_clean": df}, str(tmp_path / "new" / "out"))
-    assert path.endswith("/claims_clean.csv")
+    [path] = exports.export_csvs({"parcels": df}, str(tmp_path / "not" / "there"))
+    assert path.endswith("/parcels.csv")
     assert text_of(path) == [
-        "id,t,d,b,s,l,f",
-        '1,2015-01-05,2015-01-05,True," a ","[0, 1]",2.0'.replace('" a "', " a "),
-        "2,,,False,,[],",
-        '3,,,,"x,""y""",,0.5',
+        "parcel,kilos,shelves,sent,note,paid,seen",
+        'P7,2.5,"[3, 4]",2021-07-04,"left, at ""door""",False,2021-07-03',
+        "P8,,,,  two blanks ,,",
+        ",10000000.0,[],,,True,",
     ]
 
 
