@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 _SETTLED: list[str] = []
 _PLACE = "_place"
+_SMALL = 1 << 20  # bytes of a file that one task reads whole
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -64,13 +65,22 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
 def settle_ordered(df: DataFrame, label: str = "table") -> DataFrame:
     """Like settle() for a sorted result, which stays sorted when read again.
 
-    The parts of a sorted table follow each other, so a number that grows along
-    them keeps the order.
+    A result that fits one small file is read in its order. The parts of a larger sorted
+    table follow each other, so a number that grows along them keeps the order.
     """
     placed = settle(df.withColumn(_PLACE, F.monotonically_increasing_id()), label)
+    files = placed.inputFiles()
+    if len(files) == 1 and _bytes(df.sparkSession, files[0]) <= _SMALL:
+        return placed.drop(_PLACE)
     return placed.orderBy(_PLACE).drop(_PLACE)
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system.getFileStatus(target).getLen()
+
+
 def settle_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """Each table written once, under its own name."""
     return {name: settle(df, name) for name, df in tables.items()}

@@ -1,3 +1,5 @@
+import datetime as dt
+
 import pytest
 
 from sieveframe.operators import cleaning
@@ -54,12 +56,12 @@ def test_suffixes_of_other_languages_are_text(spark, write):
 
 
 def test_date_columns_by_name(spark, write):
-    df = load_csv(spark, write("Incident_DATE,amount,when\n2015-01-25,100,2015-01-25\n?,1,x\n"))
-    kinds = dict(df.dtypes)
-    assert kinds["Incident_DATE"] == "timestamp_ntz"
-    assert kinds["amount"] == "bigint"
-    assert kinds["when"] == "string"
-    assert [r[0] is None for r in rows(df)] == [False, True]
+    text = "dispatch_date,Update,shelf\n?,2021-07-04T08:30:00,2021-07-04\n2021-07-03,?,B7\n"
+    df = load_csv(spark, write(text))
+    assert df.dtypes == [("dispatch_date", "timestamp_ntz"), ("Update", "timestamp_ntz"), ("shelf", "string")]
+    first, second = rows(df)
+    assert first == (None, dt.datetime(2021, 7, 4, 8, 30), "2021-07-04")
+    assert second == (dt.datetime(2021, 7, 3), None, "B7")
 
 
 @pytest.mark.parametrize("cell, message", [
