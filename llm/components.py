@@ -7,11 +7,6 @@ from pyspark.sql import functions as F
 
 from sieveframe.sources.scratch import settle
 
-# A node is hot if it has more than one in so many ends of links, and more than FEW: so
-# there are never more hot nodes than this.
-HOT_NODES = 10_000
-FEW = 64
-PARTS = 1024  # that the links of a hot node are dealt to
 
 def components(links: DataFrame) -> DataFrame:
     """(node, component): the smallest node that each linked node can reach.
@@ -19,9 +14,10 @@ def components(links: DataFrame) -> DataFrame:
     ``links`` has the long columns a and b. Alternates two steps until nothing changes:
     each node hands its larger neighbours to its smallest one, then its smaller ones.
     The longest path shrinks by a constant factor each time. Both steps aggregate before
-    they shuffle, and deal the links of hot nodes to many parts, so a node with many
-    links is not one task's work. Each round is written to the shared folder and read
-    again, which cuts the lineage.
+    they shuffle, but the links of one node are then joined with its least neighbour by
+    the node, so those of a node with very many links go to one task, unless Spark splits
+    the skewed join. Each round is written to the shared folder and read again, which
+    cuts the lineage.
     """
     edges, before = _settled(
         links.filter("a <> b")
@@ -30,9 +26,8 @@ def components(links: DataFrame) -> DataFrame:
     )
     while before["n"]:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        hot = max(FEW, 2 * before["n"] // HOT_NODES)
-        edges = _star(both, F.col("v") > F.col("u"), hot)
-        edges, now = _settled(_star(edges, F.lit(True), hot, own=True))
+        edges = _star(both, F.col("v") > F.col("u"))
+        edges, now = _settled(_star(edges, F.lit(True), own=True))
         if now == before:
             break
         before = now
@@ -41,31 +36,13 @@ def components(links: DataFrame) -> DataFrame:
     return found.unionAll(roots)
 
 
-def _star(edges: DataFrame, which, hot: int, own: bool = False) -> DataFrame:
-    """Links of each node's chosen neighbours, and with ``own`` its own, to the least.
-
-    What hot nodes lead to is broadcast, HOT_NODES rows at most (there are at most two
-    ends for each link of the round before). Their links meet nothing in the join, in
-    which they are dealt by their other end.
-    """
+def _star(edges: DataFrame, which, own: bool = False) -> DataFrame:
+    """Links of each node's chosen neighbours, and with ``own`` its own, to the least."""
     least = edges.groupBy(F.col("u").alias("w")).agg(
-        F.least(F.min("v"), F.min("u")).alias("least"), F.count(F.lit(1)).alias("links")
-    )
-    known = least.filter(F.col("links") > hot).select(
-        F.col("w").alias("hot"), F.col("least").alias("hot_least")
-    )
-    part = F.when(F.col("hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64("v"), F.lit(PARTS)))
-    near = (
-        edges.filter(which)
-        .join(F.broadcast(known), F.col("u") == F.col("hot"), "left")
-        .withColumn("part", part.cast("long"))
-        .join(
-            least.select("w", "least", F.lit(0).cast("long").alias("first")),
-            (F.col("u") == F.col("w")) & (F.col("part") == F.col("first")),
-            "left",
-        )
+        F.least(F.min("v"), F.min("u")).alias("least")
     )
-    out = near.select(F.col("v").alias("u"), F.coalesce("hot_least", "least").alias("v"))
+    near = edges.filter(which).join(least, F.col("u") == F.col("w"))
+    out = near.select(F.col("v").alias("u"), F.col("least").alias("v"))
     if own:
         out = out.unionAll(least.select(F.col("w").alias("u"), F.col("least").alias("v")))
     # Links that are there twice go with the step that ends a round.

@@ -115,9 +115,8 @@ def test_a_slice_does_not_change_a_set():
     assert T.words(data, np.array([0, 13, len(data)])).row.tolist() == [0, 0, 0, 1, 1]
 
 
-def test_components_of_stars_and_chains(spark, monkeypatch):
-    """Hot centres, whose links are dealt to parts, beside long chains."""
-    monkeypatch.setattr("llm.components.FEW", 5)
+def test_components_of_stars_and_chains(spark):
+    """Centres of many links beside long chains."""
     r = random.Random(2)
     links = [(0, i) for i in range(100, 400)] + [(i, 999) for i in range(400, 600)]
     links += [(i, i + 1) for i in range(1000, 1060)] + [(399, 450), (1030, 2000)]
