@@ -249,9 +249,10 @@ def _report_facts(spark, folder):
 
 def _results(spark, folder):
     """The four results, and the validation report: each from the columns it reads."""
-    rows = settle(claims(spark, folder, *QUERIED))
-    results = settle_all(run_queries(spark, DOMAIN.queries, {"claims": rows}))
-    return results, DOMAIN.validate(settle(claims(spark, folder, *RULED)))
+    rows = settle(claims(spark, folder, *dict.fromkeys([*QUERIED, *RULED])))
+    queried = {"claims": rows.select(*QUERIED)}
+    results = settle_all(run_queries(spark, DOMAIN.queries, queried))
+    return results, DOMAIN.validate(rows.select(*RULED))
 
 
 @query("report_facts", f"{REPORT} SELECT * FROM facts")

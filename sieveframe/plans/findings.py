@@ -34,7 +34,7 @@ from sieveframe.operators.series import (
     halves,
 )
 from sieveframe.plans.claims import DATE, FRAUD, SEVERITY, STATE, TOTAL, TYPE
-from sieveframe.sources.scratch import settle
+from sieveframe.sources.scratch import settle_small
 
 MIN_CLAIMS = 20
 KEY, TRENDS, WATCH, CAVEATS = (
@@ -57,12 +57,12 @@ def top_severity(claims: DataFrame) -> DataFrame:
 
 def top_type(claims: DataFrame) -> DataFrame:
     """The type with the highest mean amount, and its share of all cost."""
-    return _top_type(settle(_measure(claims, TYPE), "types"))
+    return _top_type(settle_small(_measure(claims, TYPE), "types"))
 
 
 def top_state(claims: DataFrame) -> DataFrame:
     """The costliest state, its share of all cost and its fraud rate."""
-    return _top_state(settle(_measure(claims, STATE), "states"))
+    return _top_state(settle_small(_measure(claims, STATE), "states"))
 
 
 def trend(claims: DataFrame) -> DataFrame:
@@ -83,7 +83,7 @@ def page_sentences(claims: DataFrame) -> DataFrame:
     """
     rows = claims.withColumn("_day", day(F.col(DATE)))
     grains = [(STATE,), (TYPE, SEVERITY), ("_day",)]
-    base = settle(
+    base = settle_small(
         rows.groupingSets(grains, STATE, TYPE, SEVERITY, "_day").agg(
             F.grouping(STATE).alias("_no_state"),
             F.grouping("_day").alias("_no_day"),

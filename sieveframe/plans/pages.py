@@ -45,7 +45,7 @@ from sieveframe.plans.claims import (
     TOTAL,
     TYPE,
 )
-from sieveframe.sources.scratch import settle
+from sieveframe.sources.scratch import settle_small
 
 
 def select_claims(
@@ -209,7 +209,7 @@ def type_by_severity(
 
 def by_state(claims: DataFrame) -> DataFrame:
     """Claims, cost, share of cost, mean claim and fraud rate per state."""
-    groups = settle(
+    groups = settle_small(
         claims.groupBy(STATE).agg(
             _claims(),
             exact_sum(claims, TOTAL).cast("double").alias("claim_cost"),

@@ -96,7 +96,9 @@ class ClaimsRun:
         save_results(self._results(), self._folder("reports"))
 
     def write_report(self) -> None:
-        validation = self._table("validation_report")
+        validation = self.report
+        if validation is None:
+            validation = self._table("validation_report")
         raise_on_errors(validation)
         results = self._results()
         tables = section_tables(results, validation)

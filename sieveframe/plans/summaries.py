@@ -35,7 +35,7 @@ from sieveframe.plans.claims import (
     TOTAL,
     TYPE,
 )
-from sieveframe.sources.scratch import settle
+from sieveframe.sources.scratch import settle_small
 
 MIN_GROUP = 10
 KEYS = (STATE, TYPE)
@@ -70,7 +70,7 @@ def summarize_at_once(
     """
     fine = [(*KEYS, SEVERITY), (*KEYS, "_day")]
     rows = claims.withColumn("_day", day(F.col(DATE)))
-    base = settle(
+    base = settle_small(
         rows.groupingSets(fine, *KEYS, SEVERITY, "_day").agg(
             F.grouping(SEVERITY).alias("_by_day"), *_measures(claims)
         ),

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 _SETTLED: list[str] = []
 _PLACE = "_place"
-_SMALL = 1 << 20  # bytes of a file that one task reads whole
+_SMALL = 1 << 20  # bytes of a table that one task reads whole
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
@@ -56,10 +56,18 @@ def settle(df: DataFrame, label: str = "table") -> DataFrame:
     lost executor costs a re-read and not a recomputation, and Spark knows the
     size of the files when it chooses a join.
     """
-    path = scratch_folder(df.sparkSession, label)
-    _SETTLED.append(path)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df, label)[0]
+
+
+def settle_small(df: DataFrame, label: str = "table") -> DataFrame:
+    """Like settle() for a table of groups, which is mostly small.
+
+    If its files hold 1 MB at most, one task reads them all, and Spark needs no shuffle,
+    and so no job of its own, for each aggregate, window or sort over them. A larger
+    table is read like any other.
+    """
+    settled, path = _written(df, label)
+    return settled.coalesce(1) if _bytes(df.sparkSession, path) <= _SMALL else settled
 
 
 def settle_ordered(df: DataFrame, label: str = "table") -> DataFrame:
@@ -68,19 +76,27 @@ def settle_ordered(df: DataFrame, label: str = "table") -> DataFrame:
     A result that fits one small file is read in its order. The parts of a larger sorted
     table follow each other, so a number that grows along them keeps the order.
     """
-    placed = settle(df.withColumn(_PLACE, F.monotonically_increasing_id()), label)
+    placed = settle_small(df.withColumn(_PLACE, F.monotonically_increasing_id()), label)
     files = placed.inputFiles()
     if len(files) == 1 and _bytes(df.sparkSession, files[0]) <= _SMALL:
         return placed.drop(_PLACE)
     return placed.orderBy(_PLACE).drop(_PLACE)
 
 
+def _written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    path = scratch_folder(df.sparkSession, label)
+    _SETTLED.append(path)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def _bytes(spark: SparkSession, path: str) -> int:
+    """Length of a file, or of all files in a folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return system.getFileStatus(target).getLen()
+    return system.getContentSummary(target).getLength()
 
 
 def settle_all(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Each table written once, under its own name."""
-    return {name: settle(df, name) for name, df in tables.items()}
+    """Each table of results written once, under its own name."""
+    return {name: settle_small(df, name) for name, df in tables.items()}

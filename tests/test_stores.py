@@ -18,6 +18,7 @@ from sieveframe.sources.scratch import (
     scratch_removed,
     settle,
     settle_ordered,
+    settle_small,
 )
 
 
@@ -357,6 +358,25 @@ def test_settled_results_stay_sorted(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
+def test_small_tables_need_no_shuffle(spark, monkeypatch):
+    """Up to the limit in bytes one task reads a table, a larger one stays as it is."""
+    from sieveframe.sources import scratch
+
+    df = spark.range(0, 1000, 1, 4).select((F.col("id") % 7).alias("k"))
+
+    def grouped():
+        table = settle_small(df, "groups").groupBy("k").count().orderBy("k")
+        return [tuple(r) for r in table.collect()], table._jdf.queryExecution().toString()
+
+    small, plan = grouped()
+    assert "Exchange" not in plan
+    monkeypatch.setattr(scratch, "_SMALL", 10)
+    large, plan = grouped()
+    assert "Exchange" in plan
+    assert small == large == [(k, 143 if k < 6 else 142) for k in range(7)]
+    assert settle_small(df.limit(0), "none").groupBy("k").count().collect() == []
+
+
 def test_scratch_of_a_block_is_removed(spark):
     from pathlib import Path
 
