@@ -5,6 +5,8 @@ Only DataFrame functions and Spark's own trees; positions count code points.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -31,9 +33,10 @@ WIDE = {
     r"[A-Za-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[A-Za-z0-9-]++)++",
     "number": r"\+?\(?[0-9]++(?:[\x20().:/-]{1,3}[0-9]++)++|[0-9]{9,}+",
 }
-SAMPLE = 20_000  # candidates that trees are grown on, at most, half of either label
+SAMPLE = 20_000  # candidates of a sample for trials, at most, half of either label
 ROUNDS, DEPTH = 10, 4
-PRECISION = 0.95  # of what is selected of a kind, on the part of the sample kept from the trees
+BINS = 32  # values of a feature that trees tell apart, at least
+PRECISION = 0.95  # of what is selected of a kind, on the candidates kept from the trees
 STEPS = 100
 # What an unlabelled candidate weighs: some of them are what is looked for.
 UNLABELLED = 0.1
@@ -320,10 +323,27 @@ def _scored(model: GBTClassificationModel, df: DataFrame) -> DataFrame:
     return out.withColumn("p", vector_to_array("probability")[1]).select(*df.columns, "p")
 
 
+def formats(found: DataFrame) -> DataFrame:
+    """All candidates to learn from, as their formats: label, kind, features, ``n``, ``weight``.
+
+    A format counts every candidate that has it, once per value, so that copies of a
+    document do not count twice. Values are dealt to those that are ``kept_back`` and the
+    rest. Formats are far fewer than candidates, and trees of weighted formats are those
+    of the candidates themselves. Unlabelled ones weigh UNLABELLED each.
+    """
+    each = found.select("value", "label", _kind().alias("kind"), *FEATURES).distinct()
+    back = F.pmod(F.xxhash64("value"), F.lit(5)) == 0
+    counted = each.groupBy("label", "kind", back.alias("kept_back"), *FEATURES).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    weight = F.col("n") * F.when(F.col("label") == 1, 1.0).otherwise(UNLABELLED)
+    return settle(counted.withColumn("weight", weight), "pii-formats")
+
+
 def sampled(found: DataFrame) -> DataFrame:
-    """Candidates to learn from, with ``weight`` and whether they are ``kept_back``.
+    """A bounded sample of candidates, for trials; ``detect`` learns from all ``formats``.
 
-    Of either label those of the smallest hashes, half of SAMPLE at most, once per value
+    With ``weight`` and whether they are ``kept_back``. Of either label those of the smallest hashes, half of SAMPLE at most, once per value
     so that copies of a document do not count twice. The weights make up for labels of
     which not all are taken; unlabelled ones weigh UNLABELLED of that.
     """
@@ -340,26 +360,28 @@ def sampled(found: DataFrame) -> DataFrame:
 
 
 def fit(found: DataFrame) -> Selector:
-    """Boosted trees on a sample of the candidates, and a threshold from the rest of it.
+    """Boosted trees on four fifths of all candidates, and a threshold from the others.
 
     No table has labels for personal data. What passes a base rule or stands behind a
     cue is labelled; the trees see neither, only the rest of the format, so they also
     rate high what looks the same but lacks the sign that the rule insists on. A fifth of
-    the sample picks for each kind the lowest threshold with PRECISION above it; a kind
+    the values picks for each kind the lowest threshold with PRECISION above it; a kind
     without one takes nothing. Without candidates of both labels there is nothing to learn.
     """
-    few = sampled(found)
-    labels = {r["label"] for r in few.filter("NOT kept_back").select("label").distinct().collect()}
-    if len(labels) < 2:
+    every = formats(found)
+    sizes = dict(every.filter("NOT kept_back").groupBy("label").count().collect())
+    if len(sizes) < 2:
         return Selector(None, {})
     trees = GBTClassifier(
         featuresCol="_features", labelCol="label", weightCol="weight", maxIter=ROUNDS,
         maxDepth=DEPTH, stepSize=0.3, seed=17, cacheNodeIds=False,
+        # Spark looks for splits in a sample of rows only beyond the square of this.
+        maxBins=max(BINS, math.isqrt(sum(sizes.values())) + 1),
     )
-    model = trees.fit(_assembled(few.filter(~F.col("kept_back"))))
+    model = trees.fit(_assembled(every.filter("NOT kept_back")))
     steps = (
-        _scored(model, few.filter("kept_back"))
-        .groupBy(_kind().alias("kind"), F.floor(F.col("p") * STEPS).alias("step"))
+        _scored(model, every.filter("kept_back"))
+        .groupBy("kind", F.floor(F.col("p") * STEPS).alias("step"))
         .agg(F.sum(F.col("label") * F.col("weight")).alias("ones"), F.sum("weight").alias("n"))
         .orderBy("kind", F.desc("step"))
         .collect()

@@ -134,6 +134,26 @@ def test_labels_of_one_kind_are_not_crowded_out(spark, monkeypatch):
     assert len(rest) == 30 and rest[0].weight == pytest.approx(pii.UNLABELLED * 980 / 30)
 
 
+def test_trees_learn_from_all_candidates(docs, monkeypatch):
+    """Trees and thresholds do not depend on the size of a sample."""
+    monkeypatch.setattr(pii, "SAMPLE", 4)
+    rows, wanted = planted(250)
+    found = {r.doc_id: {(pii.KINDS[s.k], s.a, s.b) for s in r.spans} for r in pii.detect(docs(rows)).collect()}
+    hit = sum(len(found[i] & want) for i, want in wanted.items())
+    assert hit >= 0.9 * sum(map(len, wanted.values()))
+
+
+def test_formats_count_every_candidate_once(docs):
+    rows, _ = planted(50)
+    listed = pii.candidates(pii.scanned(docs(rows + [(10**6 + i, t) for i, t in rows])))
+    all_ = {(r.value, r.label, *(r[n] for n in pii.FEATURES)) for r in listed.collect()}
+    got = pii.formats(listed).collect()
+    assert sum(r.n for r in got) == len(all_) and len(got) < len(all_)
+    assert {r.label for r in got if r.kept_back} == {r.label for r in got if not r.kept_back} == {0.0, 1.0}
+    for r in got:
+        assert r.weight == pytest.approx(r.n * (1.0 if r.label else pii.UNLABELLED))
+
+
 def test_many_spans_in_one_text(docs):
     """200,000 matches in one text: the work grows with them and not with their square."""
     n = 200_000
