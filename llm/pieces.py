@@ -17,7 +17,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Words with the spaces before them: no piece goes on from a letter to a space.
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-# Segments, and a third as many pairs of pieces, that a worker remembers. Segments are in
+# Segments, and a third as many pairs of pieces (of short words, and of long ones), that a
+# worker remembers. Segments are in
 # two generations: when the younger is full the older goes, but for what was used since.
 CACHED = 900_000
 _NEVER = float("-inf")
@@ -62,6 +63,23 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(ids, scores, model.piece_to_id("<0x00>"), texts, name)
 
 
+class State(dict):
+    """The longest end of the text so far that a piece may start with; the next by character.
+
+    ``ends`` are the pieces that end here, the longest first, each with its length below
+    zero and what is known of the pieces before it.
+    """
+
+    __slots__ = ("text", "ends", "encoder")
+
+    def __init__(self, text: str, ends: list[tuple[int, str, dict]], encoder: Encoder) -> None:
+        super().__init__()
+        self.text, self.ends, self.encoder = text, ends, encoder
+
+    def __missing__(self, c: str) -> State:
+        return self.encoder._next(self, c)
+
+
 class Encoder(dict):
     """Segments of text to the bytes of their ids (int32), as a bounded memory."""
 
@@ -70,24 +88,18 @@ class Encoder(dict):
         self.v = vocabulary
         self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
-        # Pieces by their characters from the last to the first.
-        self.ends: dict = {}
-        for piece in vocabulary.ids:
-            node = self.ends
-            for c in reversed(piece):
-                node = node.setdefault(c, {})
-            node[""] = piece
+        self.starts = {p[:n] for p in vocabulary.ids for n in range(len(p) + 1)}
+        self._forget()
         self.stories: dict[str, list[tuple[float, str, str]] | None] = {}
 
     def __missing__(self, segment: str) -> bytes:
         value = self.older.get(segment)
         if value is None:
-            out = array("i")
-            for i in self._segment(segment):
-                out.append(i)
-            value = out.tobytes()
             if len(segment) > LONGEST:
-                return value
+                return array("i", self._segment(segment)).tobytes()
+            # One space in front at most, and a word behind it: the pieces are all there is.
+            plain = segment != SPACE and not segment.startswith(SPACE * 2)
+            value = array("i", self._word(segment) if plain else self._segment(segment)).tobytes()
         if len(self) >= CACHED // 2:
             self.older = dict(self)
             self.clear()
@@ -119,6 +131,16 @@ class Encoder(dict):
                     continue
             yield from self._ids(piece)
 
+    def _word(self, word: str) -> list[int]:
+        out, ids = [], self.v.ids
+        for piece in self._short(word):
+            known = ids.get(piece)
+            if known is None:
+                out += self._ids(piece)
+            else:
+                out.append(known)
+        return out
+
     def _spaces(self, n: int) -> Iterator[int]:
         while n > 0:
             yield self.v.ids[SPACE * min(n, self.v.spaces)]
@@ -160,33 +182,52 @@ class Encoder(dict):
 
     def _short(self, word: str) -> list[str]:
         """What stream() gives, for a word that its window holds whole."""
-        ids, pairs = self.v.ids, self.pairs
-        if word in ids and self._story(word) is not None:
+        if word in self.v.ids and self._story(word) is not None:
             return [word]
-        back, root = [""], self.ends
-        for i in range(1, len(word) + 1):
-            # All pieces that end here, from the shortest.
-            node, at, found = root, i, []
-            while at:
-                at -= 1
-                node = node.get(word[at])
-                if node is None:
-                    break
-                piece = node.get("")
-                if piece is not None:
-                    found.append(piece)
-            for piece in reversed(found):
-                pair = back[i - len(piece)], piece
-                fits = pairs.get(pair)
+        back, state = [""], self.root
+        for c in word:
+            state = state[c]
+            for n, piece, after in state.ends:
+                left = back[n]
+                fits = after.get(left)
                 if fits is None:
-                    fits = self._may_follow(*pair)
+                    fits = after[left] = self._stay_apart(left, piece)
+                    self.learnt += 1
                 if fits:
                     break
             else:
-                piece = word[i - 1]
+                piece = c
             back.append(piece)
+        if self.learnt > CACHED // 3:
+            self._forget()
         return self._path(back, len(word))
 
+    def _forget(self) -> None:
+        """States and pairs as if no word had been seen."""
+        self.after: dict[str, dict[str, bool]] = {}
+        self.root = State("", [], self)
+        self.states = {"": self.root}
+        self.learnt = 0  # states, ways between them, and pairs
+
+    def _next(self, state: State, c: str) -> State:
+        """The state behind a character, found once for each state and character."""
+        text = state.text + c
+        while text not in self.starts:
+            text = text[1:]
+        found = self.states.get(text)
+        if found is None:
+            ends = []
+            for n in range(len(text), 0, -1):
+                piece = text[-n:]
+                # What its own characters do not merge to follows nothing.
+                if piece in self.v.ids and self._story(piece) is not None:
+                    ends.append((-n, piece, self.after.setdefault(piece, {})))
+            found = self.states[text] = State(text, ends, self)
+            self.learnt += 1
+        state[c] = found
+        self.learnt += 1
+        return found
+
     def _meeting(self, back: list[str], end: int) -> int:
         """The last boundary on the paths of all positions a later piece can start at."""
         open_ = set(range(max(0, end - self.v.longest + 1), end + 1))

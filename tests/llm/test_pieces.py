@@ -73,6 +73,23 @@ def test_memory_is_bounded(vocabulary, monkeypatch):
         assert len(encoder) <= 20 and len(encoder.pairs) <= 6
 
 
+def test_states_are_bounded_and_found_once(vocabulary, monkeypatch):
+    """Pieces that end at a character come from the state there, not from a new search."""
+    encoder = pieces.Encoder(vocabulary)
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefghij", k=9)) for _ in range(300)]
+    first = [encoder._short(w) for w in words]
+    states, asked = dict(encoder.states), []
+    monkeypatch.setattr(encoder, "_next", lambda *a: asked.append(a))
+    monkeypatch.setattr(encoder, "_stay_apart", lambda *a: asked.append(a))
+    assert [encoder._short(w) for w in words] == first and asked == [] and encoder.states == states
+    monkeypatch.setattr(pieces, "CACHED", 300)
+    small = pieces.Encoder(vocabulary)
+    for w, want in zip(words, first):
+        assert small._short(w) == want
+        assert small.learnt <= 100 and len(small.states) + sum(map(len, small.after.values())) <= 101
+
+
 def test_columns_and_odd_rows(spark, docs, odd_texts, vocabulary, library):
     df = docs(odd_texts).withColumnRenamed("bands", "n_ids")
     out = pieces.encode(df, vocabulary)
