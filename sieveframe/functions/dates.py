@@ -39,11 +39,14 @@ def parse_iso(col: Column) -> Column:
     compact = F.concat_ws(
         "-", F.substring(col, 1, 4), F.substring(col, 5, 2), F.substring(col, 7, 2)
     )
+    # The pattern is for a line, behind which a line break of two characters may stand.
     return F.when(
-        col.rlike(_COMPACT), compact.try_cast("timestamp_ntz")
+        F.octet_length(col).between(8, 11) & col.rlike(_COMPACT), compact.try_cast("timestamp_ntz")
     ).otherwise(col.try_cast("timestamp_ntz"))
 
 
 def has_zone(col: Column) -> Column:
     """True for times with 'Z' or an offset, which a zone-less type would drop."""
-    return col.rlike(_ZONE)
+    # The sign stands among the last six characters, or before a line break behind them.
+    sign = col.contains("Z") | col.contains("+") | F.contains(F.right(col, F.lit(8)), F.lit("-"))
+    return sign & col.rlike(_ZONE)

@@ -120,15 +120,23 @@ def big_dollars(col: Column) -> Column:
 def plain(col: Column) -> Column:
     """A double as text the way Python prints it: 14773770.0, 1e+16, 1e-05.
 
-    Spark's own text has an exponent from ten million on.
+    Spark's own text has an exponent from ten million on, and below a thousandth. Only
+    such numbers are looked at again, in a function of their own, so that the code for
+    a table of many amounts stays short enough for the JVM to compile.
     """
+    text = col.cast("string")
+    again = F.get(F.transform(F.array(col), _without_exponent), 0)
+    return F.when(~text.contains("E"), text).otherwise(again)
+
+
+def _without_exponent(col: Column) -> Column:
     text, size = col.cast("string"), F.abs(col)
     long = F.regexp_replace(col.cast("decimal(38,20)").cast("string"), "0+$", "")
     whole = F.when(long.endswith("."), F.concat(long, F.lit("0"))).otherwise(long)
     short = F.regexp_replace(F.regexp_replace(text, r"\.0E", "E"), r"E(\d)", "E+$1")
     exponent = F.lower(F.regexp_replace(short, r"([+-])(\d)$", r"$1\0$2"))
     middle = ((size >= 1e7) & (size < 1e16)) | ((size >= 1e-4) & (size < 1e-3))
-    return F.when(middle, whole).when(text.contains("E"), exponent).otherwise(text)
+    return F.when(middle, whole).otherwise(exponent)
 
 
 def _format(col: Column, pattern: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,15 +21,24 @@ def strip_blank(col: Column) -> Column:
     """Trim all Unicode whitespace at both ends; a cell with nothing left is null.
 
     btrim with a character set checks only the ends of each value, so unlike a
-    regular expression its cost does not grow with the text.
+    regular expression its cost does not grow with the text. Even that is left out
+    for what begins and ends with a visible ASCII character, as most cells do.
     """
-    return F.nullif(F.btrim(col, F.lit(WHITESPACE)), F.lit(""))
+    trimmed = F.nullif(F.btrim(col, F.lit(WHITESPACE)), F.lit(""))
+    return F.when(_visible(col) & _visible(F.substring(col, -1, 1)), col).otherwise(trimmed)
+
+
+def _visible(col: Column) -> Column:
+    """Whether the first byte is that of a visible ASCII character; text is compared by bytes."""
+    return (col >= F.lit("!")) & (col < F.lit("\x7f"))
 
 
 def is_yes_no(col: Column) -> Column:
-    """Whether a cell is such a word; longer cells are not even upper-cased."""
+    """Whether a cell is such a word; others are hardly ever upper-cased."""
     short = F.octet_length(col) <= 12  # three characters in UTF-8
-    return short & F.upper(col).isin(*YES_WORDS, *NO_WORDS)
+    # Nothing but these letters becomes one of them alone in upper case.
+    begins = reduce(Column.__or__, (F.startswith(col, F.lit(c)) for c in "YyNn"))
+    return short & begins & F.upper(col).isin(*YES_WORDS, *NO_WORDS)
 
 
 def yes_no(col: Column) -> Column:

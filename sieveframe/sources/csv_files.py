@@ -40,9 +40,12 @@ _NULL, _FLAG, _INT, _NEGATIVE, _UNSIGNED, _OVER, _FLOAT, _TEXT = (
 )
 _DATE, _NO_DATE, _ZONED = _INT, _TEXT, _OVER
 # Patterns come first: a cast that fails raises and catches an error for every
-# cell of text, which costs about ten times as much as a pattern.
+# cell of text, which costs about ten times as much as a pattern. Before the patterns
+# goes a look at the first byte: no number begins with a letter but inf does.
 _TYPE_LOOK = f"""
 CASE WHEN cell IS NULL THEN {_NULL}
+     WHEN cell >= 'A' AND NOT (startswith(cell, 'i') OR startswith(cell, 'I')) THEN
+       CASE WHEN cell IN {TRUE_WORDS + FALSE_WORDS} THEN {_FLAG} ELSE {_TEXT} END
      WHEN cell RLIKE r'{_WHOLE}' THEN
        CASE WHEN try_cast(cell AS BIGINT) >= 0 THEN {_INT}
             WHEN try_cast(cell AS BIGINT) < 0 THEN {_INT | _NEGATIVE}
@@ -73,7 +76,7 @@ def load_csv(
     """
     names, raw = read_text_cells(spark, path, multi_line)
     if types is None:
-        types = _types_of(names, _seen(raw, names, path, _type_looks(names)))
+        types = _types_of(names, _seen(raw, names, path)[0])
     else:
         raw = raw.filter(_whole_line(len(names), path))
     return _typed(raw, names, types)
@@ -116,22 +119,15 @@ def load_clean(
     fills = fills or {}
     names, raw = read_text_cells(spark, path, multi_line)
 
-    def prepared(cell: Column, name: str) -> Column:
+    ready = strip_blank(F.col("cell"))
+    for i, name in enumerate(names):
         fill = fills.get(snake_name(name))
-        bare = strip_blank(cell)
-        return bare if fill is None else F.coalesce(bare, F.lit(str(fill)))
-
-    # Two selects, so that each cell is prepared once for its look.
-    ready = {f"ready{i}": prepared(_cell(i), name) for i, name in enumerate(names)}
-    bits = _seen(
-        raw.withColumns(ready),
-        names,
-        path,
-        _type_looks(names) + [cleaning.look(F.col(c), True) for c in ready],
-    )
-    types = _types_of(names, bits[: len(names)])
+        if fill is not None:
+            ready = F.coalesce(ready, F.when(F.col("at") == i, str(fill)))
+    bits, filled = _seen(raw, names, path, ready)
+    types = _types_of(names, bits)
     text = [c for c in names if types[c] == "string"]
-    found = cleaning.verdict(dict(zip(names, bits[len(names) :])), text)
+    found = cleaning.verdict(dict(zip(names, filled)), text)
     verdict = cleaning.Verdict(
         empty=frozenset(map(snake_name, found.empty)),
         flags=frozenset(map(snake_name, found.flags)),
@@ -190,15 +186,12 @@ def is_date_name(name: str) -> bool:
 
 
 def _type_looks(names: list[str]) -> list[Column]:
-    return [
-        _date_look(_cell(i)) if is_date_name(name) else _type_look(i)
-        for i, name in enumerate(names)
-    ]
+    """The look that each column's own cell gets."""
+    return [_type_look(is_date_name(name), f"cell{i}") for i, name in enumerate(names)]
 
 
-def _type_look(i: int) -> Column:
-    """One SQL expression: put together call by call, a wide file takes seconds."""
-    return F.expr(_TYPE_LOOK.replace("cell", f"cell{i}"))
+def _type_look(date: bool, cell: str) -> Column:
+    return _date_look(F.col(cell)) if date else F.expr(_TYPE_LOOK.replace("cell", cell))
 
 
 def _date_look(cell: Column) -> Column:
@@ -210,9 +203,8 @@ def _date_look(cell: Column) -> Column:
     )
 
 
-def _line_look(width: int) -> Column:
+def _line_look(width: int, line: Column) -> Column:
     """Whether a broken line ends inside quotes or has more cells than the header."""
-    line = F.col(_BROKEN)
     bare = F.regexp_replace(line, '"[^"]*"', "")
     commas = F.length(bare) - F.length(F.replace(bare, F.lit(",")))
     return (
@@ -226,21 +218,42 @@ def _line_look(width: int) -> Column:
 def _whole_line(width: int, path: str) -> Column:
     """True; a line that cannot be read whole stops the job."""
     line = F.concat(F.lit(f"{path}: this line is not as wide as the header: "), F.col(_BROKEN))
-    return F.when(_line_look(width) == 0, True).otherwise(F.raise_error(line).cast("boolean"))
+    return F.when(_line_look(width, F.col(_BROKEN)) == 0, True).otherwise(F.raise_error(line).cast("boolean"))
 
 
 def _seen(
-    raw: DataFrame, names: list[str], path: str, looks: list[Column]
-) -> list[int | None]:
-    """The bits of each look over all lines; broken lines raise."""
-    named = [_line_look(len(names)).alias("_lines")]
-    named += [one.alias(f"_{i}") for i, one in enumerate(looks)]
-    lines, *bits = cleaning.seen(raw.select(*named))
-    if (lines or 0) & _OPEN_QUOTE:
+    raw: DataFrame, names: list[str], path: str, ready: Column | None = None
+) -> tuple[list[int | None], list[int | None]]:
+    """For each column the bits of its type over all lines; broken lines raise.
+
+    And what its cells show for cleaning, if ``ready`` says what becomes of ``cell`` in
+    the column number ``at``. Every cell is a row of its own here, so there is one look
+    however many columns there are: one for each of them makes a method that the JVM
+    finds too long to compile, and interprets.
+    """
+    width, at, cell = len(names), F.col("at"), F.col("cell")
+    every = F.array(*(_cell(i) for i in range(width)), F.col(_BROKEN))
+    cells = raw.select(F.posexplode(every).alias("at", "cell"))
+    look = F.when(at == width, _line_look(width, cell))
+    dates = [i for i, name in enumerate(names) if is_date_name(name)]
+    if dates:
+        look = look.when(at.isin(dates), _type_look(True, "cell"))
+    measures = [F.bit_or("type").alias("type")]
+    if ready is not None:
+        # A column of its own, so that each cell is prepared once for its look.
+        cells = cells.withColumn("ready", ready)
+        measures.append(F.bit_or(cleaning.look(F.col("ready"), True)).alias("filled"))
+    looks = cells.withColumn("type", look.otherwise(_type_look(False, "cell")))
+    found = {r["at"]: r for r in looks.groupBy("at").agg(*measures).collect()}
+    lines = found[width]["type"] if found else 0
+    if lines & _OPEN_QUOTE:
         raise ValueError(f"{path}: lines end inside quotes; use multi_line=True")
-    if (lines or 0) & _LONG:
+    if lines & _LONG:
         raise ValueError(f"{path}: lines have more cells than the header")
-    return bits
+    if not found:
+        return [None] * width, [None] * width
+    types = [found[i]["type"] for i in range(width)]
+    return types, [found[i]["filled"] if ready is not None else None for i in range(width)]
 
 
 def _types_of(names: list[str], bits: list[int | None]) -> dict[str, str]:

@@ -1,7 +1,9 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
+from sieveframe.functions import text
 from sieveframe.operators import cleaning
 from sieveframe.sources import csv_files
 from sieveframe.sources.csv_files import load_clean, load_csv, load_inbox
@@ -143,6 +145,33 @@ def test_the_look_is_one_small_aggregate(spark, write):
     assert "Python" not in plan
 
 
+def test_looks_do_not_add_up_in_one_method(spark, write):
+    """Cells are rows to the look: a wide file has the plan of a narrow one."""
+    def code(width):
+        names = [f"c{i}" for i in range(width)]
+        path = write(",".join(names) + "\n" + ",".join("1" * width) + "\n", f"w{width}.csv")
+        _, raw = csv_files.read_text_cells(spark, path)
+        seen = []
+        taken = type(raw).collect
+        try:
+            type(raw).collect = lambda df: seen.append(df) or taken(df)
+            assert csv_files._seen(raw, names, path, F.col("cell"))[0] == [csv_files._INT] * width
+        finally:
+            type(raw).collect = taken
+        return seen[0]._jdf.queryExecution().executedPlan().toString().count("RLIKE")
+
+    assert code(3) == code(40) > 0
+
+
+@pytest.mark.parametrize("cell", ["yes", "No", "Y", "n", "YES", "ynot", "ŉ", "ﬃ", "ſ", "İ", "inf", "Infinity", "i", "I1", "True", "A", "\x7f1", "é", "-1", "+1.5", ".5", "1 "])
+def test_looks_equal_those_without_a_first_byte(spark, write, cell):
+    frame = spark.createDataFrame([(cell,)], "cell0 string")
+    plain = csv_files._TYPE_LOOK.split("THEN", 1)[0] + "THEN 1 WHEN cell RLIKE" + csv_files._TYPE_LOOK.split("WHEN cell RLIKE", 1)[1]
+    got = frame.select(csv_files._type_looks(["a"])[0], F.expr(plain.replace("cell", "cell0")), text.is_yes_no(F.col("cell0"))).first()
+    assert got[0] == got[1]
+    assert got[2] == (cell.upper() in text.YES_WORDS + text.NO_WORDS)
+
+
 def test_missing_and_repeated_names(spark, write):
     df = load_csv(spark, write("\ufeffid,,a,A,a,a.1\n1,2,3,4,5,6\n"))
     assert df.columns == ["id", "Unnamed: 1", "a", "A", "a.1", "a.1.1"]
