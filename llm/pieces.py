@@ -13,12 +13,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
+from llm.text import give_back
+
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 # Words with the spaces before them: no piece goes on from a letter to a space.
 _SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-# Segments, and a third as many pairs of pieces (of short words, and of long ones), that a
-# worker remembers. Segments are in
+# A worker remembers a third as many segments, and pairs of pieces (of short words, and of
+# long ones), for as long as it lives, also while other stages run. Segments are in
 # two generations: when the younger is full the older goes, but for what was used since.
 CACHED = 900_000
 _NEVER = float("-inf")
@@ -100,7 +102,7 @@ class Encoder(dict):
             # One space in front at most, and a word behind it: the pieces are all there is.
             plain = segment != SPACE and not segment.startswith(SPACE * 2)
             value = array("i", self._word(segment) if plain else self._segment(segment)).tobytes()
-        if len(self) >= CACHED // 2:
+        if len(self) >= CACHED // 6:
             self.older = dict(self)
             self.clear()
         self[segment] = value
@@ -364,6 +366,7 @@ def encode(
                     ],
                     names=[*(f.name for f in fields), *(f.name for f in new)],
                 )
+        give_back()
 
     return input_.mapInArrow(work, StructType([*fields, *new]))
 

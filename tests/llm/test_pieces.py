@@ -1,9 +1,11 @@
 import os
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.types import StringType, StructField, StructType
 
-from llm import pieces
+from llm import pieces, text
 
 pytestmark = pytest.mark.skipif(not os.path.exists(pieces.MODEL), reason="no vocabulary file")
 
@@ -73,6 +75,33 @@ def test_memory_is_bounded(vocabulary, monkeypatch):
         assert len(encoder) <= 20 and len(encoder.pairs) <= 6
 
 
+def test_few_segments_are_held_and_used_ones_stay(vocabulary, monkeypatch):
+    """Words that are seen once go, in both generations, and one that comes again stays."""
+    monkeypatch.setattr(pieces, "CACHED", 600)
+    encoder = pieces.Encoder(vocabulary)
+    for i in range(1000):
+        assert ids_of(encoder, f"word{i} again") == ids_of(encoder, f"word{i} again")
+        assert len(encoder) + len(encoder.older) <= 200
+    assert "▁again" in encoder and "▁word1" not in {**encoder, **encoder.older}
+
+
+def test_a_task_gives_freed_batches_back(vocabulary, monkeypatch):
+    """Workers live on between tasks, beside stages that need the memory."""
+    given = []
+    monkeypatch.setattr(text, "give_back", lambda: given.append("slices"))
+    monkeypatch.setattr(pieces, "give_back", lambda: given.append("encode"))
+
+    class Docs:
+        schema = StructType([StructField("text", StringType())])
+        select = lambda self, *names: self
+        mapInArrow = lambda self, work, schema: work
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a b", None]})
+    assert len(list(text.slices(iter([batch])))) == 1 and given == ["slices"]
+    assert sum(b.num_rows for b in pieces.encode(Docs(), vocabulary)(iter([batch]))) == 2
+    assert given == ["slices", "encode"]
+
+
 def test_states_are_bounded_and_found_once(vocabulary, monkeypatch):
     """Pieces that end at a character come from the state there, not from a new search."""
     encoder = pieces.Encoder(vocabulary)
