@@ -1,4 +1,6 @@
 import datetime as dt
+import time
+from pathlib import Path
 
 import pytest
 
@@ -23,6 +25,22 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def shuffle_files(spark):
+    """Names of the shuffle files on disk; with ``unlike`` those that stay beside them."""
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def names(unlike=None):
+        if unlike is not None:  # files are removed a moment after the step has ended
+            end = time.monotonic() + 5
+            while time.monotonic() < end and names() - unlike:
+                time.sleep(0.1)
+        found = {p.name for d in manager.localDirsString() for p in Path(d).rglob("shuffle_*")}
+        return found - (unlike or set())
+
+    return names
+
+
 CLAIM_COLUMNS = (
     "incident_date timestamp_ntz, incident_state string, incident_type string, "
     "incident_severity string, total_claim_amount long, injury_claim long, "

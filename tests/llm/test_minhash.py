@@ -135,3 +135,12 @@ def test_components_of_stars_and_chains(spark):
     df = spark.createDataFrame(links, "a long, b long")
     got = {x.node: x.component for x in components(df).collect()}
     assert got == {x: root(x) for x in found if root(x) != x or any(root(y) == x for y in found if y != x)}
+
+
+def test_steps_leave_no_shuffle_files(docs, shuffle_files):
+    """The disk never holds the shuffles of more than one step."""
+    rows = variants(3)
+    before = shuffle_files()
+    got = minhash.near_duplicates(docs(rows), 2)
+    assert not shuffle_files(unlike=before)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got.collect()} == brute(rows, 2)

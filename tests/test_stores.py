@@ -385,3 +385,19 @@ def test_scratch_of_a_block_is_removed(spark):
         path = settle(spark.range(3)).inputFiles()[0]
         assert Path(path.removeprefix("file://")).exists()
     assert not Path(path.removeprefix("file://")).exists() and outside.count() == 2
+
+
+def test_settled_tables_leave_no_shuffle_files(spark, shuffle_files):
+    """Neither those of earlier steps nor the session's own setting are touched."""
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    mine = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    mine.collect()
+    was, before = spark.conf.get(setting, None), shuffle_files()
+    settled = settle(mine.join(mine.select("k"), "k"), "sevens")
+    assert not shuffle_files(unlike=before)
+    assert spark.conf.get(setting, None) == was
+    assert sum(r["count"] for r in settled.collect()) == 1000
+    assert sum(r["count"] for r in mine.collect()) == 1000
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO"):
+        settle(mine.select(F.expr("1 div (k - k)")), "none")
+    assert spark.conf.get(setting, None) == was
