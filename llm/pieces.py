@@ -17,8 +17,6 @@ from llm.text import give_back
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-# Words with the spaces before them: no piece goes on from a letter to a space.
-_SEGMENT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 # A worker remembers a third as many segments, and pairs of pieces (of short words, and of
 # long ones), for as long as it lives, also while other stages run. Segments are in
 # two generations: when the younger is full the older goes, but for what was used since.
@@ -65,11 +63,33 @@ def load_vocabulary(path: str = MODEL) -> Vocabulary:
     return Vocabulary(ids, scores, model.piece_to_id("<0x00>"), texts, name)
 
 
+def segments_of(pieces: Iterable[str]) -> re.Pattern[str]:
+    """Finds runs of characters that pieces join, with the spaces before them.
+
+    Characters are of one kind if neighbours inside pieces lead from one to the other.
+    No merge goes over the border of a kind, nor on to a space, so each run has the ids
+    that it has in the text. The largest kind (of letters, as a rule) makes runs of its
+    own, all others make runs together.
+    """
+    kinds: dict[str, set[str]] = {}
+    for piece in pieces:
+        word = piece.lstrip(SPACE)
+        for a, b in zip(word, word[1:]):
+            less, more = sorted((kinds.setdefault(a, {a}), kinds.setdefault(b, {b})), key=len)
+            if less is not more:
+                more |= less
+                kinds.update(dict.fromkeys(less, more))
+    if not kinds:
+        return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+    largest = "".join(map(re.escape, sorted(max(kinds.values(), key=len))))
+    return re.compile(f"{SPACE}*(?:[{largest}]+|[^{largest}{SPACE}]+)|{SPACE}+")
+
+
 class State(dict):
     """The longest end of the text so far that a piece may start with; the next by character.
 
-    ``ends`` are the pieces that end here, the longest first, each with its length below
-    zero and what is known of the pieces before it.
+    ``ends`` are the pieces of two or more characters that end here, the longest first, each
+    with its length below zero and what is known of the pieces before it.
     """
 
     __slots__ = ("text", "ends", "encoder")
@@ -90,6 +110,8 @@ class Encoder(dict):
         self.v = vocabulary
         self.older: dict[str, bytes] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
+        self.find = segments_of(vocabulary.ids).findall
+        self.raw = {p: array("i", [i]).tobytes() for p, i in vocabulary.ids.items()}
         self.starts = {p[:n] for p in vocabulary.ids for n in range(len(p) + 1)}
         self._forget()
         self.stories: dict[str, list[tuple[float, str, str]] | None] = {}
@@ -101,7 +123,7 @@ class Encoder(dict):
                 return array("i", self._segment(segment)).tobytes()
             # One space in front at most, and a word behind it: the pieces are all there is.
             plain = segment != SPACE and not segment.startswith(SPACE * 2)
-            value = array("i", self._word(segment) if plain else self._segment(segment)).tobytes()
+            value = self._word(segment) if plain else array("i", self._segment(segment)).tobytes()
         if len(self) >= CACHED // 6:
             self.older = dict(self)
             self.clear()
@@ -113,7 +135,7 @@ class Encoder(dict):
         if not text:
             return b""
         text = SPACE + text.replace(" ", SPACE)
-        return b"".join([self[s] for s in _SEGMENT.findall(text)])
+        return b"".join(map(self.__getitem__, self.find(text)))
 
     def _segment(self, segment: str) -> Iterator[int]:
         word = segment.lstrip(SPACE)
@@ -133,15 +155,12 @@ class Encoder(dict):
                     continue
             yield from self._ids(piece)
 
-    def _word(self, word: str) -> list[int]:
-        out, ids = [], self.v.ids
-        for piece in self._short(word):
-            known = ids.get(piece)
-            if known is None:
-                out += self._ids(piece)
-            else:
-                out.append(known)
-        return out
+    def _word(self, word: str) -> bytes:
+        raw, found = self.raw, self._short(word)
+        try:
+            return b"".join([raw[piece] for piece in found])
+        except KeyError:
+            return array("i", [i for piece in found for i in self._ids(piece)]).tobytes()
 
     def _spaces(self, n: int) -> Iterator[int]:
         while n > 0:
@@ -219,7 +238,8 @@ class Encoder(dict):
         found = self.states.get(text)
         if found is None:
             ends = []
-            for n in range(len(text), 0, -1):
+            # One character needs no look: it is what is left if nothing longer fits.
+            for n in range(len(text), 1, -1):
                 piece = text[-n:]
                 # What its own characters do not merge to follows nothing.
                 if piece in self.v.ids and self._story(piece) is not None:

@@ -40,6 +40,39 @@ def test_ids_equal_the_library(vocabulary, library):
         assert ids_of(encoder, t) == library.encode(t)
 
 
+def test_runs_end_where_no_piece_goes_on(vocabulary, library):
+    """A word is one memory, whatever stands behind it."""
+    encoder = pieces.Encoder(vocabulary)
+    text = "end. The end, END!\nend the"
+    assert ids_of(encoder, text) == library.encode(text)
+    assert {"▁end", "▁the", ".", ",", "!\n", "end"} <= set(encoder)
+    assert not {"▁end.", "▁end,", "▁END!\nend"} & set(encoder)
+    assert all(encoder.find(p) == [p] for p in vocabulary.ids)
+    r = random.Random(5)
+    chars = sorted({c for p in vocabulary.ids for c in p}) + list("\n\t0½² 你😀\x00")
+    for _ in range(400):
+        t = "".join(r.choices(r.choices(chars, k=12) + ["the", " ", "."], k=30))
+        assert "".join(encoder.find(t)) == t
+        assert ids_of(encoder, t) == library.encode(t)
+
+
+def test_vocabularies_of_other_kinds():
+    """Joined kinds grow together; without any, only spaces cut."""
+    assert pieces.segments_of(["a", "▁b"]).findall("ab.▁▁c▁") == ["ab.", "▁▁c", "▁"]
+    assert pieces.segments_of(["ab", "cd", "bc", "]^", "▁("]).findall("abcd]^x▁▁(a") == [
+        "abcd", "]^x", "▁▁(", "a",
+    ]
+    assert pieces.segments_of(["-]", "]^", "ab"]).findall("-]^a▁-") == ["-]^", "a", "▁-"]
+
+
+def test_single_characters_are_not_looked_up(vocabulary):
+    """What is left if no longer piece fits needs no test."""
+    encoder = pieces.Encoder(vocabulary)
+    for w in ("▁qzxhello", "wörter", "▁tionerth"):
+        assert encoder._short(w) == list(encoder.stream(w))
+    assert encoder.after and min(map(len, encoder.after)) > 1
+
+
 def test_round_trip(vocabulary):
     encoder = pieces.Encoder(vocabulary)
     for t in texts():
